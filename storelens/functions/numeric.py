@@ -31,20 +31,31 @@ def cents(money, scale: int = 2) -> Column:
     return (_c(money) * (10 ** scale)).cast("bigint")
 
 
-def half_up_ratio(num, den, scale: int, factor: int = 1) -> Column:
-    """round_half_up(factor * num / den, scale) for integral ``num``/``den``.
-
-    NULL if either side is NULL or ``den`` is 0 (callers that must fail on a
-    zero divisor check it themselves, see ``safe_divide``).
+def half_up_ratio(num, den, scale: int, factor: int = 1, on_zero: str = "null",
+                  as_decimal: bool = False) -> Column:
+    """round_half_up(factor * num / den, scale) for integral ``num``/``den``
+    (``den`` >= 0).
+
+    NULL if either side is NULL.  A zero ``den`` gives NULL
+    (``on_zero="null"``, MySQL) or fails the query (``on_zero="error"``,
+    BigQuery / ANSI).  The result is a double, or an exact
+    ``decimal(38, scale)`` with ``as_decimal``.
     """
     n, d = _c(num).cast("bigint"), _c(den).cast("bigint")
     p = 10 ** scale
     q = F.call_function("div", F.abs(n) * (2 * p * factor) + d, d * 2)
     signed = F.when(n < 0, -q).otherwise(q)
-    return F.when(d > 0, signed.cast("double") / p)
+    value = (signed.cast(f"decimal(38,{scale})") / p).cast(f"decimal(38,{scale})") \
+        if as_decimal else signed.cast("double") / p
+    if on_zero == "error":
+        return F.when(d == 0, F.raise_error(F.lit("[DIVIDE_BY_ZERO] Division by zero"))
+                      .cast("double" if not as_decimal else f"decimal(38,{scale})")
+                      ).otherwise(value)
+    return F.when(d != 0, value)
 
 
-def exact_mean(total, count, scale: int, unit_scale: int = 0) -> Column:
+def exact_mean(total, count, scale: int, unit_scale: int = 0,
+               as_decimal: bool = False) -> Column:
     """Mean ``total / count`` rounded half-up to ``scale`` digits.
 
     ``total`` is an integral sum expressed in units of ``10**-unit_scale``
@@ -52,12 +63,12 @@ def exact_mean(total, count, scale: int, unit_scale: int = 0) -> Column:
     over no rows.
     """
     d = _c(count).cast("bigint") * (10 ** unit_scale)
-    return half_up_ratio(total, d, scale)
+    return half_up_ratio(total, d, scale, as_decimal=as_decimal)
 
 
-def percent(num, den, scale: int) -> Column:
-    """round_half_up(100 * num / den, scale); NULL for a zero divisor."""
-    return half_up_ratio(num, den, scale, factor=100)
+def percent(num, den, scale: int, on_zero: str = "null") -> Column:
+    """round_half_up(100 * num / den, scale)."""
+    return half_up_ratio(num, den, scale, factor=100, on_zero=on_zero)
 
 
 def safe_divide(num, den, on_zero: str = "error") -> Column:
