@@ -117,6 +117,15 @@ def rentals_by_actor_popularity_band(films, inventory, rentals, film_actor) -> D
                 "avg_actor_film_count_group"))
 
 
+def likelihood_score(avg, cat, favoured: str = "Sci-Fi", excluded: str = "Foreign",
+                     high: float = 28, low: float = 25):
+    """Rental-likelihood score 1-5 from actor popularity and category."""
+    return score_rules([((avg > high) & (cat == favoured), 5),
+                        ((avg > low) & (cat == favoured), 4),
+                        ((avg > high) & (cat != excluded), 3),
+                        ((avg > low) & (cat != excluded), 2)], 1)
+
+
 def rental_likelihood_by_category(films, inventory, rentals, film_actor, film_category,
                                   category, favoured: str = "Sci-Fi", excluded: str = "Foreign",
                                   high: float = 28, low: float = 25,
@@ -141,11 +150,8 @@ def rental_likelihood_by_category(films, inventory, rentals, film_actor, film_ca
     key = "fr_film_id" if key_on_rental_side else "ap_film_id"
     # (...) RIGHT JOIN fc  ==  fc LEFT JOIN (...)
     lg = fc.join(left, fc["film_id"] == left[key], "left")
-    avg, cat = F.col("avg_actor_film_count"), F.col("category")
-    score = score_rules([((avg > high) & (cat == favoured), 5),
-                         ((avg > low) & (cat == favoured), 4),
-                         ((avg > high) & (cat != excluded), 3),
-                         ((avg > low) & (cat != excluded), 2)], 1)
+    score = likelihood_score(F.col("avg_actor_film_count"), F.col("category"),
+                             favoured, excluded, high, low)
     return (lg.groupBy("category").agg(
         F.sum("rental_count").cast("bigint").alias("rental_count"),
         exact_mean(F.sum(score), F.count(score), 2).alias("avg_likeli_group"))

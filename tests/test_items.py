@@ -1,0 +1,78 @@
+"""Item sequence, review and delivery analyses."""
+
+from datetime import datetime as dt
+
+from pyspark.sql import functions as F
+
+from storelens.plans import items as it
+from storelens.plans.registry import QUERIES
+from storelens.sources import commerce
+from storelens.sources.tables import Tables
+
+from conftest import SF_SMALL, rows
+
+ORD = ("order_id long, customer_id long, order_status string, order_purchase_timestamp "
+       "timestamp_ntz, order_delivered_carrier_date timestamp_ntz, "
+       "order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz")
+
+
+def test_prefix_consistency(spark):
+    a = QUERIES["item_order_number"](spark, SF_SMALL)
+    b = QUERIES["item_first_prev_date"](spark, SF_SMALL)
+    c = QUERIES["item_prev_frame_stats"](spark, SF_SMALL)
+    assert rows(a) == rows(b.select(*a.columns))
+    assert rows(b) == rows(c.select(*b.columns))
+
+
+def test_key_profile_invariants(spark):
+    r = QUERIES["key_uniqueness_profile"](spark, SF_SMALL).first()
+    assert r.distinct_order_item_count <= r.order_items_coun
+    assert r.distinct_order_product_count <= r.order_items_coun
+    assert r.distinct_order_count <= r.distinct_order_item_count
+
+
+def test_whole_day_option_changes_only_day_columns(spark):
+    items = commerce.order_items(Tables(spark, SF_SMALL))
+    a = it.item_derived_features(items, days="calendar")
+    b = it.item_derived_features(items, days="whole")
+    # all test timestamps are midnight, so both meanings agree there
+    assert rows(a) == rows(b)
+
+
+def test_review_features_drop_first_items_and_keep_null_score(spark):
+    t = Tables(spark, SF_SMALL)
+    out = it.review_vs_item_features(commerce.order_items(t), commerce.order_reviews(t))
+    scores = [r.review_score for r in out.collect()]
+    assert scores[0] is None and scores[1:] == sorted(scores[1:])
+    assert {r.avg_previous_order_number_count for r in out.collect()} == {1.0}
+
+
+def test_delivery_dedupe(spark):
+    # mf_dup_order: order 1 duplicated with agreeing orderings (kept once),
+    # order 2 duplicated with disagreeing orderings (dropped)
+    orders = spark.createDataFrame([
+        (1, 1, "delivered", dt(2020, 1, 1), None, dt(2020, 1, 11), dt(2020, 1, 31)),
+        (1, 1, "delivered", dt(2020, 1, 2), None, dt(2020, 1, 12), dt(2020, 2, 1)),
+        (2, 1, "delivered", dt(2020, 1, 1), None, dt(2020, 1, 5), dt(2020, 3, 1)),
+        (2, 1, "delivered", dt(2020, 1, 2), None, dt(2020, 1, 5), dt(2020, 1, 20)),
+        (3, 1, "shipped", dt(2020, 1, 1), None, None, dt(2020, 1, 31))], ORD)
+    reviews = spark.createDataFrame([(1, 4), (1, 5)], "order_id long, review_score int")
+    got = rows(it.review_vs_delivery_delay(orders, reviews))
+    assert got == [(5.0, 10.0, -20.0)]
+
+
+def test_order_score_rounds_half_up(spark):
+    reviews = spark.createDataFrame([(1, 4), (1, 5), (2, 1), (2, 2), (2, 2), (2, 3)],
+                                    "order_id long, review_score int")
+    assert rows(it.order_review_score(reviews)) == [(1, 5.0), (2, 2.0)]
+
+
+def test_feature_summary_midpoints(spark):
+    t = Tables(spark, SF_SMALL)
+    items = commerce.order_items(t)
+    r = it.item_feature_summary(items).first()
+    lo = items.agg(F.min("shipping_limit_date")).first()[0]
+    assert r.average_first_date >= lo and r.average_first_date <= r.first_date_MAX
+    pinned = it.item_feature_summary(items, first_midpoint_days=616,
+                                     previous_midpoint_days=649).first()
+    assert (pinned.average_previous_date - pinned.average_first_date).days == 33

@@ -1,0 +1,70 @@
+"""The skew-safe range-partitioned strategy equals Spark's Window."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from storelens.operators.sequences import SequenceSpec, largest_group, sequence_features
+from storelens.plans.items import item_spec
+from storelens.sources import commerce
+from storelens.sources.tables import Tables
+
+from conftest import SF_SMALL
+
+
+def _spec(extra_tiebreak=True):
+    s = item_spec()
+    if extra_tiebreak:
+        s.order_by = [*s.order_by, "price", "freight_value"]
+    return s
+
+
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    return commerce.order_items(Tables(spark, SF_SMALL)).cache()
+
+
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_ranged_equals_window(spark, items, parts):
+    w = sequence_features(items, _spec(), "window")
+    r = sequence_features(items, _spec(), "ranged", num_partitions=parts)
+    assert _same(w, r)
+
+
+def test_hot_product_spanning_partitions(spark, items):
+    # a third of all rows belong to one product (and some keys are NULL)
+    hot = items.withColumn(
+        "product_id",
+        F.when(F.col("order_id") % 3 == 0, F.lit(7))
+        .when(F.col("order_id") % 97 == 1, F.lit(None)).otherwise(F.col("product_id")))
+    assert largest_group(hot, "product_id") >= items.count() // 4
+    w = sequence_features(hot, _spec(), "window")
+    r = sequence_features(hot, _spec(), "ranged", num_partitions=11)
+    assert _same(w, r)
+    top = r.where("product_id = 7").agg(F.max("order_number"), F.count(F.lit(1))).first()
+    assert top[0] == top[1]
+
+
+def test_many_small_batches(spark, items):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        w = sequence_features(items, _spec(), "window")
+        r = sequence_features(items, _spec(), "ranged", num_partitions=4)
+        assert _same(w, r)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_auto_picks_window_below_threshold(spark, items):
+    plan = sequence_features(items, _spec(), "auto")._jdf.queryExecution().toString()
+    assert "Window" in plan and "MapInArrow" not in plan
+
+
+def test_previous_frame_is_single_row(spark, items):
+    # trap T6: count over exactly one previous row is 0 or 1; the sum is that row's price
+    f = sequence_features(items, item_spec(), "window")
+    assert set(r[0] for r in f.select("previous_order_count").distinct().collect()) <= {0, 1}
+    assert f.where("order_number = 1 AND previous_order_price_sum IS NOT NULL").count() == 0
