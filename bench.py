@@ -27,8 +27,9 @@ def main() -> None:
     root = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = max(1, int(os.environ.get("BENCH_RUNS", "3")))
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 2)))
     spark = get_session(f"local[{cpus}]", app_name="storelens-bench",
-                        shuffle_partitions=cpus * 2,
+                        shuffle_partitions=parts,
                         extra_conf={"spark.driver.memory": "16g"})
     times: dict[str, float] = {}
     for key, fn in QUERIES.items():
@@ -43,7 +44,7 @@ def main() -> None:
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,
                       "sf": float(m.group(1)) if m else root,
-                      "config": {"master": f"local[{cpus}]", "shuffle_partitions": cpus * 2,
+                      "config": {"master": f"local[{cpus}]", "shuffle_partitions": parts,
                                  "runs": runs, "spark": spark.version}}))
     spark.stop()
 

@@ -59,12 +59,18 @@ class SequenceSpec:
     first_name: str = "first_value"
     lag_name: str = "previous_value"
     prev_count_name: str = "previous_count"
+    # "previous_row": COUNT/SUM over exactly the previous row (ROWS 1 PRECEDING
+    # AND 1 PRECEDING); "all_previous": over every earlier row of the entity.
+    frame: str = "previous_row"
 
 
 def sequence_features(df: DataFrame, spec: SequenceSpec, strategy: str = "auto",
                       num_partitions: int | None = None,
                       hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """All columns of ``df`` plus the sequence features of ``spec``."""
+    if spec.frame == "all_previous":
+        # running totals: only the Window strategy implements them
+        return _window(df, spec)
     if strategy == "auto":
         strategy = "ranged" if largest_group(df, spec.partition_by) > hot_rows else "window"
     if strategy == "window":
@@ -88,7 +94,8 @@ def largest_group(df: DataFrame, key: str) -> int:
 def _window(df: DataFrame, s: SequenceSpec) -> DataFrame:
     w = Window.partitionBy(s.partition_by).orderBy(
         *[F.col(c).asc_nulls_first() for c in s.order_by])
-    prev = w.rowsBetween(-1, -1)
+    prev = w.rowsBetween(-1, -1) if s.frame == "previous_row" else \
+        w.rowsBetween(Window.unboundedPreceding, -1)
     cols = [F.row_number().over(w).alias(s.row_number_name),
             F.first(s.first_of).over(w).alias(s.first_name),
             F.lag(s.lag_of).over(w).alias(s.lag_name),

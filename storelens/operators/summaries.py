@@ -7,6 +7,7 @@ TakeOrderedAndProject, so a hot key never lands whole in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,17 +41,30 @@ def min_mean_max(df: DataFrame, value: str, names: tuple[str, str, str],
 
 
 def key_profile(df: DataFrame, row_count_name: str,
-                distinct: dict[str, Sequence[str]]) -> DataFrame:
-    """Row count plus exact distinct counts of column sets, in one pass.
+                distinct: dict[str, Sequence[str]], mode: str = "separate") -> DataFrame:
+    """Row count plus exact distinct counts of column sets (one row).
 
-    ``countDistinct(a, b)`` skips rows where any part is NULL, which is the
-    same set CONCAT-based keys count.  Spark expands the input once per
-    distinct set and de-duplicates map-side before the shuffle.
+    Rows with a NULL in any column of a set are not counted for that set,
+    the same rows a CONCAT-built key would skip.
+
+    ``mode="separate"`` (default) runs one DISTINCT aggregate per set and
+    joins the one-row results: each de-duplicates map-side on its own narrow
+    key and reads only its columns.  ``mode="expand"`` is Spark's single
+    multi-distinct aggregate, which expands every input row once per set.
     """
-    aggs: list[Column] = [F.count(F.lit(1)).alias(row_count_name)]
+    if mode == "expand":
+        aggs: list[Column] = [F.count(F.lit(1)).alias(row_count_name)]
+        for name, cols in distinct.items():
+            aggs.append(F.countDistinct(*[F.col(c) for c in cols]).alias(name))
+        return df.agg(*aggs)
+    if mode != "separate":
+        raise ValueError("mode must be separate|expand")
+    out = df.agg(F.count(F.lit(1)).alias(row_count_name))
     for name, cols in distinct.items():
-        aggs.append(F.countDistinct(*[F.col(c) for c in cols]).alias(name))
-    return df.agg(*aggs)
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+        n = df.where(present).select(*cols).distinct().agg(F.count(F.lit(1)).alias(name))
+        out = attach_scalar(out, n)
+    return out
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:

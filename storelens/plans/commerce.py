@@ -65,11 +65,14 @@ def canceled_handed_to_carrier_share(orders: DataFrame) -> DataFrame:
                     pct.alias("canceled_and_delivered_carrier_order_percentage"))
 
 
-def returning_customer_share(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def returning_customer_share(orders: DataFrame, customers: DataFrame,
+                             count: str = "orders") -> DataFrame:
     """Distinct persons; delivered orders of persons with more than one
     delivered order; their percentage of the person count.
 
-    The numerator counts *orders* of returning persons, as the source does.
+    The numerator counts *orders* of returning persons, as the source does;
+    ``count="persons"`` counts the returning persons themselves (the intent
+    stated by the column name).
     """
     all_people = customers.agg(
         F.countDistinct("customer_unique_id").alias("customer_count"))
@@ -80,7 +83,8 @@ def returning_customer_share(orders: DataFrame, customers: DataFrame) -> DataFra
                   .where(F.col("customer_unique_id").isNotNull())
                   .groupBy("customer_unique_id").agg(F.sum("n").alias("c"))
                   .where(F.col("c") > 1))
-    returning = per_person.agg(F.sum("c").cast("bigint").alias("returning_customer_count"))
+    num = F.sum("c") if count == "orders" else F.count(F.lit(1))
+    returning = per_person.agg(num.cast("bigint").alias("returning_customer_count"))
     both = attach_scalar(all_people, returning)
     return both.select(
         "customer_count", "returning_customer_count",
@@ -164,13 +168,17 @@ def avg_review_by_status(orders: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def top_cities_by_avg_payment(orders: DataFrame, payments: DataFrame,
-                              customers: DataFrame, k: int = 3) -> DataFrame:
+                              customers: DataFrame, k: int = 3, per: str = "payment") -> DataFrame:
     """Cities by mean payment row: payment rows, their sum, their mean; top k.
 
-    Payments roll up per order, then per customer id, before the city join.
+    ``per="order"`` divides by paid orders instead of payment rows (the
+    "average order value" the source's comment names).  Payments roll up per
+    order, then per customer id, before the city join.
     """
     pay = payments.groupBy("order_id").agg(F.count("payment_value").alias("c"),
                                            F.sum("payment_value").alias("s"))
+    if per == "order":
+        pay = pay.select("order_id", F.when(F.col("c") > 0, 1).otherwise(0).alias("c"), "s")
     per_id = (orders.select("order_id", "customer_id").join(pay, "order_id", "left")
               .groupBy("customer_id").agg(F.sum("c").alias("c"), F.sum("s").alias("s")))
     j = per_id.join(customers.select("customer_id", "customer_city"), "customer_id", "left")

@@ -117,17 +117,24 @@ def rentals_by_actor_popularity_band(films, inventory, rentals, film_actor) -> D
                 "avg_actor_film_count_group"))
 
 
-def likelihood_score(avg, cat, favoured: str = "Sci-Fi", excluded: str = "Foreign",
+def likelihood_score(avg, cat, favoured="Sci-Fi", excluded="Foreign",
                      high: float = 28, low: float = 25):
-    """Rental-likelihood score 1-5 from actor popularity and category."""
-    return score_rules([((avg > high) & (cat == favoured), 5),
-                        ((avg > low) & (cat == favoured), 4),
-                        ((avg > high) & (cat != excluded), 3),
-                        ((avg > low) & (cat != excluded), 2)], 1)
+    """Rental-likelihood score 1-5 from actor popularity and category.
+
+    ``favoured`` / ``excluded`` are one name (the source's predicate as MySQL
+    evaluates it) or a list of names (the predicate the source meant:
+    ``IN`` / ``NOT IN``).
+    """
+    fav = cat.isin(*favoured) if isinstance(favoured, (list, tuple)) else cat == favoured
+    exc = ~cat.isin(*excluded) if isinstance(excluded, (list, tuple)) else cat != excluded
+    return score_rules([((avg > high) & fav, 5),
+                        ((avg > low) & fav, 4),
+                        ((avg > high) & exc, 3),
+                        ((avg > low) & exc, 2)], 1)
 
 
 def rental_likelihood_by_category(films, inventory, rentals, film_actor, film_category,
-                                  category, favoured: str = "Sci-Fi", excluded: str = "Foreign",
+                                  category, favoured="Sci-Fi", excluded="Foreign",
                                   high: float = 28, low: float = 25,
                                   key_on_rental_side: bool = False) -> DataFrame:
     """Per category: rentals and the mean rental-likelihood score (1-5) of its

@@ -35,9 +35,17 @@ def item_spec() -> SequenceSpec:
         lag_name="previous_date", prev_count_name="previous_order_count")
 
 
-def item_sequence(items: DataFrame, strategy: str = "auto", **kw) -> DataFrame:
-    """Items plus all sequence features (money sums as decimal(38,2))."""
-    f = sequence_features(items, item_spec(), strategy=strategy, **kw)
+def item_sequence(items: DataFrame, strategy: str = "auto", frame: str = "previous_row",
+                  **kw) -> DataFrame:
+    """Items plus all sequence features (money sums as decimal(38,2)).
+
+    ``frame="all_previous"`` counts and sums over all earlier items of the
+    product (what the source's comment describes) instead of exactly the
+    previous one (what its SQL does).
+    """
+    spec = item_spec()
+    spec.frame = frame
+    f = sequence_features(items, spec, strategy=strategy, **kw)
     return f.withColumns({c: F.col(c).cast(MONEY) for c in
                           ("previous_order_price_sum", "previous_order_total_price_sum")})
 
@@ -72,9 +80,10 @@ def item_first_prev_date(items: DataFrame, strategy: str = "auto") -> DataFrame:
         *ITEM_COLUMNS, "order_number", "first_date", "previous_date")
 
 
-def item_prev_frame_stats(items: DataFrame, strategy: str = "auto") -> DataFrame:
+def item_prev_frame_stats(items: DataFrame, strategy: str = "auto",
+                          frame: str = "previous_row") -> DataFrame:
     """... + count and price sum over exactly the previous item."""
-    return item_sequence(items, strategy).select(
+    return item_sequence(items, strategy, frame).select(
         *ITEM_COLUMNS, "order_number", "first_date", "previous_date",
         "previous_order_count", "previous_order_price_sum")
 

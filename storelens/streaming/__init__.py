@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analyses this library reproduces are batch statements over finished
+tables; none uses a watermark, an event-time window, state or late data.
+Every operator is a pure DataFrame -> DataFrame function, so a caller that
+wants periodic refreshes can run one inside ``foreachBatch`` over a
+re-read table; no streaming operator is provided because none is needed.
+"""

@@ -107,3 +107,18 @@ def test_top_cities_payment_row_mean(spark, customers):
     got = [tuple(r) for r in cm.top_cities_by_avg_payment(orders, pay, customers).collect()]
     assert got == [("Lviv", 1, Decimal("2.50"), 2.5), ("Kyiv", 2, Decimal("3.00"), 1.5),
                    ("Odesa", 0, None, None)]
+
+
+def test_intent_variants_differ_as_predicted(spark, customers):
+    orders = spark.createDataFrame([
+        o(1, 1, "delivered", dt(2020, 1, 1)), o(2, 2, "delivered", dt(2020, 2, 1)),
+        o(3, 1, "delivered", dt(2020, 3, 1)), o(4, 3, "delivered", dt(2020, 1, 1))], ORD)
+    # person 10 has three delivered orders: 3 orders, but 1 person
+    assert rows(cm.returning_customer_share(orders, customers))[0][1] == 3
+    assert rows(cm.returning_customer_share(orders, customers, count="persons"))[0][1] == 1
+    pay = spark.createDataFrame([(1, Decimal("1.00")), (1, Decimal("2.00")), (4, Decimal("2.50"))],
+                                "order_id long, payment_value decimal(12,2)")
+    by_row = dict((r[0], r[3]) for r in cm.top_cities_by_avg_payment(orders, pay, customers).collect())
+    by_order = dict((r[0], r[3]) for r in
+                    cm.top_cities_by_avg_payment(orders, pay, customers, per="order").collect())
+    assert by_row["Kyiv"] == 1.5 and by_order["Kyiv"] == 3.0 and by_order["Lviv"] == 2.5

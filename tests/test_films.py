@@ -75,3 +75,12 @@ def test_view_invariants(spark):
     for k in ("cost_group_rentals", "length_group_rentals", "rentals_per_staff"):
         assert q(k).agg(F.sum("rental")).first()[0] == n
     assert q("rating_ratio").agg(F.sum("rental")).first()[0] == n
+
+
+def test_intended_category_lists(spark):
+    df = spark.createDataFrame([(30.0, "Animation"), (30.0, "Travel")], "a double, c string")
+    literal = fm.likelihood_score(F.col("a"), F.col("c"))
+    intended = fm.likelihood_score(F.col("a"), F.col("c"), favoured=["Sci-Fi", "Animation"],
+                                   excluded=["Foreign", "Travel"])
+    assert [r[0] for r in df.select(literal).collect()] == [3, 3]
+    assert [r[0] for r in df.select(intended).collect()] == [5, 1]

@@ -76,3 +76,16 @@ def test_feature_summary_midpoints(spark):
     pinned = it.item_feature_summary(items, first_midpoint_days=616,
                                      previous_midpoint_days=649).first()
     assert (pinned.average_previous_date - pinned.average_first_date).days == 33
+
+
+def test_all_previous_frame_variant(spark):
+    items = commerce.order_items(Tables(spark, SF_SMALL))
+    one = it.item_prev_frame_stats(items)
+    allp = it.item_prev_frame_stats(items, frame="all_previous")
+    assert allp.where("previous_order_count != order_number - 1").count() == 0
+    assert one.where("previous_order_count > 1").count() == 0
+    # the second item of a product sees the same single previous item either way
+    k = ["order_id", "order_item_id", "product_id"]
+    a = one.where("order_number = 2").select(*k, "previous_order_price_sum")
+    b = allp.where("order_number = 2").select(*k, "previous_order_price_sum")
+    assert rows(a) == rows(b)
