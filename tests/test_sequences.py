@@ -68,3 +68,13 @@ def test_previous_frame_is_single_row(spark, items):
     f = sequence_features(items, item_spec(), "window")
     assert set(r[0] for r in f.select("previous_order_count").distinct().collect()) <= {0, 1}
     assert f.where("order_number = 1 AND previous_order_price_sum IS NOT NULL").count() == 0
+
+
+def test_auto_switches_to_ranged_for_a_hot_product(spark, items):
+    hot = items.withColumn("product_id",
+                           F.when(F.col("order_id") % 3 == 0, F.lit(7)).otherwise(F.col("product_id")))
+    out = sequence_features(hot, _spec(), "auto", hot_rows=100, num_partitions=6)
+    plan = out._jdf.queryExecution().toString()
+    assert "Window [" not in plan.split("== Physical Plan ==")[1].split("BroadcastExchange")[0]
+    w = sequence_features(hot, _spec(), "window")
+    assert _same(w, out)
