@@ -3,7 +3,7 @@
 For every row of an entity (e.g. every sold item of a product), ordered by a
 total sort key, this adds
 
-* ``row_number``  1, 2, ... within the entity,
+* ``row_number``  1, 2, ... within the entity (bigint),
 * ``first``       the value of a column at the entity's first row,
 * ``lag``         the value of a column at the previous row (NULL on the first),
 * ``prev_count``  COUNT(col) over exactly the previous row (0 or 1),
@@ -96,7 +96,8 @@ def _window(df: DataFrame, s: SequenceSpec) -> DataFrame:
         *[F.col(c).asc_nulls_first() for c in s.order_by])
     prev = w.rowsBetween(-1, -1) if s.frame == "previous_row" else \
         w.rowsBetween(Window.unboundedPreceding, -1)
-    cols = [F.row_number().over(w).alias(s.row_number_name),
+    # bigint: one entity may hold more than 2^31 rows
+    cols = [F.row_number().over(w).cast("bigint").alias(s.row_number_name),
             F.first(s.first_of).over(w).alias(s.first_name),
             F.lag(s.lag_of).over(w).alias(s.lag_name),
             F.count(s.prev_count_of).over(prev).alias(s.prev_count_name)]
@@ -172,16 +173,18 @@ def _ranged(df: DataFrame, s: SequenceSpec, num_partitions: int | None) -> DataF
     edge = local.where(F.col(_HEAD) | F.col(_TAIL))
     heads = edge.where(F.col(_HEAD)).select(
         _PID, s.partition_by, F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_n"),
-        F.lit(None).cast(in_schema[s.first_of].dataType).alias("_first_here"),
+        F.lit(None).cast(T.StructType([T.StructField("v", in_schema[s.first_of].dataType)]))
+        .alias("_first_here"),
         F.lit(None).cast(last_type(in_schema, s, value_names)).alias("_last_here"))
     tails = edge.where(F.col(_TAIL)).select(
         _PID, s.partition_by, F.lit(1).alias("_kind"), F.col(_RN).alias("_n"),
-        F.col(_FIRST).alias("_first_here"), last.alias("_last_here"))
+        F.struct(F.col(_FIRST).alias("v")).alias("_first_here"), last.alias("_last_here"))
     w = (Window.partitionBy(s.partition_by).orderBy(_PID, "_kind")
          .rowsBetween(Window.unboundedPreceding, -1))
     fix = (heads.unionByName(tails)
            .select(_PID, s.partition_by, "_kind",
                    F.sum("_n").over(w).alias("_offset"),
+                   # structs: only head rows are NULL, a NULL first value survives
                    F.first("_first_here", ignorenulls=True).over(w).alias("_run_first"),
                    F.last("_last_here", ignorenulls=True).over(w).alias("_prev_last"))
            .where((F.col("_kind") == 0) & F.col("_offset").isNotNull())
@@ -197,8 +200,8 @@ def _ranged(df: DataFrame, s: SequenceSpec, num_partitions: int | None) -> DataF
     head = cont & (F.col(_RN) == 1)
     out = [F.col(c) for c in df.columns]
     out += [
-        (F.col(_RN) + F.coalesce(F.col("_offset"), F.lit(0))).cast("int").alias(s.row_number_name),
-        F.when(cont, F.col("_run_first")).otherwise(F.col(_FIRST)).alias(s.first_name),
+        (F.col(_RN) + F.coalesce(F.col("_offset"), F.lit(0))).alias(s.row_number_name),
+        F.when(cont, F.col("_run_first.v")).otherwise(F.col(_FIRST)).alias(s.first_name),
         F.when(head, F.col("_prev_last.lag")).otherwise(F.col(_LAG)).alias(s.lag_name),
         F.when(head, F.col("_prev_last.cnt")).otherwise(F.col(_CNT)).alias(s.prev_count_name),
     ]

@@ -78,3 +78,16 @@ def test_auto_switches_to_ranged_for_a_hot_product(spark, items):
     assert "Window [" not in plan.split("== Physical Plan ==")[1].split("BroadcastExchange")[0]
     w = sequence_features(hot, _spec(), "window")
     assert _same(w, out)
+
+
+def test_null_first_value_survives_partition_boundaries(spark, items):
+    # the first item of the hot product has no ship date: FIRST_VALUE is NULL
+    hot = (items.withColumn("product_id", F.when(F.col("order_id") % 3 == 0, F.lit(7))
+                            .otherwise(F.col("product_id")))
+           .withColumn("shipping_limit_date",
+                       F.when((F.col("product_id") == 7) & (F.col("order_id") % 50 == 0), None)
+                       .otherwise(F.col("shipping_limit_date"))))
+    w = sequence_features(hot, _spec(), "window")
+    r = sequence_features(hot, _spec(), "ranged", num_partitions=9)
+    assert _same(w, r)
+    assert r.where("product_id = 7 AND first_date IS NOT NULL").count() == 0
