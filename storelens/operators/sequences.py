@@ -9,6 +9,9 @@ total sort key, this adds
 * ``prev_count``  COUNT(col) over exactly the previous row (0 or 1),
 * ``prev_sums``   SUM(expr) over exactly the previous row (its value, or NULL).
 
+With ``frame="all_previous"`` the count and sums run over every earlier row
+of the entity instead (running totals).
+
 Two physical strategies compute the same result:
 
 ``window``
@@ -68,9 +71,8 @@ def sequence_features(df: DataFrame, spec: SequenceSpec, strategy: str = "auto",
                       num_partitions: int | None = None,
                       hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """All columns of ``df`` plus the sequence features of ``spec``."""
-    if spec.frame == "all_previous":
-        # running totals: only the Window strategy implements them
-        return _window(df, spec)
+    if spec.frame not in ("previous_row", "all_previous"):
+        raise ValueError(f"frame must be previous_row|all_previous, got {spec.frame!r}")
     if strategy == "auto":
         strategy = "ranged" if largest_group(df, spec.partition_by) > hot_rows else "window"
     if strategy == "window":
@@ -112,6 +114,7 @@ def _window(df: DataFrame, s: SequenceSpec) -> DataFrame:
 _PID = "_seq_pid"
 _RN, _FIRST, _LAG, _CNT = "_seq_rn", "_seq_first", "_seq_lag", "_seq_cnt"
 _HEAD, _TAIL = "_seq_head", "_seq_tail"
+_ACNT = "_seq_acnt"
 
 
 def last_type(schema, s, value_names):
@@ -153,8 +156,16 @@ def _ranged(df: DataFrame, s: SequenceSpec, num_partitions: int | None) -> DataF
         T.StructField(_HEAD, T.BooleanType(), False),
         T.StructField(_TAIL, T.BooleanType(), False),
     ]
+    running = s.frame == "all_previous"
+    if running:
+        # exclusive running totals within the partition's part of each group
+        out_fields.append(T.StructField(_ACNT, T.LongType(), False))
+        for v in value_names:
+            out_fields += [T.StructField(f"{v}_acnt", T.LongType(), False),
+                           T.StructField(f"{v}_asum", _running_type(in_schema[v].dataType), True)]
     local = ranged.mapInArrow(
-        _local_pass_fn(s.partition_by, s.first_of, s.lag_of, s.prev_count_of, value_names),
+        _local_pass_fn(s.partition_by, s.first_of, s.lag_of, s.prev_count_of, value_names,
+                       running),
         T.StructType(out_fields))
     # Materialise the swept partitions once in the shared checkpoint folder:
     # the edge table and the repair below must see the very same partition
@@ -171,14 +182,23 @@ def _ranged(df: DataFrame, s: SequenceSpec, num_partitions: int | None) -> DataF
                     F.col(s.prev_count_of).isNotNull().cast("long").alias("cnt"),
                     *[F.col(v).alias(v) for v in value_names])
     edge = local.where(F.col(_HEAD) | F.col(_TAIL))
+    totals = {}
+    if running:
+        totals["_t_cnt"] = F.col(_ACNT) + F.col(s.prev_count_of).isNotNull().cast("long")
+        for v in value_names:
+            totals[f"_t_{v}_cnt"] = F.col(f"{v}_acnt") + F.col(v).isNotNull().cast("long")
+            totals[f"_t_{v}_sum"] = (F.coalesce(F.col(f"{v}_asum"), F.lit(0))
+                                     + F.coalesce(F.col(v), F.lit(0)))
     heads = edge.where(F.col(_HEAD)).select(
         _PID, s.partition_by, F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_n"),
         F.lit(None).cast(T.StructType([T.StructField("v", in_schema[s.first_of].dataType)]))
         .alias("_first_here"),
-        F.lit(None).cast(last_type(in_schema, s, value_names)).alias("_last_here"))
+        F.lit(None).cast(last_type(in_schema, s, value_names)).alias("_last_here"),
+        *[F.lit(None).cast(edge.select(e).schema[0].dataType).alias(k) for k, e in totals.items()])
     tails = edge.where(F.col(_TAIL)).select(
         _PID, s.partition_by, F.lit(1).alias("_kind"), F.col(_RN).alias("_n"),
-        F.struct(F.col(_FIRST).alias("v")).alias("_first_here"), last.alias("_last_here"))
+        F.struct(F.col(_FIRST).alias("v")).alias("_first_here"), last.alias("_last_here"),
+        *[e.alias(k) for k, e in totals.items()])
     w = (Window.partitionBy(s.partition_by).orderBy(_PID, "_kind")
          .rowsBetween(Window.unboundedPreceding, -1))
     fix = (heads.unionByName(tails)
@@ -186,7 +206,8 @@ def _ranged(df: DataFrame, s: SequenceSpec, num_partitions: int | None) -> DataF
                    F.sum("_n").over(w).alias("_offset"),
                    # structs: only head rows are NULL, a NULL first value survives
                    F.first("_first_here", ignorenulls=True).over(w).alias("_run_first"),
-                   F.last("_last_here", ignorenulls=True).over(w).alias("_prev_last"))
+                   F.last("_last_here", ignorenulls=True).over(w).alias("_prev_last"),
+                   *[F.sum(k).over(w).alias(f"_off{k}") for k in totals])
            .where((F.col("_kind") == 0) & F.col("_offset").isNotNull())
            .drop("_kind")
            .withColumnRenamed(s.partition_by, "_seq_key")
@@ -203,25 +224,72 @@ def _ranged(df: DataFrame, s: SequenceSpec, num_partitions: int | None) -> DataF
         (F.col(_RN) + F.coalesce(F.col("_offset"), F.lit(0))).alias(s.row_number_name),
         F.when(cont, F.col("_run_first.v")).otherwise(F.col(_FIRST)).alias(s.first_name),
         F.when(head, F.col("_prev_last.lag")).otherwise(F.col(_LAG)).alias(s.lag_name),
-        F.when(head, F.col("_prev_last.cnt")).otherwise(F.col(_CNT)).alias(s.prev_count_name),
     ]
+    if not running:
+        out.append(F.when(head, F.col("_prev_last.cnt")).otherwise(F.col(_CNT))
+                   .alias(s.prev_count_name))
+        for name, v in zip(s.prev_sums, value_names):
+            val = F.when(head, F.col(f"_prev_last.{v}")).otherwise(F.col(f"{v}_prev"))
+            out.append(val.cast(sum_types[name]).alias(name))
+        return j.select(*out)
+    # all earlier rows: this partition's running totals plus earlier partitions' totals
+    out.append((F.col(_ACNT) + F.coalesce(F.col("_off_t_cnt"), F.lit(0))).alias(s.prev_count_name))
     for name, v in zip(s.prev_sums, value_names):
-        val = F.when(head, F.col(f"_prev_last.{v}")).otherwise(F.col(f"{v}_prev"))
-        out.append(val.cast(sum_types[name]).alias(name))
+        n_vals = F.col(f"{v}_acnt") + F.coalesce(F.col(f"_off_t_{v}_cnt"), F.lit(0))
+        total = (F.coalesce(F.col(f"{v}_asum"), F.lit(0))
+                 + F.coalesce(F.col(f"_off_t_{v}_sum"), F.lit(0)))
+        out.append(F.when(n_vals > 0, total).cast(sum_types[name]).alias(name))
     return j.select(*out)
 
 
+def _running_type(t: T.DataType) -> T.DataType:
+    """Type of an exact running total of ``t`` inside the sweep."""
+    if isinstance(t, T.DecimalType):
+        return T.DecimalType(38, t.scale)
+    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return T.DecimalType(38, 0)
+    return T.DoubleType()
+
+
 def _local_pass_fn(key: str, first_of: str, lag_of: str, count_of: str,
-                   value_names: Sequence[str]):
+                   value_names: Sequence[str], running: bool = False):
     """Build the per-partition Arrow sweep.  Input batches arrive in the
     partition's sort order; a one-row carry links consecutive batches."""
 
+    # Everything the sweep needs is local to this closure (column names are
+    # bound below), so it pickles by value and executors need no copy of this
+    # package.
+    pid_c, rn_c, first_c, lag_c, cnt_c = _PID, _RN, _FIRST, _LAG, _CNT
+    head_c, tail_c, acnt_c = _HEAD, _TAIL, _ACNT
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
         from pyspark import TaskContext
 
+        import decimal
+
+        def _units(col, valid):
+            # exact numbers for running sums: unscaled Python ints for decimals
+            # and integers (object array), floats for floating point; NULL -> 0
+            t = col.type
+            if pa.types.is_decimal(t):
+                raw = [0 if x is None else int(x.scaleb(t.scale)) for x in col.to_pylist()]
+                return np.array(raw, dtype=object)
+            if pa.types.is_integer(t):
+                return np.array(col.fill_null(0).to_numpy(zero_copy_only=False).astype(object))
+            return np.where(valid, col.fill_null(0).to_numpy(zero_copy_only=False), 0.0).astype(float)
+
+        def _from_units(units, t):
+            # inverse of _units, into the running-total Arrow type
+            if pa.types.is_decimal(t):
+                return pa.array([decimal.Decimal(int(u)).scaleb(-t.scale) for u in units],
+                                pa.decimal128(38, t.scale))
+            if pa.types.is_integer(t):
+                return pa.array([decimal.Decimal(int(u)) for u in units], pa.decimal128(38, 0))
+            return pa.array(units, pa.float64())
+
         pid = TaskContext.get().partitionId()
         lagged = [lag_of, *value_names]
         carry = None  # dict: key(valid, value), rn, first scalar, last row cells
@@ -273,6 +341,31 @@ def _local_pass_fn(key: str, first_of: str, lag_of: str, count_of: str,
             head_flag = np.zeros(n, dtype=bool)
             if carry is None:
                 head_flag[0] = True
+
+            run_cols, run_carry = [], {}
+            if running:
+                base_of = np.where(cont, 0, starts)
+
+                def exclusive(x, carried):
+                    # running total of the earlier rows of each group (exact for
+                    # integers: Python ints in an object array)
+                    inc = np.cumsum(x)
+                    excl = inc - x
+                    excl = excl - excl[base_of]
+                    return np.where(cont, excl + carried, excl), excl[-1] + x[-1] + \
+                        (carried if cont[-1] else 0)
+
+                cv = cnt_valid.astype(np.int64)
+                acnt, run_carry["acnt"] = exclusive(cv, carry["acnt"] if carry else 0)
+                run_cols.append(pa.array(acnt.astype(np.int64)))
+                for v in value_names:
+                    col = b.column(v)
+                    ok = pc.is_valid(col).to_numpy(zero_copy_only=False)
+                    vc, run_carry[f"{v}_cnt"] = exclusive(ok.astype(np.int64),
+                                                          carry[f"{v}_cnt"] if carry else 0)
+                    units = _units(col, ok)
+                    vs, run_carry[f"{v}_sum"] = exclusive(units, carry[f"{v}_sum"] if carry else 0)
+                    run_cols += [pa.array(vc.astype(np.int64)), _from_units(vs, col.type)]
             arrays = list(b.columns) + [
                 pa.array(np.full(n, pid, dtype=np.int32)),
                 pa.array(rn.astype(np.int64)),
@@ -280,24 +373,32 @@ def _local_pass_fn(key: str, first_of: str, lag_of: str, count_of: str,
                 prev_cols[0],
                 pa.array(cnt),
             ] + prev_cols[1:] + [pa.array(head_flag)]
-            names = list(b.schema.names) + [_PID, _RN, _FIRST, _LAG, _CNT] + \
-                [f"{v}_prev" for v in value_names] + [_HEAD, _TAIL]
+            names = list(b.schema.names) + [pid_c, rn_c, first_c, lag_c, cnt_c] + \
+                [f"{v}_prev" for v in value_names] + [head_c, tail_c]
+            if running:
+                names += [acnt_c] + [x for v in value_names for x in (f"{v}_acnt", f"{v}_asum")]
+
+            def batch(arrs, nms, rows, tail):
+                flag = np.zeros(rows, dtype=bool)
+                if tail:
+                    flag[-1] = True
+                return pa.RecordBatch.from_arrays(arrs[0] + [pa.array(flag)] + arrs[1], names=nms)
+
             # hold one batch back: only at the end is the partition's last row known
             if pending is not None:
-                yield pa.RecordBatch.from_arrays(pending[0] + [pa.array(np.zeros(pending[2], dtype=bool))],
-                                                 names=pending[1])
-            pending = (arrays, names, n)
+                yield batch(*pending, tail=False)
+            pending = ((arrays, run_cols), names, n)
 
             carry = {
                 "valid": bool(valid[-1]), "val": vals[-1], "rn": int(rn[-1]),
                 "first": first[n - 1],
                 "cells": {c: b.column(c).slice(n - 1, 1) for c in lagged},
                 "cnt_valid": bool(cnt_valid[-1]),
+                **run_carry,
             }
 
         if pending is not None:
-            tail_flag = np.zeros(pending[2], dtype=bool)
-            tail_flag[-1] = True
-            yield pa.RecordBatch.from_arrays(pending[0] + [pa.array(tail_flag)], names=pending[1])
+            yield batch(*pending, tail=True)
 
     return run
+

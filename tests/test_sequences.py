@@ -91,3 +91,20 @@ def test_null_first_value_survives_partition_boundaries(spark, items):
     r = sequence_features(hot, _spec(), "ranged", num_partitions=9)
     assert _same(w, r)
     assert r.where("product_id = 7 AND first_date IS NOT NULL").count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_all_previous_frame_ranged_equals_window(spark, items, parts):
+    hot = items.withColumn(
+        "product_id", F.when(F.col("order_id") % 3 == 0, F.lit(7)).otherwise(F.col("product_id")))
+    hot = hot.withColumn("price", F.when(F.col("order_id") % 11 == 0, None).otherwise(F.col("price")))
+    spec = _spec()
+    spec.frame = "all_previous"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "101")
+    try:
+        w = sequence_features(hot, spec, "window")
+        r = sequence_features(hot, spec, "ranged", num_partitions=parts)
+        assert w.schema == r.schema
+        assert _same(w, r)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
