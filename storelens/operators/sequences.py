@@ -271,24 +271,37 @@ def _local_pass_fn(key: str, first_of: str, lag_of: str, count_of: str,
         import decimal
 
         def _units(col, valid):
-            # exact numbers for running sums: unscaled Python ints for decimals
-            # and integers (object array), floats for floating point; NULL -> 0
+            # exact numbers for running sums: unscaled integers for decimals and
+            # integers (object arrays of Python ints: sums never overflow),
+            # floats for floating point; NULL -> 0
             t = col.type
+            if pa.types.is_decimal(t) and t.bit_width == 128:
+                # decimal128 cells are 16-byte two's complement unscaled integers
+                raw = np.frombuffer(col.buffers()[1], dtype=np.int64)[
+                    2 * col.offset: 2 * (col.offset + len(col))]
+                lo, hi = raw[0::2], raw[1::2]
+                if np.array_equal(hi, lo >> 63):            # every cell fits in 64 bits
+                    return np.where(valid, lo, 0).astype(object)
             if pa.types.is_decimal(t):
-                raw = [0 if x is None else int(x.scaleb(t.scale)) for x in col.to_pylist()]
-                return np.array(raw, dtype=object)
+                return np.array([0 if x is None else int(x.scaleb(t.scale))
+                                 for x in col.to_pylist()], dtype=object)
             if pa.types.is_integer(t):
-                return np.array(col.fill_null(0).to_numpy(zero_copy_only=False).astype(object))
+                return col.fill_null(0).to_numpy(zero_copy_only=False).astype(object)
             return np.where(valid, col.fill_null(0).to_numpy(zero_copy_only=False), 0.0).astype(float)
 
         def _from_units(units, t):
             # inverse of _units, into the running-total Arrow type
-            if pa.types.is_decimal(t):
-                return pa.array([decimal.Decimal(int(u)).scaleb(-t.scale) for u in units],
-                                pa.decimal128(38, t.scale))
-            if pa.types.is_integer(t):
-                return pa.array([decimal.Decimal(int(u)) for u in units], pa.decimal128(38, 0))
-            return pa.array(units, pa.float64())
+            if not (pa.types.is_decimal(t) or pa.types.is_integer(t)):
+                return pa.array(units, pa.float64())
+            scale = t.scale if pa.types.is_decimal(t) else 0
+            out_t = pa.decimal128(38, scale)
+            try:
+                u64 = np.asarray(units, dtype=np.int64)       # OverflowError if too large
+            except OverflowError:
+                return pa.array([decimal.Decimal(int(u)).scaleb(-scale) for u in units], out_t)
+            cells = np.empty(2 * len(u64), dtype=np.int64)
+            cells[0::2], cells[1::2] = u64, u64 >> 63
+            return pa.Array.from_buffers(out_t, len(u64), [None, pa.py_buffer(cells.tobytes())])
 
         pid = TaskContext.get().partitionId()
         lagged = [lag_of, *value_names]

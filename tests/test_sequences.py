@@ -108,3 +108,15 @@ def test_all_previous_frame_ranged_equals_window(spark, items, parts):
         assert _same(w, r)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_running_totals_beyond_64_bits(spark):
+    from decimal import Decimal
+    big = Decimal("9" * 17 + ".99")      # unscaled value needs ~67 bits
+    data = [(1 if i % 4 else 2, i, big if i % 5 else None) for i in range(400)]
+    df = spark.createDataFrame(data, "k long, o long, v decimal(20,2)")
+    spec = SequenceSpec("k", ["o"], "o", "o", "o", {"s": F.col("v")}, frame="all_previous")
+    w = sequence_features(df, spec, "window")
+    r = sequence_features(df, spec, "ranged", num_partitions=3)
+    assert _same(w, r)
+    assert r.agg(F.max("s")).first()[0] > Decimal(2) ** 64
