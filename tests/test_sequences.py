@@ -120,3 +120,12 @@ def test_running_totals_beyond_64_bits(spark):
     r = sequence_features(df, spec, "ranged", num_partitions=3)
     assert _same(w, r)
     assert r.agg(F.max("s")).first()[0] > Decimal(2) ** 64
+
+
+def test_sampled_hot_check_finds_the_hot_product(spark, items):
+    hot = items.withColumn(
+        "product_id", F.when(F.col("order_id") % 3 == 0, F.lit(7)).otherwise(F.col("product_id")))
+    exact = largest_group(hot, "product_id")
+    est = largest_group(hot, "product_id", 0.05)
+    assert 0.5 * exact < est < 1.5 * exact
+    assert largest_group(items, "product_id", 0.05) < exact / 10
