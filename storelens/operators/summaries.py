@@ -25,16 +25,13 @@ def top_k(df: DataFrame, by: str, k: int, tie_break: Sequence[str] = (),
 
 
 def min_mean_max(df: DataFrame, value: str, names: tuple[str, str, str],
-                 mean_scale: int, unit_scale: int = 0,
-                 cast_minmax: str | None = None) -> DataFrame:
+                 mean_scale: int, unit_scale: int = 0) -> DataFrame:
     """One-row MIN / exact half-up rounded AVG / MAX of an integral column
     (or decimal money with ``unit_scale`` fraction digits)."""
     v = F.col(value)
     units = (v * (10 ** unit_scale)).cast("bigint") if unit_scale else v
     lo, mid, hi = names
     mn, mx = F.min(v), F.max(v)
-    if cast_minmax:
-        mn, mx = mn.cast(cast_minmax), mx.cast(cast_minmax)
     return df.agg(mn.alias(lo),
                   exact_mean(F.sum(units), F.count(v), mean_scale, unit_scale).alias(mid),
                   mx.alias(hi))
