@@ -32,20 +32,26 @@ def main() -> None:
                         shuffle_partitions=parts,
                         extra_conf={"spark.driver.memory": "16g"})
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for key, fn in QUERIES.items():
         samples = []
-        for i in range(runs + 1):           # first run warms the JVM and file cache
-            t0 = time.perf_counter()
-            fn(spark, root).write.format("noop").mode("overwrite").save()
-            if i:
-                samples.append(time.perf_counter() - t0)
+        try:
+            for i in range(runs + 1):           # first run warms the JVM and file cache
+                t0 = time.perf_counter()
+                fn(spark, root).write.format("noop").mode("overwrite").save()
+                if i:
+                    samples.append(time.perf_counter() - t0)
+        except Exception as exc:  # noqa: BLE001 - report and go on with the other keys
+            errors[key] = f"{type(exc).__name__}: {str(exc)[:300]}"
+            continue
         times[key] = round(statistics.median(samples), 3)
     m = re.search(r"sf([0-9.]+)", root)
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,
                       "sf": float(m.group(1)) if m else root,
                       "config": {"master": f"local[{cpus}]", "shuffle_partitions": parts,
-                                 "runs": runs, "spark": spark.version}}))
+                                 "runs": runs, "spark": spark.version},
+                      **({"errors": errors} if errors else {})}))
     spark.stop()
 
 
