@@ -2,10 +2,11 @@
 
 from storelens.functions.dates import (add_days, calendar_days_between, month_label,
                                        whole_days_between)
-from storelens.functions.numeric import (cents, exact_mean, half_up_ratio, percent,
-                                         safe_divide)
+from storelens.functions.numeric import (cents, exact_mean, from_cents, half_up_ratio,
+                                         money_sum, percent, safe_divide)
 
 __all__ = [
     "add_days", "calendar_days_between", "month_label", "whole_days_between",
-    "cents", "exact_mean", "half_up_ratio", "percent", "safe_divide",
+    "cents", "exact_mean", "from_cents", "half_up_ratio", "money_sum", "percent",
+    "safe_divide",
 ]

@@ -31,6 +31,22 @@ def cents(money, scale: int = 2) -> Column:
     return (_c(money) * (10 ** scale)).cast("bigint")
 
 
+def money_sum(money, scale: int = 2) -> Column:
+    """SUM of decimal money as bigint minor units (cents).
+
+    Summing ``decimal(p, 2)`` makes a ``decimal(p + 10, 2)`` buffer; above 18
+    digits Spark falls back to BigDecimal arithmetic, while a bigint sum stays
+    a primitive in generated code.  Exact; under ANSI mode an overflow fails
+    instead of wrapping.
+    """
+    return F.sum(cents(money, scale))
+
+
+def from_cents(units, scale: int = 2) -> Column:
+    """Minor units back to ``decimal(38, scale)`` money (exact)."""
+    return (_c(units).cast("decimal(38,0)") / (10 ** scale)).cast(f"decimal(38,{scale})")
+
+
 def half_up_ratio(num, den, scale: int, factor: int = 1, on_zero: str = "null",
                   as_decimal: bool = False) -> Column:
     """round_half_up(factor * num / den, scale) for integral ``num``/``den``

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.dates import month_label, whole_days_between
-from storelens.functions.numeric import cents, exact_mean, half_up_ratio, percent
+from storelens.functions.numeric import (exact_mean, from_cents, half_up_ratio, money_sum,
+                                         percent)
 from storelens.operators.summaries import attach_scalar, top_k
 
 MONEY = "decimal(38,2)"
@@ -140,20 +141,21 @@ def long_gap_nondelivered_share_v2(orders: DataFrame, customers: DataFrame,
 def monthly_canceled_revenue_share(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Per purchase month: revenue, revenue of canceled orders (both rounded
     to cents first) and the lost percentage; months in calendar order."""
-    pay = payments.groupBy("order_id").agg(F.sum("payment_value").alias("paid"))
+    # money is summed as bigint cents (exact, primitive); sums are already whole cents
+    pay = payments.groupBy("order_id").agg(money_sum("payment_value").alias("paid"))
     j = (orders.select("order_id", "order_status", "order_purchase_timestamp")
          .join(pay, "order_id", "left"))
     ts = F.col("order_purchase_timestamp")
     g = j.groupBy(F.year(ts).alias("y"), F.month(ts).alias("m")).agg(
-        F.round(F.sum("paid"), 2).cast(MONEY).alias("order_payment_amount"),
-        F.round(F.sum(F.when(F.col("order_status") == CANCELED, F.col("paid"))
-                      .otherwise(F.lit(0))), 2).cast(MONEY)
-        .alias("canceled_order_payment_amount"))
-    total, lost = F.col("order_payment_amount"), F.col("canceled_order_payment_amount")
-    pct = F.when(total > 0, percent(cents(lost), cents(total), 2)).otherwise(F.lit(0.0))
+        F.sum("paid").alias("total_c"),
+        F.sum(F.when(F.col("order_status") == CANCELED, F.col("paid")).otherwise(F.lit(0)))
+        .alias("lost_c"))
+    total, lost = F.col("total_c"), F.col("lost_c")
+    pct = F.when(total > 0, percent(lost, total, 2)).otherwise(F.lit(0.0))
     return (g.orderBy(F.col("y").asc_nulls_first(), F.col("m").asc_nulls_first())
-            .select(month_label("y", "m").alias("order_month"), "order_payment_amount",
-                    "canceled_order_payment_amount",
+            .select(month_label("y", "m").alias("order_month"),
+                    from_cents(total).alias("order_payment_amount"),
+                    from_cents(lost).alias("canceled_order_payment_amount"),
                     pct.alias("canceled_order_payment_percentage")))
 
 
@@ -176,7 +178,7 @@ def top_cities_by_avg_payment(orders: DataFrame, payments: DataFrame,
     order, then per customer id, before the city join.
     """
     pay = payments.groupBy("order_id").agg(F.count("payment_value").alias("c"),
-                                           F.sum("payment_value").alias("s"))
+                                           money_sum("payment_value").alias("s"))
     if per == "order":
         pay = pay.select("order_id", F.when(F.col("c") > 0, 1).otherwise(0).alias("c"), "s")
     per_id = (orders.select("order_id", "customer_id").join(pay, "order_id", "left")
@@ -186,6 +188,6 @@ def top_cities_by_avg_payment(orders: DataFrame, payments: DataFrame,
                                        F.sum("s").alias("s"))
     out = g.select("customer_city",
                    F.col("n").alias("order_payment_amount_coun"),
-                   F.round("s", 2).cast(MONEY).alias("order_payment_amount_sum"),
-                   half_up_ratio(cents("s"), F.col("n") * 100, 2).alias("order_payment_amount_avg"))
+                   from_cents("s").alias("order_payment_amount_sum"),
+                   half_up_ratio("s", F.col("n") * 100, 2).alias("order_payment_amount_avg"))
     return top_k(out, "order_payment_amount_avg", k, tie_break=["customer_city"])

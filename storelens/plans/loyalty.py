@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.functions.dates import calendar_days_between
-from storelens.functions.numeric import cents, exact_mean, half_up_ratio
+from storelens.functions.numeric import (cents, exact_mean, from_cents, half_up_ratio,
+                                         money_sum)
 from storelens.operators.summaries import attach_scalar, min_mean_max
 
 MONEY = "decimal(38,2)"
@@ -28,7 +29,7 @@ def rentals_per_customer_summary(rentals: DataFrame) -> DataFrame:
 def payment_sums(payments: DataFrame) -> DataFrame:
     """customer_id, payment_amount_sum (exact decimal)."""
     return payments.groupBy("customer_id").agg(
-        F.sum("amount").cast(MONEY).alias("payment_amount_sum"))
+        from_cents(money_sum("amount")).alias("payment_amount_sum"))
 
 
 def rentals_and_payments_summary(rentals: DataFrame, payments: DataFrame) -> DataFrame:
@@ -92,8 +93,10 @@ def avg_rental_days(rentals: DataFrame) -> DataFrame:
 def customer_rental_profile(payments: DataFrame, rentals: DataFrame) -> DataFrame:
     """Per paying customer: FLOOR(payment sum) and their rounded mean rental
     duration (NULL for customers without rentals)."""
+    # FLOOR of the sum, from bigint cents: exact integer floor division
+    c = money_sum("amount")
     pay = payments.groupBy("customer_id").agg(
-        F.floor(F.sum("amount")).cast("bigint").alias("payment_amount_sum"))
+        F.call_function("div", c - F.pmod(c, F.lit(100)), F.lit(100)).alias("payment_amount_sum"))
     d = calendar_days_between("return_date", "rental_date")
     dur = rentals.groupBy("customer_id").agg(
         half_up_ratio(F.sum(d), F.count("rental_id"), 0).alias("avg_rental_duration"))

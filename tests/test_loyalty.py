@@ -46,3 +46,11 @@ def test_summary_joins_after_aggregating(spark):
                                  (3, Decimal("5.00"))], PAY)
     r = ly.rentals_and_payments_summary(rentals, pay).first()
     assert tuple(r) == (2, 2.0, 2, Decimal("3.00"), Decimal("3.00"), Decimal("3.00"))
+
+
+def test_floor_of_negative_payment_sums(spark):
+    rentals = spark.createDataFrame([], RENT)
+    pay = spark.createDataFrame([(1, Decimal("-10.25")), (2, Decimal("-3.00")), (3, Decimal("7.99"))],
+                                PAY)
+    got = rows(ly.customer_rental_profile(pay, rentals).select("customer_id", "payment_amount_sum"))
+    assert got == [(1, -11), (2, -3), (3, 7)]
