@@ -107,14 +107,22 @@ def largest_group(df: DataFrame, key: str, fraction: float = 1.0) -> int:
 def _window(df: DataFrame, s: SequenceSpec) -> DataFrame:
     w = Window.partitionBy(s.partition_by).orderBy(
         *[F.col(c).asc_nulls_first() for c in s.order_by])
-    prev = w.rowsBetween(-1, -1) if s.frame == "previous_row" else \
-        w.rowsBetween(Window.unboundedPreceding, -1)
     # bigint: one entity may hold more than 2^31 rows
     cols = [F.row_number().over(w).cast("bigint").alias(s.row_number_name),
             F.first(s.first_of).over(w).alias(s.first_name),
-            F.lag(s.lag_of).over(w).alias(s.lag_name),
-            F.count(s.prev_count_of).over(prev).alias(s.prev_count_name)]
-    cols += [F.sum(e).over(prev).alias(n) for n, e in s.prev_sums.items()]
+            F.lag(s.lag_of).over(w).alias(s.lag_name)]
+    if s.frame == "previous_row":
+        # COUNT / SUM over exactly the previous row are that row's values:
+        # LAG gives them without a sliding aggregation buffer
+        sum_types = {f.name: f.dataType for f in
+                     df.select(*[F.sum(e).alias(n) for n, e in s.prev_sums.items()]).schema.fields}
+        cols.append(F.when(F.lag(s.prev_count_of).over(w).isNotNull(), F.lit(1)).otherwise(F.lit(0))
+                    .cast("bigint").alias(s.prev_count_name))
+        cols += [F.lag(e).over(w).cast(sum_types[n]).alias(n) for n, e in s.prev_sums.items()]
+    else:
+        prev = w.rowsBetween(Window.unboundedPreceding, -1)
+        cols.append(F.count(s.prev_count_of).over(prev).alias(s.prev_count_name))
+        cols += [F.sum(e).over(prev).alias(n) for n, e in s.prev_sums.items()]
     return df.select("*", *cols)
 
 
