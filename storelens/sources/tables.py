@@ -10,20 +10,43 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-RAW_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-)
+# The raw table schemas (FIXTURES.md section 1).  Reading with a
+# declared schema skips the footer-inference job Spark otherwise runs for
+# every read, and fails fast if an input does not have the expected columns.
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+RAW_TABLES = tuple(RAW_SCHEMAS)
 
 
 class Tables:
-    """Raw tables of a data directory, read on first access."""
+    """Raw tables of a data directory, read on first access.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``infer_schema=True`` reads each table's own footer schema instead of the
+    declared one (for inputs with other column types).
+    """
+
+    def __init__(self, spark: SparkSession, root: str, infer_schema: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.infer_schema = infer_schema
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        reader = self.spark.read
+        if not self.infer_schema and name in RAW_SCHEMAS:
+            reader = reader.schema(RAW_SCHEMAS[name])
+        return reader.parquet(f"{self.root}/{name}.parquet")
 
     @cached_property
     def nation(self) -> DataFrame:
