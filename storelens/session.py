@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     # checkpointed data (skew-safe sequences) is removed once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Python call-site capture for error messages costs several JVM round
+    # trips per Column function; plans here are built from hundreds of them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
