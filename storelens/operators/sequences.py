@@ -31,12 +31,13 @@ Two physical strategies compute the same result:
     per-entity task.
 
 ``auto`` (default) estimates the largest entity from a 1 % sample (one
-partial aggregate) and uses ``window`` when it is below ``hot_rows``,
-``ranged`` otherwise.
+partial aggregate, remembered per input plan) and uses ``window`` when it is
+below ``hot_rows``, ``ranged`` otherwise.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -81,8 +82,7 @@ def sequence_features(df: DataFrame, spec: SequenceSpec, strategy: str = "auto",
     if spec.frame not in ("previous_row", "all_previous"):
         raise ValueError(f"frame must be previous_row|all_previous, got {spec.frame!r}")
     if strategy == "auto":
-        biggest = largest_group(df, spec.partition_by, check_fraction)
-        strategy = "ranged" if biggest > hot_rows else "window"
+        strategy = _auto_strategy(df, spec.partition_by, hot_rows, check_fraction)
     if strategy == "window":
         return _window(df, spec)
     if strategy == "ranged":
@@ -90,6 +90,25 @@ def sequence_features(df: DataFrame, spec: SequenceSpec, strategy: str = "auto",
     raise ValueError(f"strategy must be auto|window|ranged, got {strategy!r}")
 
 
+_AUTO_CHOICES: OrderedDict = OrderedDict()
+
+
+def _auto_strategy(df: DataFrame, key: str, hot_rows: int, fraction: float) -> str:
+    """``window`` or ``ranged`` for this input, remembered per canonical plan.
+
+    Both strategies return the same rows, so a remembered choice can only
+    cost speed, never correctness; keys that share an input run the check
+    once per session.
+    """
+    memo = (df.semanticHash(), key, hot_rows, fraction)
+    if memo not in _AUTO_CHOICES:
+        biggest = largest_group(df, key, fraction)
+        _AUTO_CHOICES[memo] = "ranged" if biggest > hot_rows else "window"
+        while len(_AUTO_CHOICES) > 256:
+            _AUTO_CHOICES.popitem(last=False)
+    return _AUTO_CHOICES[memo]
+
+
 def largest_group(df: DataFrame, key: str, fraction: float = 1.0) -> int:
     """Row count of the largest group, estimated from a Bernoulli sample of
     ``fraction`` of the rows (exact for 1.0): one partial aggregate and one
