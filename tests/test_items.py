@@ -89,3 +89,34 @@ def test_all_previous_frame_variant(spark):
     a = one.where("order_number = 2").select(*k, "previous_order_price_sum")
     b = allp.where("order_number = 2").select(*k, "previous_order_price_sum")
     assert rows(a) == rows(b)
+
+
+ITEMS = ("order_id long, order_item_id int, product_id long, seller_id long, "
+         "shipping_limit_date timestamp_ntz, price decimal(12,2), freight_value decimal(14,2)")
+
+
+def _items(spark, rows_):
+    from decimal import Decimal
+    return spark.createDataFrame([(o, i, p, 1, d, Decimal(pr), Decimal("1.00"))
+                                  for o, i, p, d, pr in rows_], ITEMS)
+
+
+def test_ties_break_on_order_id(spark):
+    # mf_ties: two items of product 5 equal on ship date and item number
+    items = _items(spark, [(20, 1, 5, dt(2020, 1, 1), "2.00"), (10, 1, 5, dt(2020, 1, 1), "3.00"),
+                           (30, 2, 5, dt(2020, 1, 1), "4.00")])
+    got = rows(it.item_order_number(items).select("order_id", "order_number"))
+    assert got == [(10, 1), (20, 2), (30, 3)]
+
+
+def test_previous_row_frame_fixture(spark):
+    # mf_frame: three items of product 1, one of product 2
+    from decimal import Decimal
+    items = _items(spark, [(1, 1, 1, dt(2020, 1, 1), "1.00"), (2, 1, 1, dt(2020, 1, 2), "2.00"),
+                           (3, 1, 1, dt(2020, 1, 3), "4.00"), (4, 1, 2, dt(2020, 1, 1), "8.00")])
+    got = rows(it.item_prev_frame_stats(items).select(
+        "order_id", "previous_order_count", "previous_order_price_sum"))
+    assert got == [(1, 0, None), (2, 1, Decimal("1.00")), (3, 1, Decimal("2.00")), (4, 0, None)]
+    allp = rows(it.item_prev_frame_stats(items, frame="all_previous").select(
+        "order_id", "previous_order_count", "previous_order_price_sum"))
+    assert allp == [(1, 0, None), (2, 1, Decimal("1.00")), (3, 2, Decimal("3.00")), (4, 0, None)]
