@@ -39,3 +39,22 @@ def test_profiles(spark):
     assert tuple(m) == (5, 8.3, 10)
     one = df.agg(F.max("b").alias("mx"))
     assert rows(attach_scalar(df.where("a = 2"), one)) == [(2, 10, 10)]
+
+
+def test_cli_writes_a_result(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from storelens.__main__ import main
+    from storelens.plans.registry import QUERIES
+
+    out = tmp_path / "res"
+    # the CLI reuses the active session; do not stop it from the test
+    spark_stop = type(spark).stop
+    type(spark).stop = lambda self: None
+    try:
+        assert main(["film_count_by_rental_group", "/root/testdata/sf0.001", "--out", str(out)]) == 0
+    finally:
+        type(spark).stop = spark_stop
+    got = pq.read_table(str(out)).to_pandas()
+    want = QUERIES["film_count_by_rental_group"](spark, "/root/testdata/sf0.001").toPandas()
+    assert sorted(got["count_films"]) == sorted(want["count_films"])
