@@ -1,7 +1,9 @@
-"""Summaries: top-k with tie-breaks, min/mean/max profiles, key profiles.
+"""Summaries: top-k with tie-breaks, min/mean/max profiles, key profiles,
+scalar attachment of one-row aggregates.
 
-Everything here is a partial (map-side combined) aggregate or a
-TakeOrderedAndProject, so a hot key never lands whole in one task.
+Everything here is a partial (map-side combined) aggregate, a
+TakeOrderedAndProject or a scalar subquery, so a hot key never lands whole in
+one task.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ def key_profile(df: DataFrame, row_count_name: str,
     the same rows a CONCAT-built key would skip.
 
     ``mode="separate"`` (default) runs one DISTINCT aggregate per set and
-    joins the one-row results: each de-duplicates map-side on its own narrow
+    attaches the one-row results as scalars: each de-duplicates map-side on its own narrow
     key and reads only its columns.  ``mode="expand"`` is Spark's single
     multi-distinct aggregate, which expands every input row once per set.
     """
@@ -66,5 +68,6 @@ def key_profile(df: DataFrame, row_count_name: str,
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row relation (a global aggregate) to every
-    row.  The broadcast side is one row by construction."""
-    return df.crossJoin(F.broadcast(one_row))
+    row, each as a scalar subquery (``DataFrame.scalar()``): computed once,
+    then used as a value; no join."""
+    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])

@@ -9,8 +9,8 @@ Scale notes shared by all of them:
   row per map task instead of a third of the shuffle.
 * Dimension joins are left to Catalyst/AQE: they become broadcast joins
   when the runtime size is under ``spark.sql.autoBroadcastJoinThreshold``
-  and sort-merge joins otherwise.  The only explicit broadcasts are of
-  one-row global aggregates.
+  and sort-merge joins otherwise.  One-row global aggregates are used as
+  scalar subqueries, not joined.
 """
 
 from __future__ import annotations

@@ -3,7 +3,7 @@
 Per-customer facts (rental counts, payment sums, rental durations) are each
 aggregated on ``customer_id`` first; their joins are then one row per
 customer on both sides and need no further shuffle.  Thresholds computed
-from the data are one-row aggregates attached by a one-row broadcast.
+from the data are global aggregates used as scalar subqueries.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from storelens.functions.dates import calendar_days_between
 from storelens.functions.numeric import (cents, exact_mean, from_cents, half_up_ratio,
                                          money_sum)
-from storelens.operators.summaries import attach_scalar, min_mean_max
+from storelens.operators.summaries import min_mean_max
 
 MONEY = "decimal(38,2)"
 
@@ -58,8 +58,7 @@ def above_average_payers(payments: DataFrame) -> DataFrame:
     """Customers whose payment sum exceeds the rounded mean payment sum,
     largest first (ties by customer id)."""
     s = payment_sums(payments)
-    return (attach_scalar(s, mean_payment_sum(payments))
-            .where(F.col("payment_amount_sum") > F.col("avg_payment_sum_per_customer"))
+    return (s.where(F.col("payment_amount_sum") > mean_payment_sum(payments).scalar())
             .select("customer_id", "payment_amount_sum")
             .orderBy(F.col("payment_amount_sum").desc(), F.col("customer_id").asc_nulls_first()))
 
@@ -104,16 +103,14 @@ def customer_rental_profile(payments: DataFrame, rentals: DataFrame) -> DataFram
         "customer_id", "avg_rental_duration", "payment_amount_sum")
 
 
-def _thresholds(payments, rentals, payment_threshold, duration_threshold) -> DataFrame:
-    pt = mean_payment_sum(payments) if payment_threshold is None else None
-    dt = avg_rental_days(rentals) if duration_threshold is None else None
-    spark = payments.sparkSession
-    if pt is None:
-        pt = spark.range(1).select(F.lit(payment_threshold).cast(MONEY)
-                                   .alias("avg_payment_sum_per_customer"))
-    if dt is None:
-        dt = spark.range(1).select(F.lit(float(duration_threshold)).alias("avg_avg_rental_duration"))
-    return pt.crossJoin(dt)
+def _thresholds(payments, rentals, payment_threshold, duration_threshold):
+    """(payment threshold, duration threshold) as Columns: literals when given,
+    else scalar subqueries over the data's own means."""
+    pt = (mean_payment_sum(payments).scalar() if payment_threshold is None
+          else F.lit(payment_threshold).cast(MONEY))
+    dt = (avg_rental_days(rentals).scalar() if duration_threshold is None
+          else F.lit(float(duration_threshold)))
+    return pt, dt
 
 
 def long_renters(payments: DataFrame, rentals: DataFrame, payment_side: str = "above",
@@ -126,12 +123,10 @@ def long_renters(payments: DataFrame, rentals: DataFrame, payment_side: str = "a
     rounded overall mean duration); pass numbers to pin them.
     """
     prof = customer_rental_profile(payments, rentals)
-    th = _thresholds(payments, rentals, payment_threshold, duration_threshold)
+    pt, dt = _thresholds(payments, rentals, payment_threshold, duration_threshold)
     pay = F.col("payment_amount_sum")
-    pay_ok = pay > F.col("avg_payment_sum_per_customer") if payment_side == "above" \
-        else pay < F.col("avg_payment_sum_per_customer")
-    return (attach_scalar(prof, th)
-            .where(pay_ok & (F.col("avg_rental_duration") > F.col("avg_avg_rental_duration")))
+    pay_ok = pay > pt if payment_side == "above" else pay < pt
+    return (prof.where(pay_ok & (F.col("avg_rental_duration") > dt))
             .select("customer_id", "avg_rental_duration", "payment_amount_sum")
             .orderBy(pay.desc(), F.col("customer_id").asc_nulls_first()))
 
