@@ -49,6 +49,7 @@ from storelens.session import ensure_checkpoint_dir
 
 DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_CHECK_FRACTION = 0.01
+DEFAULT_ROWS_PER_PARTITION = 4_000_000
 
 
 @dataclass
@@ -73,19 +74,29 @@ class SequenceSpec:
 def sequence_features(df: DataFrame, spec: SequenceSpec, strategy: str = "auto",
                       num_partitions: int | None = None,
                       hot_rows: int = DEFAULT_HOT_ROWS,
-                      check_fraction: float = DEFAULT_CHECK_FRACTION) -> DataFrame:
+                      check_fraction: float = DEFAULT_CHECK_FRACTION,
+                      rows_per_partition: int = DEFAULT_ROWS_PER_PARTITION) -> DataFrame:
     """All columns of ``df`` plus the sequence features of ``spec``.
 
     ``auto`` estimates the largest entity from a ``check_fraction`` sample
     (the choice only affects speed: both strategies give the same rows).
+    The ranged strategy uses ``num_partitions`` range partitions; by default
+    enough for about ``rows_per_partition`` rows each (estimated from the
+    same sample), and never fewer than ``spark.sql.shuffle.partitions``.
     """
     if spec.frame not in ("previous_row", "all_previous"):
         raise ValueError(f"frame must be previous_row|all_previous, got {spec.frame!r}")
+    est_rows = None
     if strategy == "auto":
-        strategy = _auto_strategy(df, spec.partition_by, hot_rows, check_fraction)
+        strategy, est_rows = _auto_strategy(df, spec.partition_by, hot_rows, check_fraction)
     if strategy == "window":
         return _window(df, spec)
     if strategy == "ranged":
+        if num_partitions is None:
+            if est_rows is None:
+                est_rows = _profile(df, spec.partition_by, check_fraction)[1]
+            floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            num_partitions = max(floor, -(-est_rows // rows_per_partition))
         return _ranged(df, spec, num_partitions)
     raise ValueError(f"strategy must be auto|window|ranged, got {strategy!r}")
 
@@ -93,8 +104,9 @@ def sequence_features(df: DataFrame, spec: SequenceSpec, strategy: str = "auto",
 _AUTO_CHOICES: OrderedDict = OrderedDict()
 
 
-def _auto_strategy(df: DataFrame, key: str, hot_rows: int, fraction: float) -> str:
-    """``window`` or ``ranged`` for this input, remembered per canonical plan.
+def _auto_strategy(df: DataFrame, key: str, hot_rows: int, fraction: float):
+    """(``window`` or ``ranged``, estimated row count) for this input,
+    remembered per canonical plan.
 
     Both strategies return the same rows, so a remembered choice can only
     cost speed, never correctness; keys that share an input run the check
@@ -102,21 +114,29 @@ def _auto_strategy(df: DataFrame, key: str, hot_rows: int, fraction: float) -> s
     """
     memo = (df.semanticHash(), key, hot_rows, fraction)
     if memo not in _AUTO_CHOICES:
-        biggest = largest_group(df, key, fraction)
-        _AUTO_CHOICES[memo] = "ranged" if biggest > hot_rows else "window"
+        biggest, rows = _profile(df, key, fraction)
+        _AUTO_CHOICES[memo] = ("ranged" if biggest > hot_rows else "window", rows)
         while len(_AUTO_CHOICES) > 256:
             _AUTO_CHOICES.popitem(last=False)
     return _AUTO_CHOICES[memo]
 
 
-def largest_group(df: DataFrame, key: str, fraction: float = 1.0) -> int:
-    """Row count of the largest group, estimated from a Bernoulli sample of
-    ``fraction`` of the rows (exact for 1.0): one partial aggregate and one
-    number to the driver.  A group of ``h`` rows shows about ``fraction * h``
-    sampled rows, so groups large enough to matter are not missed."""
+def _profile(df: DataFrame, key: str, fraction: float = 1.0) -> tuple[int, int]:
+    """(rows of the largest group, total rows), estimated from a Bernoulli
+    sample of ``fraction`` of the rows (exact for 1.0): one partial aggregate
+    and one row to the driver.  A group of ``h`` rows shows about
+    ``fraction * h`` sampled rows, so groups large enough to matter are not
+    missed."""
     src = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=20240601)
-    row = src.groupBy(key).count().agg(F.max("count").alias("m")).first()
-    return int((row["m"] or 0) / min(fraction, 1.0))
+    row = (src.groupBy(key).count()
+           .agg(F.max("count").alias("m"), F.sum("count").alias("n")).first())
+    scale = min(fraction, 1.0)
+    return int((row["m"] or 0) / scale), int((row["n"] or 0) / scale)
+
+
+def largest_group(df: DataFrame, key: str, fraction: float = 1.0) -> int:
+    """Row count of the largest group (estimated from a ``fraction`` sample)."""
+    return _profile(df, key, fraction)[0]
 
 
 # --------------------------------------------------------------------------

@@ -129,3 +129,10 @@ def test_sampled_hot_check_finds_the_hot_product(spark, items):
     est = largest_group(hot, "product_id", 0.05)
     assert 0.5 * exact < est < 1.5 * exact
     assert largest_group(items, "product_id", 0.05) < exact / 10
+
+
+def test_ranged_partitions_sized_by_rows(spark, items):
+    n = items.count()
+    r = sequence_features(items, _spec(), "ranged", rows_per_partition=n // 20)
+    assert r.rdd.getNumPartitions() >= 20
+    assert _same(sequence_features(items, _spec(), "window"), r)
