@@ -175,7 +175,7 @@ _HEAD, _TAIL = "_seq_head", "_seq_tail"
 _ACNT = "_seq_acnt"
 
 
-def last_type(schema, s, value_names):
+def _last_type(schema, s, value_names):
     """Type of the previous-row payload struct carried across partitions."""
     return T.StructType([T.StructField("lag", schema[s.lag_of].dataType, True),
                          T.StructField("cnt", T.LongType(), True)]
@@ -251,7 +251,7 @@ def _ranged(df: DataFrame, s: SequenceSpec, num_partitions: int | None) -> DataF
         _PID, s.partition_by, F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_n"),
         F.lit(None).cast(T.StructType([T.StructField("v", in_schema[s.first_of].dataType)]))
         .alias("_first_here"),
-        F.lit(None).cast(last_type(in_schema, s, value_names)).alias("_last_here"),
+        F.lit(None).cast(_last_type(in_schema, s, value_names)).alias("_last_here"),
         *[F.lit(None).cast(edge.select(e).schema[0].dataType).alias(k) for k, e in totals.items()])
     tails = edge.where(F.col(_TAIL)).select(
         _PID, s.partition_by, F.lit(1).alias("_kind"), F.col(_RN).alias("_n"),
@@ -321,13 +321,13 @@ def _local_pass_fn(key: str, first_of: str, lag_of: str, count_of: str,
     head_c, tail_c, acnt_c = _HEAD, _TAIL, _ACNT
 
     def run(batches):
+        import decimal
+
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        import decimal
-
         def _units(col, valid):
             # exact numbers for running sums: unscaled integers for decimals and
             # integers (object arrays of Python ints: sums never overflow),
@@ -361,6 +361,13 @@ def _local_pass_fn(key: str, first_of: str, lag_of: str, count_of: str,
             cells[0::2], cells[1::2] = u64, u64 >> 63
             return pa.Array.from_buffers(out_t, len(u64), [None, pa.py_buffer(cells.tobytes())])
 
+        def batch(arrs, nms, rows, tail):
+            # output batch: swept columns, tail flag, running totals
+            flag = np.zeros(rows, dtype=bool)
+            if tail:
+                flag[-1] = True
+            return pa.RecordBatch.from_arrays(arrs[0] + [pa.array(flag)] + arrs[1], names=nms)
+
         pid = TaskContext.get().partitionId()
         lagged = [lag_of, *value_names]
         carry = None  # dict: key(valid, value), rn, first scalar, last row cells
@@ -449,12 +456,6 @@ def _local_pass_fn(key: str, first_of: str, lag_of: str, count_of: str,
             if running:
                 names += [acnt_c] + [x for v in value_names for x in (f"{v}_acnt", f"{v}_asum")]
 
-            def batch(arrs, nms, rows, tail):
-                flag = np.zeros(rows, dtype=bool)
-                if tail:
-                    flag[-1] = True
-                return pa.RecordBatch.from_arrays(arrs[0] + [pa.array(flag)] + arrs[1], names=nms)
-
             # hold one batch back: only at the end is the partition's last row known
             if pending is not None:
                 yield batch(*pending, tail=False)
