@@ -168,3 +168,24 @@ QUERIES: dict[str, Query] = {
                                                     frame="all_previous"),
     "rental_likelihood_by_category_intended": _likelihood_intended,
 }
+
+
+def _money_as_double(fn: Query) -> Query:
+    """Registered results present exact decimal money as DOUBLE (BigQuery
+    FLOAT64): the decimals are exact to the cent, so the doubles are the
+    nearest binary values of those cents, identical in every engine and
+    client library that reads them."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        df = fn(spark, root)
+        return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                           if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+                           for f in df.schema.fields])
+    return run
+
+
+# the analyses as registered for the driver (library functions keep decimals)
+LIBRARY_QUERIES = QUERIES
+QUERIES = {k: _money_as_double(fn) for k, fn in LIBRARY_QUERIES.items()}

@@ -47,3 +47,17 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert "review_score" in df.columns
+
+
+def test_decimal_outputs_list_is_in_sync(spark):
+    from pyspark.sql import types as T
+
+    from storelens.plans.oracle import DECIMAL_OUTPUTS
+    from storelens.plans.registry import LIBRARY_QUERIES, QUERIES
+
+    for key, fn in LIBRARY_QUERIES.items():
+        dec = tuple(f.name for f in fn(spark, SF_SMALL).schema.fields
+                    if isinstance(f.dataType, T.DecimalType))
+        assert dec == DECIMAL_OUTPUTS.get(key, ()), key
+        assert not any(isinstance(f.dataType, T.DecimalType)
+                       for f in QUERIES[key](spark, SF_SMALL).schema.fields)
