@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.frames import column
+from storelens.llm.words import plain_words
 
 MAX_VARIABLE = 12
 
@@ -54,16 +55,6 @@ TEMPLATES = {
     "cc-by-sa-4.0": "licensed under [[a]] [[Creative Commons]] CC BY-SA 4.0",
 }
 
-# Bytes: 0-9, a-z and everything from 0x80 stay, A-Z are lower-cased, the rest parts words.
-_FOLD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80
-              else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
-
-
-def scan_words(text: str | bytes | None) -> list[bytes]:
-    raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
-    return raw.translate(_FOLD).split()
-
-
 @dataclass(frozen=True)
 class Automaton:
     """``edges[s]``: word -> next state; ``free[s]``: states reached without a word;
@@ -141,7 +132,7 @@ def compile_template(markup: str) -> Automaton:
                 free[e].append(nxt)
             here = nxt
         else:
-            for word in scan_words(piece):
+            for word in plain_words(piece):
                 nxt = state()
                 edges[here][word] = nxt
                 here = nxt
@@ -158,7 +149,7 @@ def compile_template(markup: str) -> Automaton:
 
 class Scanner:
     def __init__(self, phrases: dict[str, str], templates: dict[str, str]):
-        self.phrases = [(b" " + b" ".join(scan_words(p)) + b" ", label) for p, label in phrases.items()]
+        self.phrases = [(b" " + b" ".join(plain_words(p)) + b" ", label) for p, label in phrases.items()]
         self.machines = {label: compile_template(m) for label, m in templates.items()}
         # a text without the rarest mandatory word of a template can't match it
         self.needed = {label: self._needed(m) for label, m in templates.items()}
@@ -168,10 +159,10 @@ class Scanner:
         bare = re.sub(r"\{\{[^{}]*\}\}", " ", markup)
         while "[[" in bare:
             bare = re.sub(r"\[\[(?:(?!\[\[|\]\]).)*\]\]", " ", bare, flags=re.S)
-        return b" " + max(scan_words(bare), key=len) + b" "
+        return b" " + max(plain_words(bare), key=len) + b" "
 
     def scan(self, text: str | bytes | None) -> tuple:
-        words = scan_words(text)
+        words = plain_words(text)
         line = b" " + b" ".join(words) + b" "
         places, base = [], set()
         for phrase, label in self.phrases:

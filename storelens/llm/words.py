@@ -76,3 +76,14 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
             best = np.minimum(best[:-(width - span)], best[width - span:])
         out.append((best & np.uint64(0xFFFFFF)).astype(np.int64) + at)
     return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+# Bytes: 0-9, a-z and everything from 0x80 stay, A-Z are lower-cased, the rest parts words.
+_FOLD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80
+              else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
+
+
+def plain_words(text: str | bytes | None) -> list[bytes]:
+    """Words without ASCII punctuation and white space, A-Z lower-cased."""
+    raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
+    return raw.translate(_FOLD).split()
