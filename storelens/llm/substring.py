@@ -14,7 +14,7 @@ of their own, for their 35-word windows cover the same words.
   partial aggregation, the places whose hash stands once.  Those come back to
   their documents as what does *not* repeat; so a passage that a third of all
   documents share is summed up before the shuffle, and no join meets it.
-* Last level.  Windows are compared by two independent 64-bit hashes.
+* Last level.  Windows are compared by 96 bits of two independent hashes.
 
 The texts themselves are shuffled once, by row key, and that exchange serves
 both later levels.
@@ -106,7 +106,8 @@ def _candidates(length: int, window: int, done: list[int]):
                     at = np.unique(places[at])
                     yield k1, k2, at, _signed(short[at])
                 elif len(at):
-                    yield k1, k2, at, *[_signed(Rolling(body.hashes, w).windows(length)[at]) for w in (0, 1)]
+                    h1, h2 = [_signed(Rolling(body.hashes, w).windows(length)[at]) for w in (0, 1)]
+                    yield k1, k2, at, h1, (h2 >> 32).astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _batches(rows(batches), ["k1", "k2", "at", "h1", "h2"][:4 + (length == window)])
@@ -139,7 +140,7 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     for i, length in enumerate(lengths):
         # every level hands all columns on, so that all levels share one exchange of the texts
         keys = ["h1", "h2"] if length == window else ["h1"]
-        shape = ", ".join(["k1 bigint, k2 bigint, at bigint", *[f"{k} bigint" for k in keys]])
+        shape = "k1 bigint, k2 bigint, at bigint, h1 bigint" + ", h2 int" * (length == window)
         found = (alive if i else alive.select("k1", "k2", "raw")).mapInArrow(
             _candidates(length, window, lengths[:i]), shape)
         alive = alive.join(_standing_once(found, keys).withColumnRenamed("once", f"once{length}"),
