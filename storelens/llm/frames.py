@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,17 +48,22 @@ def row_key(df: DataFrame, doc_id: str, text: str) -> tuple[Column, Column]:
     return first, F.xxhash64(key.isNull(), column(df, text).isNull(), column(df, text))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: what the session names in ``spark.checkpoint.dir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; where
-    none is named (tests on one machine) a temporary one is set, never on a cluster.
+    Where none is named, one process on one machine gets a temporary folder; a
+    cluster never does.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local["):
+        if named is None and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="storelens-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

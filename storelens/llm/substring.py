@@ -22,6 +22,7 @@ both later levels.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -122,13 +123,14 @@ def _standing_once(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-                     window: int = WINDOW, first: int | None = None) -> DataFrame:
+                     window: int = WINDOW, first: int | None = None, keep_space: bool = False) -> DataFrame:
     """Every row with n_words, n_removed, kept_text and removed_spans.
 
     A word goes if a window of ``window`` consecutive words covers it whose words
     also start anywhere else, the same text included; windows are judged on the
-    input.  kept_text joins the kept words by one space; removed_spans are word
-    ranges [start, end).  A null text has no words and kept_text ''.  Rows that
+    input.  kept_text joins the kept words by one space, or with ``keep_space`` is
+    the text as it was without the removed words and the white space before them;
+    removed_spans are word ranges [start, end).  A null text has no words and kept_text ''.  Rows that
     agree in id and text count as two texts (so they repeat each other) and give
     two rows.  Columns of the four names are replaced; ids may be null.
     """
@@ -154,7 +156,8 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
             for raw, *places in zip(raws, *once, strict=True):
                 body = _Text(raw, window)
                 at = body.survivors([(n, _array(p)) for n, p in zip(lengths, places, strict=True)])
-                out.append(_kept(body.words, at, window))
+                n, gone, kept, spans = _kept(body.words, at, window)
+                out.append((n, gone, _cut_out(raw, spans) if keep_space else kept, spans))
             yield pd.DataFrame(out, columns=["n_words", "n_removed", "kept_text", "removed_spans"])
 
     judged = alive.select(*[f"c{i}" for i in range(len(names))],
@@ -175,3 +178,14 @@ def _kept(words: list[bytes], starts: np.ndarray, window: int) -> tuple:
     spans = [{"start": a, "end": b} for a, b in zip(turns[::2], turns[1::2], strict=True)]
     kept = words if not spans else [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
     return len(words), int(gone.sum()), b" ".join(kept).decode("utf-8", "replace"), spans
+
+
+def _cut_out(raw: bytes | None, spans: list[dict[str, int]]) -> str:
+    """The text without the given word ranges and the white space before each word."""
+    raw, at, out = raw or b"", 0, []
+    if spans:
+        ends = [m.end() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+        for span in spans:
+            out.append(raw[at:ends[span["start"] - 1] if span["start"] else 0])
+            at = ends[span["end"] - 1]
+    return b"".join([*out, raw[at:]]).decode("utf-8", "replace")
