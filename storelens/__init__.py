@@ -2,15 +2,15 @@
 
 Layout
 ------
-- ``sources``    adapter views that shape raw parquet tables into the
-                 store schemas the analyses read (orders, payments, rentals...)
+- ``sources``    tables (TPC-H-named folders, store-shaped folders, catalog
+                 schemas) and the adapter views between them
 - ``functions``  column-level helpers (calendar vs whole days, exact
                  half-up rounding of ratios and means)
 - ``operators``  reusable DataFrame -> DataFrame building blocks
-                 (summaries, cohorts, sequences, segments, fact/dimension joins)
+                 (summaries, sequences, segments)
 - ``plans``      the statement-level analyses composed from the operators,
                  plus the registry used by ``__spark_entry__``
-- ``streaming``  intentionally empty: the analyses are batch-only
+- ``llm``        operators for training-data corpora (nothing here imports it)
 """
 
 __version__ = "0.1.0"

@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("data_dir", nargs="?", help="directory with the parquet tables")
     ap.add_argument("--list", action="store_true", help="list analysis keys")
     ap.add_argument("--out", help="write the result here instead of printing it")
+    ap.add_argument("--overwrite", action="store_true", help="replace what is at --out")
     ap.add_argument("--format", default="parquet", choices=("parquet", "csv", "json"))
     ap.add_argument("--rows", type=int, default=20, help="rows to print without --out")
     args = ap.parse_args(argv)
@@ -31,7 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(app_name=f"storelens-{args.key}")
     df = QUERIES[args.key](spark, args.data_dir)
     if args.out:
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite" if args.overwrite else "errorifexists")
         if args.format == "csv":
             writer = writer.option("header", "true")
         getattr(writer, args.format)(args.out)

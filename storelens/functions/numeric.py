@@ -31,15 +31,25 @@ def cents(money, scale: int = 2) -> Column:
     return (_c(money) * (10 ** scale)).cast("bigint")
 
 
-def money_sum(money, scale: int = 2) -> Column:
-    """SUM of decimal money as bigint minor units (cents).
+_LOW_BITS = 20
+
+
+def wide_sum(units) -> Column:
+    """SUM of a bigint as decimal(38,0) that no number of rows overflows.
 
-    Summing ``decimal(p, 2)`` makes a ``decimal(p + 10, 2)`` buffer; above 18
-    digits Spark falls back to BigDecimal arithmetic, while a bigint sum stays
-    a primitive in generated code.  Exact; under ANSI mode an overflow fails
-    instead of wrapping.
+    The values' high and low parts are summed apart, each as a primitive bigint
+    (partial sums stay in generated code; the low parts alone would need 2^43 rows
+    to overflow), and put together once per group.
     """
-    return F.sum(cents(money, scale))
+    u = _c(units).cast("bigint")
+    high = F.sum(F.shiftright(u, _LOW_BITS)).cast("decimal(38,0)")
+    low = F.sum(u.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    return (high * F.lit(1 << _LOW_BITS).cast("decimal(10,0)") + low.cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
+def money_sum(money, scale: int = 2) -> Column:
+    """SUM of decimal money in minor units (cents), as decimal(38,0); exact."""
+    return wide_sum(cents(money, scale))
 
 
 def from_cents(units, scale: int = 2) -> Column:
@@ -57,9 +67,12 @@ def half_up_ratio(num, den, scale: int, factor: int = 1, on_zero: str = "null",
     BigQuery / ANSI).  The result is a double, or an exact
     ``decimal(38, scale)`` with ``as_decimal``.
     """
-    n, d = _c(num).cast("bigint"), _c(den).cast("bigint")
+    # decimal(38,0): sums and their multiples stay exact far beyond 64 bits; only
+    # the rounded quotient has to fit a bigint
+    n, d = _c(num).cast("decimal(38,0)"), _c(den).cast("decimal(38,0)")
     p = 10 ** scale
-    q = F.call_function("div", F.abs(n) * (2 * p * factor) + d, d * 2)
+    scaled = (F.abs(n) * F.lit(2 * p * factor).cast("decimal(18,0)")).cast("decimal(38,0)") + d
+    q = F.call_function("div", scaled.cast("decimal(38,0)"), (d + d).cast("decimal(38,0)"))
     signed = F.when(n < 0, -q).otherwise(q)
     value = (signed.cast(f"decimal(38,{scale})") / p).cast(f"decimal(38,{scale})") \
         if as_decimal else signed.cast("double") / p
@@ -78,26 +91,10 @@ def exact_mean(total, count, scale: int, unit_scale: int = 0,
     (e.g. cents with ``unit_scale=2``).  NULL when ``count`` is 0, like AVG
     over no rows.
     """
-    d = _c(count).cast("bigint") * (10 ** unit_scale)
+    d = (_c(count).cast("decimal(38,0)") * F.lit(10 ** unit_scale).cast("decimal(18,0)")).cast("decimal(38,0)")
     return half_up_ratio(total, d, scale, as_decimal=as_decimal)
 
 
 def percent(num, den, scale: int, on_zero: str = "null") -> Column:
     """round_half_up(100 * num / den, scale)."""
     return half_up_ratio(num, den, scale, factor=100, on_zero=on_zero)
-
-
-def safe_divide(num, den, on_zero: str = "error") -> Column:
-    """``num / den`` as a double with an explicit zero-divisor policy.
-
-    ``on_zero``: ``"error"`` keeps the engine's behaviour (ANSI raises),
-    ``"null"`` returns NULL, ``"zero"`` returns 0.0.
-    """
-    n, d = _c(num), _c(den)
-    if on_zero == "error":
-        return n / d
-    if on_zero == "null":
-        return F.try_divide(n, d)
-    if on_zero == "zero":
-        return F.when(d == 0, F.lit(0.0)).otherwise(F.try_divide(n, d))
-    raise ValueError(f"on_zero must be error|null|zero, got {on_zero!r}")

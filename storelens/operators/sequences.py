@@ -12,44 +12,31 @@ total sort key, this adds
 With ``frame="all_previous"`` the count and sums run over every earlier row
 of the entity instead (running totals).
 
-Two physical strategies compute the same result:
-
-``window``
-    Spark's Window operator partitioned by the entity.  One shuffle, fully
-    JVM-side, but a whole entity is sorted inside a single task, so one hot
-    entity holding a third of the rows becomes one giant task.
-
-``ranged``
-    Skew-safe.  Range-partition on the *full* sort key (entity first), so a
-    hot entity is cut into many balanced partitions; run a vectorised Arrow
-    pass per sorted partition (``mapInArrow``) and checkpoint its output to
-    the shared ``spark.checkpoint.dir``; then repair the first group of each
-    partition that continues an entity from earlier partitions.
-    Only a partition's first and last group can cross a partition boundary,
-    so the repair table holds at most ``2 * num_partitions`` rows and is
-    broadcast with that proven bound.  One shuffle of the data, no
-    per-entity task.
-
-``auto`` (default) estimates the largest entity from a 1 % sample (one
-partial aggregate, remembered per input plan) and uses ``window`` when it is
-below ``hot_rows``, ``ranged`` otherwise.
+There is one plan for every size.  Rows are windowed per (entity, bucket); an
+entity has one bucket unless it holds more rows than a task should, and then its
+buckets are ranges of the first sort column cut at exact counts, so they depend
+on the data alone.  What a bucket needs from the ones before it (rows, totals,
+the entity's first row, the last row before) is a small aggregate per bucket.
+
+The sort key is total: the caller's columns, then every other column.  Entities
+count as large above ``max(rows_per_bucket, rows / MAX_LARGE)``, so there are
+fewer than MAX_LARGE of them and fewer than 2 * MAX_LARGE buckets: the tables of
+both are broadcast with that bound, and the rows are shuffled once.  A bucket
+holds at most that many rows besides those of one value of the first sort column.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from storelens.session import ensure_checkpoint_dir
+ROWS_PER_BUCKET = 4_000_000
+MAX_LARGE = 50_000
 
-DEFAULT_HOT_ROWS = 2_000_000
-DEFAULT_CHECK_FRACTION = 0.01
-DEFAULT_ROWS_PER_PARTITION = 4_000_000
+_KEY, _LOWS, _BUCKET, _CARRY = "_seq_key", "_seq_lows", "_seq_bucket", "_seq_carry"
 
 
 @dataclass
@@ -71,406 +58,96 @@ class SequenceSpec:
     frame: str = "previous_row"
 
 
-def sequence_features(df: DataFrame, spec: SequenceSpec, strategy: str = "auto",
-                      num_partitions: int | None = None,
-                      hot_rows: int = DEFAULT_HOT_ROWS,
-                      check_fraction: float = DEFAULT_CHECK_FRACTION,
-                      rows_per_partition: int = DEFAULT_ROWS_PER_PARTITION) -> DataFrame:
-    """All columns of ``df`` plus the sequence features of ``spec``.
-
-    ``auto`` estimates the largest entity from a ``check_fraction`` sample
-    (the choice only affects speed: both strategies give the same rows).
-    The ranged strategy uses ``num_partitions`` range partitions; by default
-    enough for about ``rows_per_partition`` rows each (estimated from the
-    same sample), and never fewer than ``spark.sql.shuffle.partitions``.
-    """
-    if spec.frame not in ("previous_row", "all_previous"):
-        raise ValueError(f"frame must be previous_row|all_previous, got {spec.frame!r}")
-    est_rows = None
-    if strategy == "auto":
-        strategy, est_rows = _auto_strategy(df, spec.partition_by, hot_rows, check_fraction)
-    if strategy == "window":
-        return _window(df, spec)
-    if strategy == "ranged":
-        if num_partitions is None:
-            if est_rows is None:
-                est_rows = _profile(df, spec.partition_by, check_fraction)[1]
-            floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            num_partitions = max(floor, -(-est_rows // rows_per_partition))
-        return _ranged(df, spec, num_partitions)
-    raise ValueError(f"strategy must be auto|window|ranged, got {strategy!r}")
-
-
-_AUTO_CHOICES: OrderedDict = OrderedDict()
-
-
-def _auto_strategy(df: DataFrame, key: str, hot_rows: int, fraction: float):
-    """(``window`` or ``ranged``, estimated row count) for this input,
-    remembered per canonical plan.
-
-    Both strategies return the same rows, so a remembered choice can only
-    cost speed, never correctness; keys that share an input run the check
-    once per session.
-    """
-    memo = (df.semanticHash(), key, hot_rows, fraction)
-    if memo not in _AUTO_CHOICES:
-        biggest, rows = _profile(df, key, fraction)
-        _AUTO_CHOICES[memo] = ("ranged" if biggest > hot_rows else "window", rows)
-        while len(_AUTO_CHOICES) > 256:
-            _AUTO_CHOICES.popitem(last=False)
-    return _AUTO_CHOICES[memo]
-
-
-def _profile(df: DataFrame, key: str, fraction: float = 1.0) -> tuple[int, int]:
-    """(rows of the largest group, total rows), estimated from a Bernoulli
-    sample of ``fraction`` of the rows (exact for 1.0): one partial aggregate
-    and one row to the driver.  A group of ``h`` rows shows about
-    ``fraction * h`` sampled rows, so groups large enough to matter are not
-    missed."""
-    src = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=20240601)
-    row = (src.groupBy(key).count()
-           .agg(F.max("count").alias("m"), F.sum("count").alias("n")).first())
-    scale = min(fraction, 1.0)
-    return int((row["m"] or 0) / scale), int((row["n"] or 0) / scale)
-
-
-def largest_group(df: DataFrame, key: str, fraction: float = 1.0) -> int:
-    """Row count of the largest group (estimated from a ``fraction`` sample)."""
-    return _profile(df, key, fraction)[0]
-
-
-# --------------------------------------------------------------------------
-# strategy: window
-
-
-def _window(df: DataFrame, s: SequenceSpec) -> DataFrame:
-    w = Window.partitionBy(s.partition_by).orderBy(
-        *[F.col(c).asc_nulls_first() for c in s.order_by])
-    # bigint: one entity may hold more than 2^31 rows
-    cols = [F.row_number().over(w).cast("bigint").alias(s.row_number_name),
-            F.first(s.first_of).over(w).alias(s.first_name),
-            F.lag(s.lag_of).over(w).alias(s.lag_name)]
-    if s.frame == "previous_row":
-        # COUNT / SUM over exactly the previous row are that row's values:
-        # LAG gives them without a sliding aggregation buffer
-        sum_types = {f.name: f.dataType for f in
-                     df.select(*[F.sum(e).alias(n) for n, e in s.prev_sums.items()]).schema.fields}
-        cols.append(F.when(F.lag(s.prev_count_of).over(w).isNotNull(), F.lit(1)).otherwise(F.lit(0))
-                    .cast("bigint").alias(s.prev_count_name))
-        cols += [F.lag(e).over(w).cast(sum_types[n]).alias(n) for n, e in s.prev_sums.items()]
-    else:
-        prev = w.rowsBetween(Window.unboundedPreceding, -1)
-        cols.append(F.count(s.prev_count_of).over(prev).alias(s.prev_count_name))
-        cols += [F.sum(e).over(prev).alias(n) for n, e in s.prev_sums.items()]
-    return df.select("*", *cols)
-
-
-# --------------------------------------------------------------------------
-# strategy: ranged
-
-
-_PID = "_seq_pid"
-_RN, _FIRST, _LAG, _CNT = "_seq_rn", "_seq_first", "_seq_lag", "_seq_cnt"
-_HEAD, _TAIL = "_seq_head", "_seq_tail"
-_ACNT = "_seq_acnt"
-
-
-def _last_type(schema, s, value_names):
-    """Type of the previous-row payload struct carried across partitions."""
-    return T.StructType([T.StructField("lag", schema[s.lag_of].dataType, True),
-                         T.StructField("cnt", T.LongType(), True)]
-                        + [T.StructField(v, schema[v].dataType, True) for v in value_names])
-
-
-def _ranged(df: DataFrame, s: SequenceSpec, num_partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    value_names = [f"_seq_v{i}" for i in range(len(s.prev_sums))]
-    sum_types = {}
-    if s.prev_sums:
-        # result type of SUM(expr), from analysis only (no job)
-        probe = df.select(*[F.sum(e).alias(nm) for nm, e in s.prev_sums.items()]).schema
-        sum_types = {f.name: f.dataType for f in probe.fields}
-    base = df.select("*", *[e.alias(v) for v, e in zip(value_names, s.prev_sums.values())])
-
-    # Total order: the caller's key, then the payload columns, so ties (if
-    # any) break the same way in the range partitioner, the local sort and
-    # the edge aggregates.
-    payload = [s.first_of, s.lag_of, s.prev_count_of, *value_names]
-    sort_cols = [s.partition_by, *s.order_by] + [c for c in payload if c not in s.order_by
-                                                 and c != s.partition_by]
-    sort_exprs = [F.col(c).asc_nulls_first() for c in sort_cols]
-    ranged = base.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
-
-    # -- local pass: one vectorised sweep per sorted partition
-    in_schema = base.schema
-    out_fields = list(in_schema.fields) + [
-        T.StructField(_PID, T.IntegerType(), False),
-        T.StructField(_RN, T.LongType(), False),
-        T.StructField(_FIRST, in_schema[s.first_of].dataType, True),
-        T.StructField(_LAG, in_schema[s.lag_of].dataType, True),
-        T.StructField(_CNT, T.LongType(), False),
-    ] + [T.StructField(f"{v}_prev", in_schema[v].dataType, True) for v in value_names] + [
-        T.StructField(_HEAD, T.BooleanType(), False),
-        T.StructField(_TAIL, T.BooleanType(), False),
-    ]
+def _bucket_lows(df: DataFrame, key: str, first: str, rows_per_bucket: int) -> DataFrame:
+    """(_seq_key, _seq_lows) of the large entities: the lowest value of the first
+    sort column in each bucket but the first, ascending."""
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    most = F.greatest(F.lit(rows_per_bucket).cast("double"), rows / MAX_LARGE)
+    large = (df.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > most).select(_KEY))
+    # exact counts per value, for the large entities' rows only
+    cells = (df.select(F.col(key).alias("_k"), F.col(first).alias("_v"))
+             .join(F.broadcast(large), F.col("_k").eqNullSafe(F.col(_KEY)))
+             .groupBy(_KEY, "_v").agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.partitionBy(_KEY).orderBy(F.col("_v").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    numbered = cells.select(_KEY, "_v", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / most).alias("_b"))
+    lows = numbered.where("_b > 0").groupBy(_KEY, "_b").agg(F.min("_v").alias("_v"))
+    return lows.groupBy(_KEY).agg(F.sort_array(F.collect_list("_v")).alias(_LOWS))
+
+
+def _bucket(first: str) -> Column:
+    """How many lows are at or below the value (binary search; NULL: 0)."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range((2 * MAX_LARGE).bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(F.col(_LOWS), at + step - 1) <= F.col(first), at + step).otherwise(at))
+    return F.when(F.col(_LOWS).isNull(), F.lit(0)).otherwise(found)
+
+
+def sequence_features(df: DataFrame, spec: SequenceSpec,
+                      rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """All columns of ``df`` plus the sequence features of ``spec``."""
+    s = spec
+    if s.frame not in ("previous_row", "all_previous"):
+        raise ValueError(f"frame must be previous_row|all_previous, got {s.frame!r}")
+    values = {name: f"_seq_v{i}" for i, name in enumerate(s.prev_sums)}
+    sum_types = dict(df.select(*[F.sum(e).alias(n) for n, e in s.prev_sums.items()]).dtypes) if values else {}
+    base = df.select("*", *[e.alias(values[n]) for n, e in s.prev_sums.items()])
+    order = [*s.order_by, *[c for c in base.columns if c not in s.order_by and c != s.partition_by]]
+    lows = _bucket_lows(df, s.partition_by, s.order_by[0], rows_per_bucket)
+    same = F.col(s.partition_by).eqNullSafe(F.col(_KEY))
     running = s.frame == "all_previous"
-    if running:
-        # exclusive running totals within the partition's part of each group
-        out_fields.append(T.StructField(_ACNT, T.LongType(), False))
-        for v in value_names:
-            out_fields += [T.StructField(f"{v}_acnt", T.LongType(), False),
-                           T.StructField(f"{v}_asum", _running_type(in_schema[v].dataType), True)]
-    local = ranged.mapInArrow(
-        _local_pass_fn(s.partition_by, s.first_of, s.lag_of, s.prev_count_of, value_names,
-                       running),
-        T.StructType(out_fields))
-    # Materialise the swept partitions once in the shared checkpoint folder:
-    # the edge table and the repair below must see the very same partition
-    # ids, and a reliable copy lets a lost executor's work restart from it
-    # instead of re-running the shuffle and the sweep.
-    ensure_checkpoint_dir(spark)
-    local = local.checkpoint(eager=True)
 
-    # -- edge table, from the materialised sweep: per partition its first row (head) and
-    # its last row (tail), i.e. at most 2 * n rows.  A tail row carries the
-    # size of the partition's last group, that group's first value, and the
-    # previous-row payload a continuation in the next partition needs.
-    last = F.struct(F.col(s.lag_of).alias("lag"),
-                    F.col(s.prev_count_of).isNotNull().cast("long").alias("cnt"),
-                    *[F.col(v).alias(v) for v in value_names])
-    edge = local.where(F.col(_HEAD) | F.col(_TAIL))
-    totals = {}
+    # per bucket of a large entity: what the buckets after it need
+    parts = base.join(F.broadcast(lows), same).withColumn(_BUCKET, _bucket(s.order_by[0]))
+    ends = F.struct(*[F.col(c) for c in order])
+    totals = {"_rows": F.count(F.lit(1)), "_cnt": F.count(s.prev_count_of),
+              **{f"_sum{v}": F.sum(v) for v in values.values()}}
+    summed = parts.groupBy(_KEY, _BUCKET).agg(F.min(ends).alias("_low"), F.max(ends).alias("_high"),
+                                              *[e.alias(n) for n, e in totals.items()])
+    earlier = Window.partitionBy(_KEY).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summed.select(
+        F.col(_KEY).alias("_ck"), F.col(_BUCKET).alias("_cb"),
+        F.struct(F.first("_low").over(earlier).alias("low"), F.last("_high").over(earlier).alias("high"),
+                 *[F.sum(n).over(earlier).alias(n) for n in totals]).alias(_CARRY)
+    ).where(F.col("_cb") > 0)
+
+    bucketed = base.join(F.broadcast(lows), same, "left").withColumn(_BUCKET, _bucket(s.order_by[0])).drop(_KEY, _LOWS)
+    w = Window.partitionBy(s.partition_by, _BUCKET).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    prev = w.rowsBetween(Window.unboundedPreceding, -1)
+    local = {"_rn": F.row_number().over(w).cast("bigint"), "_first": F.first(s.first_of).over(w)}
+    local["_lag"] = F.lag(s.lag_of).over(w)
     if running:
-        totals["_t_cnt"] = F.col(_ACNT) + F.col(s.prev_count_of).isNotNull().cast("long")
-        for v in value_names:
-            totals[f"_t_{v}_cnt"] = F.col(f"{v}_acnt") + F.col(v).isNotNull().cast("long")
-            totals[f"_t_{v}_sum"] = (F.coalesce(F.col(f"{v}_asum"), F.lit(0))
-                                     + F.coalesce(F.col(v), F.lit(0)))
-    heads = edge.where(F.col(_HEAD)).select(
-        _PID, s.partition_by, F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_n"),
-        F.lit(None).cast(T.StructType([T.StructField("v", in_schema[s.first_of].dataType)]))
-        .alias("_first_here"),
-        F.lit(None).cast(_last_type(in_schema, s, value_names)).alias("_last_here"),
-        *[F.lit(None).cast(edge.select(e).schema[0].dataType).alias(k) for k, e in totals.items()])
-    tails = edge.where(F.col(_TAIL)).select(
-        _PID, s.partition_by, F.lit(1).alias("_kind"), F.col(_RN).alias("_n"),
-        F.struct(F.col(_FIRST).alias("v")).alias("_first_here"), last.alias("_last_here"),
-        *[e.alias(k) for k, e in totals.items()])
-    w = (Window.partitionBy(s.partition_by).orderBy(_PID, "_kind")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    fix = (heads.unionByName(tails)
-           .select(_PID, s.partition_by, "_kind",
-                   F.sum("_n").over(w).alias("_offset"),
-                   # structs: only head rows are NULL, a NULL first value survives
-                   F.first("_first_here", ignorenulls=True).over(w).alias("_run_first"),
-                   F.last("_last_here", ignorenulls=True).over(w).alias("_prev_last"),
-                   *[F.sum(k).over(w).alias(f"_off{k}") for k in totals])
-           .where((F.col("_kind") == 0) & F.col("_offset").isNotNull())
-           .drop("_kind")
-           .withColumnRenamed(s.partition_by, "_seq_key")
-           .withColumnRenamed(_PID, "_seq_fix_pid"))
-
-    j = local.join(F.broadcast(fix),
-                   (F.col(_PID) == F.col("_seq_fix_pid"))
-                   & F.col(s.partition_by).eqNullSafe(F.col("_seq_key")),
-                   "left")
-    cont = F.col("_offset").isNotNull()
-    head = cont & (F.col(_RN) == 1)
-    out = [F.col(c) for c in df.columns]
-    out += [
-        (F.col(_RN) + F.coalesce(F.col("_offset"), F.lit(0))).alias(s.row_number_name),
-        F.when(cont, F.col("_run_first.v")).otherwise(F.col(_FIRST)).alias(s.first_name),
-        F.when(head, F.col("_prev_last.lag")).otherwise(F.col(_LAG)).alias(s.lag_name),
-    ]
-    if not running:
-        out.append(F.when(head, F.col("_prev_last.cnt")).otherwise(F.col(_CNT))
-                   .alias(s.prev_count_name))
-        for name, v in zip(s.prev_sums, value_names):
-            val = F.when(head, F.col(f"_prev_last.{v}")).otherwise(F.col(f"{v}_prev"))
-            out.append(val.cast(sum_types[name]).alias(name))
-        return j.select(*out)
-    # all earlier rows: this partition's running totals plus earlier partitions' totals
-    out.append((F.col(_ACNT) + F.coalesce(F.col("_off_t_cnt"), F.lit(0))).alias(s.prev_count_name))
-    for name, v in zip(s.prev_sums, value_names):
-        n_vals = F.col(f"{v}_acnt") + F.coalesce(F.col(f"_off_t_{v}_cnt"), F.lit(0))
-        total = (F.coalesce(F.col(f"{v}_asum"), F.lit(0))
-                 + F.coalesce(F.col(f"_off_t_{v}_sum"), F.lit(0)))
-        out.append(F.when(n_vals > 0, total).cast(sum_types[name]).alias(name))
-    return j.select(*out)
-
-
-def _running_type(t: T.DataType) -> T.DataType:
-    """Type of an exact running total of ``t`` inside the sweep."""
-    if isinstance(t, T.DecimalType):
-        return T.DecimalType(38, t.scale)
-    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return T.DecimalType(38, 0)
-    return T.DoubleType()
-
-
-def _local_pass_fn(key: str, first_of: str, lag_of: str, count_of: str,
-                   value_names: Sequence[str], running: bool = False):
-    """Build the per-partition Arrow sweep.  Input batches arrive in the
-    partition's sort order; a one-row carry links consecutive batches."""
-
-    # Everything the sweep needs is local to this closure (column names are
-    # bound below), so it pickles by value and executors need no copy of this
-    # package.
-    pid_c, rn_c, first_c, lag_c, cnt_c = _PID, _RN, _FIRST, _LAG, _CNT
-    head_c, tail_c, acnt_c = _HEAD, _TAIL, _ACNT
-
-    def run(batches):
-        import decimal
-
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        from pyspark import TaskContext
-
-        def _units(col, valid):
-            # exact numbers for running sums: unscaled integers for decimals and
-            # integers (object arrays of Python ints: sums never overflow),
-            # floats for floating point; NULL -> 0
-            t = col.type
-            if pa.types.is_decimal(t) and t.bit_width == 128:
-                # decimal128 cells are 16-byte two's complement unscaled integers
-                raw = np.frombuffer(col.buffers()[1], dtype=np.int64)[
-                    2 * col.offset: 2 * (col.offset + len(col))]
-                lo, hi = raw[0::2], raw[1::2]
-                if np.array_equal(hi, lo >> 63):            # every cell fits in 64 bits
-                    return np.where(valid, lo, 0).astype(object)
-            if pa.types.is_decimal(t):
-                return np.array([0 if x is None else int(x.scaleb(t.scale))
-                                 for x in col.to_pylist()], dtype=object)
-            if pa.types.is_integer(t):
-                return col.fill_null(0).to_numpy(zero_copy_only=False).astype(object)
-            return np.where(valid, col.fill_null(0).to_numpy(zero_copy_only=False), 0.0).astype(float)
-
-        def _from_units(units, t):
-            # inverse of _units, into the running-total Arrow type
-            if not (pa.types.is_decimal(t) or pa.types.is_integer(t)):
-                return pa.array(units, pa.float64())
-            scale = t.scale if pa.types.is_decimal(t) else 0
-            out_t = pa.decimal128(38, scale)
-            try:
-                u64 = np.asarray(units, dtype=np.int64)       # OverflowError if too large
-            except OverflowError:
-                return pa.array([decimal.Decimal(int(u)).scaleb(-scale) for u in units], out_t)
-            cells = np.empty(2 * len(u64), dtype=np.int64)
-            cells[0::2], cells[1::2] = u64, u64 >> 63
-            return pa.Array.from_buffers(out_t, len(u64), [None, pa.py_buffer(cells.tobytes())])
-
-        def batch(arrs, nms, rows, tail):
-            # output batch: swept columns, tail flag, running totals
-            flag = np.zeros(rows, dtype=bool)
-            if tail:
-                flag[-1] = True
-            return pa.RecordBatch.from_arrays(arrs[0] + [pa.array(flag)] + arrs[1], names=nms)
-
-        pid = TaskContext.get().partitionId()
-        lagged = [lag_of, *value_names]
-        carry = None  # dict: key(valid, value), rn, first scalar, last row cells
-        pending = None
-
-        for b in batches:
-            n = b.num_rows
-            if n == 0:
-                continue
-            k = b.column(key)
-            valid = pc.is_valid(k).to_numpy(zero_copy_only=False)
-            vals = k.to_numpy(zero_copy_only=False)
-            pvalid = np.empty(n, dtype=bool)
-            pvals = np.empty(n, dtype=vals.dtype)
-            pvalid[1:], pvals[1:] = valid[:-1], vals[:-1]
-            if carry is None:
-                pvalid[0], pvals[0] = (not valid[0]), vals[0]   # forces a start
-            else:
-                pvalid[0], pvals[0] = carry["valid"], carry["val"]
-            with np.errstate(invalid="ignore"):
-                same = (valid == pvalid) & (~valid | (vals == pvals))
-            if carry is None:
-                same[0] = False
-            idx = np.arange(n)
-            starts = np.maximum.accumulate(np.where(~same, idx, -1))
-            cont = starts < 0                       # rows continuing the carried group
-            rn = np.where(cont, idx + 1 + (carry["rn"] if carry else 0), idx - starts + 1)
-
-            fcol = b.column(first_of)
-            first = pc.take(fcol, pa.array(np.where(cont, 0, starts), mask=cont))
-            if carry is not None and cont.any():
-                first = pc.if_else(pa.array(cont), carry["first"], first)
-
-            # previous-row cells: prepend the carried last row, then shift by one
-            def prev_of(name):
-                col = b.column(name)
-                head = carry["cells"][name] if carry else pa.nulls(1, col.type)
-                ext = pa.concat_arrays([head.cast(col.type), col])
-                return pc.take(ext, pa.array(idx, mask=~same))
-
-            prev_cols = [prev_of(c) for c in lagged]
-            cnt_col = b.column(count_of)
-            cnt_valid = pc.is_valid(cnt_col).to_numpy(zero_copy_only=False)
-            pcv = np.empty(n, dtype=bool)
-            pcv[1:] = cnt_valid[:-1]
-            pcv[0] = carry["cnt_valid"] if carry else False
-            cnt = np.where(same & pcv, 1, 0).astype(np.int64)
-
-            head_flag = np.zeros(n, dtype=bool)
-            if carry is None:
-                head_flag[0] = True
-
-            run_cols, run_carry = [], {}
-            if running:
-                base_of = np.where(cont, 0, starts)
-
-                def exclusive(x, carried):
-                    # running total of the earlier rows of each group (exact for
-                    # integers: Python ints in an object array)
-                    inc = np.cumsum(x)
-                    excl = inc - x
-                    excl = excl - excl[base_of]
-                    return np.where(cont, excl + carried, excl), excl[-1] + x[-1] + \
-                        (carried if cont[-1] else 0)
-
-                cv = cnt_valid.astype(np.int64)
-                acnt, run_carry["acnt"] = exclusive(cv, carry["acnt"] if carry else 0)
-                run_cols.append(pa.array(acnt.astype(np.int64)))
-                for v in value_names:
-                    col = b.column(v)
-                    ok = pc.is_valid(col).to_numpy(zero_copy_only=False)
-                    vc, run_carry[f"{v}_cnt"] = exclusive(ok.astype(np.int64),
-                                                          carry[f"{v}_cnt"] if carry else 0)
-                    units = _units(col, ok)
-                    vs, run_carry[f"{v}_sum"] = exclusive(units, carry[f"{v}_sum"] if carry else 0)
-                    run_cols += [pa.array(vc.astype(np.int64)), _from_units(vs, col.type)]
-            arrays = list(b.columns) + [
-                pa.array(np.full(n, pid, dtype=np.int32)),
-                pa.array(rn.astype(np.int64)),
-                first,
-                prev_cols[0],
-                pa.array(cnt),
-            ] + prev_cols[1:] + [pa.array(head_flag)]
-            names = list(b.schema.names) + [pid_c, rn_c, first_c, lag_c, cnt_c] + \
-                [f"{v}_prev" for v in value_names] + [head_c, tail_c]
-            if running:
-                names += [acnt_c] + [x for v in value_names for x in (f"{v}_acnt", f"{v}_asum")]
-
-            # hold one batch back: only at the end is the partition's last row known
-            if pending is not None:
-                yield batch(*pending, tail=False)
-            pending = ((arrays, run_cols), names, n)
-
-            carry = {
-                "valid": bool(valid[-1]), "val": vals[-1], "rn": int(rn[-1]),
-                "first": first[n - 1],
-                "cells": {c: b.column(c).slice(n - 1, 1) for c in lagged},
-                "cnt_valid": bool(cnt_valid[-1]),
-                **run_carry,
-            }
-
-        if pending is not None:
-            yield batch(*pending, tail=True)
-
-    return run
-
+        local["_n"] = F.count(s.prev_count_of).over(prev)
+        local.update({f"_s{v}": F.sum(v).over(prev) for v in values.values()})
+    else:
+        # COUNT / SUM over exactly the previous row are that row's values: LAG
+        # gives them without a sliding aggregation buffer
+        local["_n"] = F.lag(F.col(s.prev_count_of).isNotNull().cast("bigint"), 1, 0).over(w)
+        local.update({f"_s{v}": F.lag(v).over(w) for v in values.values()})
+    rows = bucketed.select("*", *[e.alias(n) for n, e in local.items()])
+    joined = rows.join(F.broadcast(carry), F.col(s.partition_by).eqNullSafe(F.col("_ck"))
+                       & (F.col(_BUCKET) == F.col("_cb")), "left")
+
+    carried = F.col(_CARRY).isNotNull()
+    starts = carried & (F.col("_rn") == 1)          # first row of a later bucket
+
+    def at(end: str, column: str) -> Column:
+        return F.col(f"{_CARRY}.{end}.{column}")
+
+    out = [(F.col("_rn") + F.coalesce(F.col(f"{_CARRY}._rows"), F.lit(0))).alias(s.row_number_name),
+           F.when(carried, at("low", s.first_of)).otherwise(F.col("_first")).alias(s.first_name),
+           F.when(starts, at("high", s.lag_of)).otherwise(F.col("_lag")).alias(s.lag_name)]
+    if running:
+        out.append((F.col("_n") + F.coalesce(F.col(f"{_CARRY}._cnt"), F.lit(0))).alias(s.prev_count_name))
+    else:
+        out.append(F.when(starts, at("high", s.prev_count_of).isNotNull().cast("bigint"))
+                   .otherwise(F.col("_n")).alias(s.prev_count_name))
+    for name, v in values.items():
+        if running:     # NULL only where no earlier row has a value
+            before = F.col(f"{_CARRY}._sum{v}")
+            total = F.coalesce(F.col(f"_s{v}") + before, F.col(f"_s{v}"), before)
+        else:
+            total = F.when(starts, at("high", v)).otherwise(F.col(f"_s{v}"))
+        out.append(total.cast(sum_types[name]).alias(name))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *out)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.numeric import exact_mean
@@ -40,24 +40,16 @@ def min_mean_max(df: DataFrame, value: str, names: tuple[str, str, str],
 
 
 def key_profile(df: DataFrame, row_count_name: str,
-                distinct: dict[str, Sequence[str]], mode: str = "separate") -> DataFrame:
+                distinct: dict[str, Sequence[str]]) -> DataFrame:
     """Row count plus exact distinct counts of column sets (one row).
 
     Rows with a NULL in any column of a set are not counted for that set,
     the same rows a CONCAT-built key would skip.
 
-    ``mode="separate"`` (default) runs one DISTINCT aggregate per set and
-    attaches the one-row results as scalars: each de-duplicates map-side on its own narrow
-    key and reads only its columns.  ``mode="expand"`` is Spark's single
-    multi-distinct aggregate, which expands every input row once per set.
+    One DISTINCT aggregate per set, attached as scalars: each de-duplicates map-side
+    on its own narrow key and reads only its columns (a multi-distinct aggregate
+    would expand every input row once per set).
     """
-    if mode == "expand":
-        aggs: list[Column] = [F.count(F.lit(1)).alias(row_count_name)]
-        for name, cols in distinct.items():
-            aggs.append(F.countDistinct(*[F.col(c) for c in cols]).alias(name))
-        return df.agg(*aggs)
-    if mode != "separate":
-        raise ValueError("mode must be separate|expand")
     out = df.agg(F.count(F.lit(1)).alias(row_count_name))
     for name, cols in distinct.items():
         present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])

@@ -23,7 +23,6 @@ from storelens.functions.numeric import (exact_mean, from_cents, half_up_ratio,
                                          percent)
 from storelens.operators.summaries import attach_scalar, top_k
 
-MONEY = "decimal(38,2)"
 CANCELED, DELIVERED = "canceled", "delivered"
 
 
@@ -46,24 +45,25 @@ def top_customer_by_orders(orders: DataFrame, customers: DataFrame, k: int = 1)
     return top_k(per_person, "order_count", k, tie_break=["customer_unique_id"])
 
 
-def canceled_handed_to_carrier_share(orders: DataFrame) -> DataFrame:
+def canceled_handed_to_carrier_share(orders: DataFrame, handed: DataFrame | None = None) -> DataFrame:
     """All orders, canceled orders, canceled orders handed to a carrier, and
-    the share (0 when nothing is canceled).  One pass over orders."""
-    is_c = F.col("order_status") == CANCELED
-    handed = F.when(F.col("order_delivered_carrier_date").isNotNull(), 1).otherwise(0)
-    a = orders.agg(
-        F.count(F.lit(1)).alias("order_count"),
-        F.count_if(is_c).alias("canceled_order_count"),
-        # SUM over zero canceled rows is NULL, as in the source
-        F.sum(F.when(is_c, handed)).cast("bigint")
-        .alias("canceled_and_delivered_carrier_order_count"))
-    pct = (F.when(F.col("canceled_order_count") > 0,
-                  (F.col("canceled_and_delivered_carrier_order_count")
-                   / F.col("canceled_order_count")) * 100)
-           .otherwise(F.lit(0.0)))
-    return a.select("order_count", "canceled_order_count",
-                    "canceled_and_delivered_carrier_order_count",
-                    pct.alias("canceled_and_delivered_carrier_order_percentage"))
+    the share (0 when nothing is canceled).
+
+    ``handed`` lists order ids given to a carrier (repeats allowed); only canceled
+    orders meet it.  Without it, orders with an ``order_delivered_carrier_date`` are.
+    """
+    canceled = F.col("order_status") == CANCELED
+    counts = orders.agg(F.count(F.lit(1)).alias("order_count"), F.count_if(canceled).alias("canceled_order_count"))
+    if handed is None:
+        handed = orders.where(F.col("order_delivered_carrier_date").isNotNull())
+    met = orders.where(canceled).select("order_id").join(handed.select("order_id"), "order_id", "left_semi")
+    both = attach_scalar(counts, met.agg(F.count(F.lit(1)).alias("n")))
+    # SUM over zero canceled rows is NULL, as in the source
+    given = F.when(F.col("canceled_order_count") > 0, F.col("n"))
+    return both.select("order_count", "canceled_order_count",
+                       given.alias("canceled_and_delivered_carrier_order_count"),
+                       F.coalesce(given / F.col("canceled_order_count") * 100, F.lit(0.0))
+                       .alias("canceled_and_delivered_carrier_order_percentage"))
 
 
 def returning_customer_share(orders: DataFrame, customers: DataFrame,
@@ -94,17 +94,14 @@ def returning_customer_share(orders: DataFrame, customers: DataFrame,
 
 
 def _gap_profile(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Per person: first/last purchase, number of non-delivered orders and of
-    non-delivered orders with a purchase time.  Aggregated per customer id
-    first (map-side combined), then per person."""
+    """Per person: first to last purchase in whole days, number of non-delivered orders
+    with a purchase time.  Aggregated per customer id first (map-side combined)."""
     ts = F.col("order_purchase_timestamp")
     nd = F.col("order_status") != DELIVERED
     per_id = orders.groupBy("customer_id").agg(
-        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
-        F.count_if(nd).alias("nd"), F.count(F.when(nd, ts)).alias("nd_ts"))
+        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count(F.when(nd, ts)).alias("nd_ts"))
     return (_person(per_id, customers).groupBy("customer_unique_id").agg(
-        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
-        F.sum("nd").alias("nd"), F.sum("nd_ts").alias("nd_ts"))
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("nd_ts").alias("nd_ts"))
         .withColumn("gap", whole_days_between("last_ts", "first_ts")))
 
 
@@ -126,16 +123,22 @@ def long_gap_nondelivered_share(orders: DataFrame, customers: DataFrame,
 
 def long_gap_nondelivered_share_v2(orders: DataFrame, customers: DataFrame,
                                    gap_days: int = 30) -> DataFrame:
-    """Second formulation (COUNTIF, guarded ratio): same counts, percentage 0
-    when no long-gap person has a non-delivered order."""
-    g = _gap_profile(orders, customers)
-    long_gap = F.col("gap") > gap_days
-    matched = F.col("customer_unique_id").isNotNull() & (F.col("nd") > 0)
-    a = g.agg(F.count_if(long_gap).alias("returning_30d_customer_count"),
-              F.count_if(long_gap & matched).alias("returning_30d_non_delivered_customer_count"))
+    """Second formulation, by membership: the persons whose purchases lie further apart,
+    and those of them who stand among the persons with a non-delivered order;
+    percentage 0 when there is none."""
+    ids = customers.select("customer_id", "customer_unique_id")
+    spans = orders.groupBy("customer_id").agg(F.min("order_purchase_timestamp").alias("t0"),
+                                              F.max("order_purchase_timestamp").alias("t1"))
+    away = (spans.join(ids, "customer_id", "left").groupBy("customer_unique_id")
+            .agg(F.min("t0").alias("t0"), F.max("t1").alias("t1"))
+            .where(whole_days_between("t1", "t0") > gap_days).select("customer_unique_id"))
+    undelivered = orders.where(F.col("order_status") != DELIVERED).select("customer_id").distinct()
+    waiting = ids.join(undelivered, "customer_id", "left_semi").select("customer_unique_id")
     num, den = "returning_30d_non_delivered_customer_count", "returning_30d_customer_count"
+    both = attach_scalar(away.agg(F.count(F.lit(1)).alias(den)),
+                         away.join(waiting, "customer_unique_id", "left_semi").agg(F.count(F.lit(1)).alias(num)))
     pct = F.when(F.col(num) > 0, percent(num, den, 2, on_zero="error")).otherwise(F.lit(0.0))
-    return a.select("*", pct.alias("returning_30d_percentage"))
+    return both.select("*", pct.alias("returning_30d_percentage"))
 
 
 def monthly_canceled_revenue_share(orders: DataFrame, payments: DataFrame) -> DataFrame:
@@ -148,7 +151,8 @@ def monthly_canceled_revenue_share(orders: DataFrame, payments: DataFrame) -> Da
     ts = F.col("order_purchase_timestamp")
     g = j.groupBy(F.year(ts).alias("y"), F.month(ts).alias("m")).agg(
         F.sum("paid").alias("total_c"),
-        F.sum(F.when(F.col("order_status") == CANCELED, F.col("paid")).otherwise(F.lit(0)))
+        F.sum(F.when(F.col("order_status") == CANCELED, F.col("paid"))
+              .otherwise(F.lit(0).cast("decimal(38,0)")))
         .alias("lost_c"))
     total, lost = F.col("total_c"), F.col("lost_c")
     pct = F.when(total > 0, percent(lost, total, 2)).otherwise(F.lit(0.0))

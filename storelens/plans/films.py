@@ -17,9 +17,14 @@ from storelens.operators.summaries import min_mean_max
 
 # Rental-count bucket floors, checked top-down with ">".
 RENTAL_BUCKETS = [(24, 24), (20, 20), (16, 16), (12, 12), (8, 8), (4, 4)]
-# Actor-popularity band labels, checked top-down with ">=".
-POPULARITY_BANDS = [(31, "A > 31"), (29, "B = 29-30"), (27, "C = 27-28"), (25, "D = 25-26")]
-BAND_BELOW, BAND_NONE = "E < 25", "F = 0"
+# Floors of the actor-popularity bands (mean film count of a film's actors).
+POPULARITY_FLOORS = (25, 27, 29, 31)
+BAND_NONE = "F = 0"
+
+
+def popularity_bands(d: int, c: int, b: int, a: int) -> list[tuple[int, str]]:
+    """(floor, label), checked top-down with ">=": "A > 31", "B = 29-30", ... for 25, 27, 29, 31."""
+    return [(a, f"A > {a}"), (b, f"B = {b}-{a - 1}"), (c, f"C = {c}-{b - 1}"), (d, f"D = {d}-{c - 1}")]
 
 
 # ---------------------------------------------------------------- views
@@ -96,19 +101,20 @@ def avg_actor_popularity(film_actor: DataFrame) -> DataFrame:
         exact_mean(F.sum("film_count"), F.count("film_count"), 0).alias("avg_actor_film_count")))
 
 
-def _band(avg) -> F.Column:
-    rules = [(avg >= lo, label) for lo, label in POPULARITY_BANDS] + [(avg < 25, BAND_BELOW)]
-    return score_rules(rules, BAND_NONE)
+def _band(avg, floors) -> F.Column:
+    rules = [(avg >= lo, label) for lo, label in popularity_bands(*floors)]
+    return score_rules(rules + [(avg < floors[0], f"E < {floors[0]}")], BAND_NONE)
 
 
-def rentals_by_actor_popularity_band(films, inventory, rentals, film_actor) -> DataFrame:
+def rentals_by_actor_popularity_band(films, inventory, rentals, film_actor,
+                                     floors=POPULARITY_FLOORS) -> DataFrame:
     """Films, rentals and mean actor popularity per popularity band; films
     without actors form band 'F = 0'."""
     fr = film_rental_grouped(films, inventory, rentals)
     ap = avg_actor_popularity(film_actor)
     j = fr.join(ap, "film_id", "left")
     avg = F.col("avg_actor_film_count")
-    return (j.groupBy(_band(avg).alias("avg_actor_film_count_group")).agg(
+    return (j.groupBy(_band(avg, floors).alias("avg_actor_film_count_group")).agg(
         F.count("film_id").alias("film_count_group"),
         F.sum("rental_count").cast("bigint").alias("rental_counts_group"),
         exact_mean(F.sum(avg.cast("bigint")), F.count(avg), 0).alias("avg_actor_group"))

@@ -1,9 +1,9 @@
 """Order-item sequence features, review and delivery analyses.
 
 The per-product sequence (order number, first/previous ship date, previous
-item's price) comes from ``storelens.operators.sequences``, which switches to
-a skew-safe range-partitioned plan when one product is hot.  Sort keys get
-the order id as the final tie-break so numbering is deterministic.
+item's price) comes from ``storelens.operators.sequences``, one plan for products
+of any size.  Sort keys get the order id and then all other columns as tie-breaks,
+so numbering is deterministic.
 """
 
 from __future__ import annotations
@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.dates import add_days, calendar_days_between, whole_days_between
-from storelens.functions.numeric import cents, exact_mean
+from storelens.functions.numeric import cents, exact_mean, wide_sum
 from storelens.operators.sequences import SequenceSpec, sequence_features
 from storelens.operators.summaries import key_profile
 
 MONEY = "decimal(38,2)"
+# Sellers are large next to products: their sequences are cut finer.
+SELLER_ROWS_PER_BUCKET = 500_000
 ITEM_COLUMNS = ["order_id", "order_item_id", "product_id", "seller_id",
                 "shipping_limit_date", "price", "freight_value"]
 
@@ -35,8 +37,7 @@ def item_spec() -> SequenceSpec:
         lag_name="previous_date", prev_count_name="previous_order_count")
 
 
-def item_sequence(items: DataFrame, strategy: str = "auto", frame: str = "previous_row",
-                  **kw) -> DataFrame:
+def item_sequence(items: DataFrame, frame: str = "previous_row", **kw) -> DataFrame:
     """Items plus all sequence features (money sums as decimal(38,2)).
 
     ``frame="all_previous"`` counts and sums over all earlier items of the
@@ -45,7 +46,7 @@ def item_sequence(items: DataFrame, strategy: str = "auto", frame: str = "previo
     """
     spec = item_spec()
     spec.frame = frame
-    f = sequence_features(items, spec, strategy=strategy, **kw)
+    f = sequence_features(items, spec, **kw)
     return f.withColumns({c: F.col(c).cast(MONEY) for c in
                           ("previous_order_price_sum", "previous_order_total_price_sum")})
 
@@ -69,27 +70,39 @@ def key_uniqueness_profile(items: DataFrame) -> DataFrame:
     })
 
 
-def item_order_number(items: DataFrame, strategy: str = "auto") -> DataFrame:
+def _preview(df: DataFrame, limit: int | None) -> DataFrame:
+    """Any ``limit`` rows (the source's bare LIMIT), or all of them."""
+    return df if limit is None else df.limit(limit)
+
+
+def item_order_number(items: DataFrame, limit: int | None = None) -> DataFrame:
     """Every item with its order number within its product."""
-    return item_sequence(items, strategy).select(*ITEM_COLUMNS, "order_number")
+    return _preview(item_sequence(items).select(*ITEM_COLUMNS, "order_number"), limit)
 
 
-def item_first_prev_date(items: DataFrame, strategy: str = "auto") -> DataFrame:
+def item_first_prev_date(items: DataFrame, limit: int | None = None) -> DataFrame:
     """Items + order number, product's first ship date, previous ship date."""
-    return item_sequence(items, strategy).select(
-        *ITEM_COLUMNS, "order_number", "first_date", "previous_date")
+    return _preview(item_sequence(items).select(
+        *ITEM_COLUMNS, "order_number", "first_date", "previous_date"), limit)
 
 
-def item_prev_frame_stats(items: DataFrame, strategy: str = "auto",
-                          frame: str = "previous_row") -> DataFrame:
+def item_prev_frame_stats(items: DataFrame, frame: str = "previous_row",
+                          limit: int | None = None) -> DataFrame:
     """... + count and price sum over exactly the previous item."""
-    return item_sequence(items, strategy, frame).select(
+    return _preview(item_sequence(items, frame).select(
         *ITEM_COLUMNS, "order_number", "first_date", "previous_date",
-        "previous_order_count", "previous_order_price_sum")
+        "previous_order_count", "previous_order_price_sum"), limit)
+
+
+def seller_item_order_number(items: DataFrame) -> DataFrame:
+    """Every item with its order number within its seller: few, large entities."""
+    spec = item_spec()
+    spec.partition_by = "seller_id"
+    return sequence_features(items, spec, rows_per_bucket=SELLER_ROWS_PER_BUCKET).select(
+        *ITEM_COLUMNS, "order_number", "first_date", "previous_date")
 
 
-def item_feature_summary(items: DataFrame, strategy: str = "auto",
-                         first_midpoint_days: int | None = None,
+def item_feature_summary(items: DataFrame, first_midpoint_days: int | None = None,
                          previous_midpoint_days: int | None = None,
                          previous_anchor: str = "first_date_min",
                          days: str = "calendar") -> DataFrame:
@@ -101,7 +114,7 @@ def item_feature_summary(items: DataFrame, strategy: str = "auto",
     date, as in the source; ``previous_anchor="previous_date_min"`` anchors it
     at the minimum previous date instead.
     """
-    f = item_sequence(items, strategy)
+    f = item_sequence(items)
     dd = _days(days)
     a = f.agg(
         F.max("first_date").alias("first_date_MAX"), F.min("first_date").alias("first_date_MIN"),
@@ -112,8 +125,8 @@ def item_feature_summary(items: DataFrame, strategy: str = "auto",
         .alias("previous_order_count_AVG"),
         F.max("previous_order_price_sum").alias("previous_order_price_sum_MAX"),
         F.min("previous_order_price_sum").alias("previous_order_price_sum_MIN"),
-        exact_mean(F.sum(cents("previous_order_price_sum")), F.count("previous_order_price_sum"),
-                   2, unit_scale=2).alias("previous_order_price_sum_AVG"))
+        exact_mean(wide_sum(cents("previous_order_price_sum")),
+                   F.count("previous_order_price_sum"), 2, unit_scale=2).alias("previous_order_price_sum_AVG"))
     half = lambda c: F.call_function("div", c, F.lit(2))
     m1 = F.lit(first_midpoint_days) if first_midpoint_days is not None else \
         half(dd("first_date_MAX", "first_date_MIN"))
@@ -128,11 +141,10 @@ def item_feature_summary(items: DataFrame, strategy: str = "auto",
                     "previous_order_price_sum_MAX")
 
 
-def item_derived_features(items: DataFrame, strategy: str = "auto",
-                          days: str = "calendar") -> DataFrame:
+def item_derived_features(items: DataFrame, days: str = "calendar") -> DataFrame:
     """Per item: order number, previous count/price sum, total price, days
     since the product's first and previous ship date, previous total."""
-    f = item_sequence(items, strategy)
+    f = item_sequence(items)
     dd = _days(days)
     return f.select(
         "order_id", "order_number", "previous_order_count", "previous_order_price_sum",
@@ -149,7 +161,7 @@ def order_review_score(reviews: DataFrame) -> DataFrame:
         exact_mean(F.sum("review_score"), F.count("review_score"), 0).alias("review_score"))
 
 
-def review_vs_item_features(items: DataFrame, reviews: DataFrame, strategy: str = "auto",
+def review_vs_item_features(items: DataFrame, reviews: DataFrame,
                             days: str = "calendar") -> DataFrame:
     """Mean item features per (rounded) order review score.
 
@@ -160,7 +172,7 @@ def review_vs_item_features(items: DataFrame, reviews: DataFrame, strategy: str
     """
     feats = ["total_price", "order_number", "previous_order_count", "previous_order_price_sum",
              "previous_order_total_price_sum", "days_since_first_date", "days_since_previous_date"]
-    f = item_derived_features(items, strategy, days)
+    f = item_derived_features(items, days)
     f = f.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in feats]))
     money = {"total_price", "previous_order_price_sum", "previous_order_total_price_sum"}
     per_order = f.groupBy("order_id").agg(
@@ -170,15 +182,15 @@ def review_vs_item_features(items: DataFrame, reviews: DataFrame, strategy: str
     n = F.sum("n")
     out = j.groupBy("review_score").agg(
         F.sum("n_oid").cast("bigint").alias("order_count"),
-        exact_mean(F.sum("total_price"), n, 0, unit_scale=2).alias("avg_total_price"),
-        exact_mean(F.sum("order_number"), n, 0).alias("avg_order_number"),
-        exact_mean(F.sum("previous_order_count"), n, 2).alias("avg_previous_order_number_count"),
-        exact_mean(F.sum("previous_order_price_sum"), n, 0, unit_scale=2)
+        exact_mean(wide_sum("total_price"), n, 0, unit_scale=2).alias("avg_total_price"),
+        exact_mean(wide_sum("order_number"), n, 0).alias("avg_order_number"),
+        exact_mean(wide_sum("previous_order_count"), n, 2).alias("avg_previous_order_number_count"),
+        exact_mean(wide_sum("previous_order_price_sum"), n, 0, unit_scale=2)
         .alias("avg_previous_order_price_sum"),
-        exact_mean(F.sum("previous_order_total_price_sum"), n, 0, unit_scale=2)
+        exact_mean(wide_sum("previous_order_total_price_sum"), n, 0, unit_scale=2)
         .alias("avg_previous_order_total_price_sum"),
-        exact_mean(F.sum("days_since_first_date"), n, 0).alias("avg_days_since_first_date"),
-        exact_mean(F.sum("days_since_previous_date"), n, 0).alias("avg_days_since_previous_date"))
+        exact_mean(wide_sum("days_since_first_date"), n, 0).alias("avg_days_since_first_date"),
+        exact_mean(wide_sum("days_since_previous_date"), n, 0).alias("avg_days_since_previous_date"))
     return out.orderBy(F.col("review_score").asc_nulls_first())
 
 

@@ -27,6 +27,9 @@ TEST_COST_THRESHOLD = 950.0
 TEST_LENGTH_THRESHOLD = 26
 TEST_FAVOURED_CATEGORY = "PROMO"
 TEST_EXCLUDED_CATEGORY = "LARGE"
+# The test tables' suppliers stand for actors, with some 500 films each at SF 0.01.
+TEST_POPULARITY_FLOORS = (514, 516, 518, 520)
+TEST_LIKELIHOOD_HIGH, TEST_LIKELIHOOD_LOW = 518, 514
 # Category lists for the intended (IN / NOT IN) reading of S34.
 TEST_FAVOURED_CATEGORIES = ("PROMO", "SMALL", "MEDIUM")
 TEST_EXCLUDED_CATEGORIES = ("LARGE", "ECONOMY", "STANDARD")
@@ -68,7 +71,8 @@ def _likelihood(spark: SparkSession, root: str) -> DataFrame:
     return fm.rental_likelihood_by_category(
         sr.films(t), sr.inventory(t), sr.film_rentals(t), sr.film_actor(t),
         sr.film_category(t), sr.category(t),
-        favoured=TEST_FAVOURED_CATEGORY, excluded=TEST_EXCLUDED_CATEGORY)
+        favoured=TEST_FAVOURED_CATEGORY, excluded=TEST_EXCLUDED_CATEGORY,
+        high=TEST_LIKELIHOOD_HIGH, low=TEST_LIKELIHOOD_LOW)
 
 
 def _likelihood_intended(spark: SparkSession, root: str) -> DataFrame:
@@ -77,7 +81,7 @@ def _likelihood_intended(spark: SparkSession, root: str) -> DataFrame:
         sr.films(t), sr.inventory(t), sr.film_rentals(t), sr.film_actor(t),
         sr.film_category(t), sr.category(t),
         favoured=list(TEST_FAVOURED_CATEGORIES), excluded=list(TEST_EXCLUDED_CATEGORIES),
-        key_on_rental_side=True)
+        high=TEST_LIKELIHOOD_HIGH, low=TEST_LIKELIHOOD_LOW, key_on_rental_side=True)
 
 
 def _category_popularity(spark: SparkSession, root: str) -> DataFrame:
@@ -89,7 +93,8 @@ def _category_popularity(spark: SparkSession, root: str) -> DataFrame:
 def _bands(spark: SparkSession, root: str) -> DataFrame:
     t = Tables(spark, root)
     return fm.rentals_by_actor_popularity_band(sr.films(t), sr.inventory(t),
-                                               sr.film_rentals(t), sr.film_actor(t))
+                                               sr.film_rentals(t), sr.film_actor(t),
+                                               floors=TEST_POPULARITY_FLOORS)
 
 
 def _category_view(spark: SparkSession, root: str) -> DataFrame:
@@ -100,7 +105,8 @@ def _category_view(spark: SparkSession, root: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # orders, customers and revenue
     "top_customer_by_orders": _commerce(cm.top_customer_by_orders, _orders_light, sc.customers),
-    "canceled_handed_to_carrier_share": _commerce(cm.canceled_handed_to_carrier_share, sc.orders),
+    "canceled_handed_to_carrier_share": _commerce(cm.canceled_handed_to_carrier_share,
+                                                  _orders_light, sc.handed_orders),
     "returning_customer_share": _commerce(cm.returning_customer_share, _orders_light,
                                           sc.customers),
     "long_gap_nondelivered_share": _commerce(cm.long_gap_nondelivered_share, _orders_light,
@@ -123,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "item_order_number": _commerce(it.item_order_number, sc.order_items),
     "item_first_prev_date": _commerce(it.item_first_prev_date, sc.order_items),
     "item_prev_frame_stats": _commerce(it.item_prev_frame_stats, sc.order_items),
+    "seller_item_order_number": _commerce(it.seller_item_order_number, sc.order_items),
     "item_feature_summary": _commerce(it.item_feature_summary, sc.order_items),
     "item_derived_features": _commerce(it.item_derived_features, sc.order_items),
     "review_vs_item_features": _commerce(it.review_vs_item_features, sc.order_items,
@@ -171,10 +178,9 @@ QUERIES: dict[str, Query] = {
 
 
 def _money_as_double(fn: Query) -> Query:
-    """Registered results present exact decimal money as DOUBLE (BigQuery
-    FLOAT64): the decimals are exact to the cent, so the doubles are the
-    nearest binary values of those cents, identical in every engine and
-    client library that reads them."""
+    """Registered results present exact decimal money as DOUBLE, so that every client
+    that compares them reads one type; the library functions keep decimals, which
+    stay exact to the cent where a double (above 2^53 cents) does not."""
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings every analysis relies on.  Timestamps in the inputs are
@@ -16,7 +14,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # checkpointed data (skew-safe sequences) is removed once unreferenced
+    # checkpointed data is removed once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Python call-site capture for error messages costs several JVM round
     # trips per Column function; plans here are built from hundreds of them
@@ -29,13 +27,10 @@ def get_session(master: str | None = None, app_name: str = "storelens",
                 extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    ``master`` defaults to ``local[$BENCH_CPUS]`` / ``local[*]`` only when no
-    master is configured already (e.g. by ``spark-submit``).
+    Without ``master`` the one that is configured holds (``spark-submit --master``,
+    ``spark-defaults.conf``); where none is, Spark itself takes ``local[*]``.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and "SPARK_MASTER" not in os.environ:
-        cpus = os.environ.get("BENCH_CPUS")
-        master = f"local[{cpus}]" if cpus else "local[*]"
     if master:
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
@@ -47,25 +42,3 @@ def get_session(master: str | None = None, app_name: str = "storelens",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder the session is configured with.
-
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder; it is
-    read from the session and never replaced.  Only a local-mode session
-    without one (tests, single-machine runs) gets a fresh private folder.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
-    import tempfile
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="storelens-ckpt-"))
-    return sc.getCheckpointDir()

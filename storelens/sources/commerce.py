@@ -67,6 +67,12 @@ def orders(t: Tables, with_delivery: bool = True) -> DataFrame:
                     est.alias("order_estimated_delivery_date")))
 
 
+def handed_orders(t: Tables) -> DataFrame:
+    """order_id of every finished line: orders given to a carrier (repeats)."""
+    finished = (F.col("l_linestatus") == "F") & F.col("l_shipdate").isNotNull()
+    return t.lineitem.where(finished).select(F.col("l_orderkey").alias("order_id"))
+
+
 def customers(t: Tables) -> DataFrame:
     """customers(customer_id, customer_unique_id, customer_city).
 
@@ -89,10 +95,9 @@ def order_payments(t: Tables) -> DataFrame:
 
 
 def order_reviews(t: Tables) -> DataFrame:
-    """order_reviews(order_id, review_score 1..5): finished lines only."""
-    return (t.lineitem.where(F.col("l_linestatus") == "F")
-            .select(F.col("l_orderkey").alias("order_id"),
-                    F.ceil(F.col("l_quantity") / 10).cast("int").alias("review_score")))
+    """order_reviews(order_id, review_score 1..5)."""
+    return t.lineitem.select(F.col("l_orderkey").alias("order_id"),
+                             F.ceil(F.col("l_quantity") / 10).cast("int").alias("review_score"))
 
 
 def order_items(t: Tables) -> DataFrame:

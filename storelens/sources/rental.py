@@ -15,13 +15,8 @@ from pyspark.sql import functions as F
 from storelens.sources.tables import Tables
 
 # Fixed values of the film-side adapter (FIXTURES.md section 3).
-INVENTORY_PART_FACTOR = 1000000      # inventory_id = part * factor + supplier
 RENTAL_LINE_FACTOR = 10              # rental_id = order * factor + line number
 STAFF_BY_LINESTATUS = {"F": 1, "O": 2}
-RENTED_RETURN_FLAGS = ("R", "N")
-UNRENTED_FILM_EVERY = 10             # films whose id is a multiple of this are never rented
-ACTOR_RETURN_FLAG = "A"
-ACTOR_YEAR = 1997
 AMOUNT_TYPE = "decimal(18,2)"
 
 
@@ -52,7 +47,8 @@ def films(t: Tables) -> DataFrame:
 
 
 def _inventory_id():
-    return F.col("l_partkey") * INVENTORY_PART_FACTOR + F.col("l_suppkey")
+    # two keys in one struct: no packing that larger ids could make collide
+    return F.struct(F.col("l_partkey").alias("film"), F.col("l_suppkey").alias("seller"))
 
 
 def inventory(t: Tables) -> DataFrame:
@@ -67,9 +63,7 @@ def film_rentals(t: Tables) -> DataFrame:
     for k, v in STAFF_BY_LINESTATUS.items():
         c = F.col("l_linestatus") == k
         staff = F.when(c, F.lit(v)) if staff is None else staff.when(c, F.lit(v))
-    li = t.lineitem.where(F.col("l_returnflag").isin(*RENTED_RETURN_FLAGS)
-                          & (F.col("l_partkey") % UNRENTED_FILM_EVERY != 0))
-    return li.select(
+    return t.lineitem.select(
         (F.col("l_orderkey") * RENTAL_LINE_FACTOR + F.col("l_linenumber")).alias("rental_id"),
         _inventory_id().alias("inventory_id"),
         staff.cast("int").alias("staff_id"))
@@ -89,7 +83,5 @@ def category(t: Tables) -> DataFrame:
 
 def film_actor(t: Tables) -> DataFrame:
     """film_actor(actor_id, film_id)."""
-    li = t.lineitem.where((F.col("l_returnflag") == ACTOR_RETURN_FLAG)
-                          & (F.year("l_shipdate") == ACTOR_YEAR))
-    return li.select(F.col("l_suppkey").alias("actor_id"),
+    return t.lineitem.select(F.col("l_suppkey").alias("actor_id"),
                      F.col("l_partkey").alias("film_id")).distinct()

@@ -11,8 +11,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 # The raw table schemas (FIXTURES.md section 1).  Reading with a
-# declared schema skips the footer-inference job Spark otherwise runs for
-# every read, and fails fast if an input does not have the expected columns.
+# declared schema skips the footer-inference job Spark otherwise runs for every
+# read.  Parquet fills a column that a file lacks with NULL, so the names in one
+# file's footer are compared first (no Spark job).
 RAW_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -30,6 +31,31 @@ RAW_SCHEMAS = {
 RAW_TABLES = tuple(RAW_SCHEMAS)
 
 
+def footer_columns(spark: SparkSession, path: str) -> set[str] | None:
+    """Column names in the footer of the first Parquet file at ``path`` (None: no file).
+
+    Read on the driver through Hadoop's file system, so any store Spark reads works.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    if not fs.exists(at):
+        return None
+    files = fs.listFiles(at, True)
+    while files.hasNext():
+        file = files.next()
+        name = file.getPath().getName()
+        if file.getLen() and not name.startswith(("_", ".")):
+            source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(file.getPath(), conf)
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+            try:
+                fields = reader.getFooter().getFileMetaData().getSchema().getFields()
+                return {fields.get(i).getName() for i in range(fields.size())}
+            finally:
+                reader.close()
+    return None
+
+
 class Tables:
     """Raw tables of a data directory, read on first access.
 
@@ -43,10 +69,16 @@ class Tables:
         self.infer_schema = infer_schema
 
     def read(self, name: str) -> DataFrame:
+        path = f"{self.root}/{name}.parquet"
         reader = self.spark.read
         if not self.infer_schema and name in RAW_SCHEMAS:
+            wanted = [c.split()[0] for c in RAW_SCHEMAS[name].split(", ")]
+            there = footer_columns(self.spark, path)
+            missing = [] if there is None else [c for c in wanted if c not in there]
+            if missing:
+                raise ValueError(f"{path} has no column {', '.join(missing)}")
             reader = reader.schema(RAW_SCHEMAS[name])
-        return reader.parquet(f"{self.root}/{name}.parquet")
+        return reader.parquet(path)
 
     @cached_property
     def nation(self) -> DataFrame:

@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from storelens.session import DEFAULT_CONF, ensure_checkpoint_dir  # noqa: E402
+from storelens.session import DEFAULT_CONF  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
@@ -20,7 +20,6 @@ def spark():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)   # tests only: a private local folder when none is configured
     yield s
     s.stop()
 

@@ -1,4 +1,5 @@
 from datetime import datetime
+from decimal import Decimal
 from fractions import Fraction
 
 from hypothesis import given, settings, strategies as st
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from storelens.functions.dates import (add_days, calendar_days_between, month_label,
                                        whole_days_between)
-from storelens.functions.numeric import half_up_ratio, percent
+from storelens.functions.numeric import exact_mean, half_up_ratio, percent, wide_sum
 
 
 def ref_half_up(num, den, scale, factor=1):
@@ -15,11 +16,13 @@ def ref_half_up(num, den, scale, factor=1):
     return (q if x >= 0 else -q) / 10 ** scale
 
 
-@settings(max_examples=1, deadline=None)
-@given(st.lists(st.tuples(st.integers(-10**9, 10**9), st.integers(1, 10**6)),
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(-9 * 10**18, 9 * 10**18), st.integers(1, 10**6)),
                 min_size=50, max_size=50))
 def test_half_up_ratio_matches_exact_rational(spark, pairs):
     pairs += [(1, 200), (-1, 200), (5, 1000), (1005, 100000), (0, 7), (2, 3)]
+    # a quotient has to fit a bigint, the scaled numerator does not
+    pairs = [(n, d if abs(n) < 10**14 else d * 10**6) for n, d in pairs]
     df = spark.createDataFrame(pairs, "n long, d long")
     got = df.select("n", "d", half_up_ratio("n", "d", 2).alias("r"),
                     percent("n", "d", 1).alias("p")).collect()
@@ -28,6 +31,22 @@ def test_half_up_ratio_matches_exact_rational(spark, pairs):
         assert r.p == ref_half_up(r.n, r.d, 1, factor=100)
 
 
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(-(1 << 63), (1 << 63) - 1), min_size=1, max_size=40))
+def test_wide_sum_is_exact(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    assert df.agg(wide_sum("v").alias("s")).first().s == sum(values)
+
+
+def test_means_and_shares_of_huge_sums(spark):
+    big = 10 ** 19                                    # cents, beyond a bigint
+    df = spark.createDataFrame([(Decimal(big), 1000), (Decimal(-big - 5), 1000)], "t decimal(38,0), n long")
+    got = [r.m for r in df.select(exact_mean("t", "n", 2, unit_scale=2).alias("m")).collect()]
+    assert got == [1e14, -1e14]
+    share = df.select(percent("t", F.lit(Decimal(big)).cast("decimal(38,0)"), 2).alias("p")).collect()
+    assert [r.p for r in share] == [100.0, -100.0]
+
+
 def test_half_up_zero_divisor(spark):
     df = spark.createDataFrame([(1, 0)], "n long, d long")
     assert df.select(half_up_ratio("n", "d", 2).alias("r")).first().r is None

@@ -1,9 +1,13 @@
-"""The skew-safe range-partitioned strategy equals Spark's Window."""
+"""Bucketed sequences equal one Window per entity, whatever the bucket size."""
+
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from storelens.operators.sequences import SequenceSpec, largest_group, sequence_features
+from storelens.operators import sequences
+from storelens.operators.sequences import SequenceSpec, sequence_features
 from storelens.plans.items import item_spec
 from storelens.sources import commerce
 from storelens.sources.tables import Tables
@@ -11,128 +15,75 @@ from storelens.sources.tables import Tables
 from conftest import SF_SMALL
 
 
-def _spec(extra_tiebreak=True):
-    s = item_spec()
-    if extra_tiebreak:
-        s.order_by = [*s.order_by, "price", "freight_value"]
-    return s
+def plain(df, s):
+    """One window per entity over the total sort key."""
+    base = df.select("*", *[e.alias(f"_{n}") for n, e in s.prev_sums.items()])
+    order = [*s.order_by, *[c for c in base.columns if c not in s.order_by and c != s.partition_by]]
+    w = Window.partitionBy(s.partition_by).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    before = w.rowsBetween(Window.unboundedPreceding if s.frame == "all_previous" else -1, -1)
+    return base.select(*df.columns, F.row_number().over(w).cast("bigint").alias(s.row_number_name),
+                       F.first(s.first_of).over(w).alias(s.first_name), F.lag(s.lag_of).over(w).alias(s.lag_name),
+                       F.count(s.prev_count_of).over(before).alias(s.prev_count_name),
+                       *[F.sum(f"_{n}").over(before).alias(n) for n in s.prev_sums])
 
 
-def _same(a, b):
+def same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 @pytest.fixture(scope="module")
-def items(spark):
-    return commerce.order_items(Tables(spark, SF_SMALL)).cache()
-
-
-@pytest.mark.parametrize("parts", [1, 3, 16])
-def test_ranged_equals_window(spark, items, parts):
-    w = sequence_features(items, _spec(), "window")
-    r = sequence_features(items, _spec(), "ranged", num_partitions=parts)
-    assert _same(w, r)
-
-
-def test_hot_product_spanning_partitions(spark, items):
-    # a third of all rows belong to one product (and some keys are NULL)
-    hot = items.withColumn(
-        "product_id",
-        F.when(F.col("order_id") % 3 == 0, F.lit(7))
-        .when(F.col("order_id") % 97 == 1, F.lit(None)).otherwise(F.col("product_id")))
-    assert largest_group(hot, "product_id") >= items.count() // 4
-    w = sequence_features(hot, _spec(), "window")
-    r = sequence_features(hot, _spec(), "ranged", num_partitions=11)
-    assert _same(w, r)
-    top = r.where("product_id = 7").agg(F.max("order_number"), F.count(F.lit(1))).first()
-    assert top[0] == top[1]
-
-
-def test_many_small_batches(spark, items):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
-    try:
-        w = sequence_features(items, _spec(), "window")
-        r = sequence_features(items, _spec(), "ranged", num_partitions=4)
-        assert _same(w, r)
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-
-
-def test_auto_picks_window_below_threshold(spark, items):
-    plan = sequence_features(items, _spec(), "auto")._jdf.queryExecution().toString()
-    assert "Window" in plan and "MapInArrow" not in plan
-
-
-def test_previous_frame_is_single_row(spark, items):
-    # trap T6: count over exactly one previous row is 0 or 1; the sum is that row's price
-    f = sequence_features(items, item_spec(), "window")
-    assert set(r[0] for r in f.select("previous_order_count").distinct().collect()) <= {0, 1}
-    assert f.where("order_number = 1 AND previous_order_price_sum IS NOT NULL").count() == 0
-
-
-def test_auto_switches_to_ranged_for_a_hot_product(spark, items):
-    hot = items.withColumn("product_id",
-                           F.when(F.col("order_id") % 3 == 0, F.lit(7)).otherwise(F.col("product_id")))
-    out = sequence_features(hot, _spec(), "auto", hot_rows=100, num_partitions=6)
-    plan = out._jdf.queryExecution().toString()
-    assert "Window [" not in plan.split("== Physical Plan ==")[1].split("BroadcastExchange")[0]
-    w = sequence_features(hot, _spec(), "window")
-    assert _same(w, out)
-
-
-def test_null_first_value_survives_partition_boundaries(spark, items):
-    # the first item of the hot product has no ship date: FIRST_VALUE is NULL
-    hot = (items.withColumn("product_id", F.when(F.col("order_id") % 3 == 0, F.lit(7))
-                            .otherwise(F.col("product_id")))
-           .withColumn("shipping_limit_date",
-                       F.when((F.col("product_id") == 7) & (F.col("order_id") % 50 == 0), None)
-                       .otherwise(F.col("shipping_limit_date"))))
-    w = sequence_features(hot, _spec(), "window")
-    r = sequence_features(hot, _spec(), "ranged", num_partitions=9)
-    assert _same(w, r)
-    assert r.where("product_id = 7 AND first_date IS NOT NULL").count() == 0
-
-
-@pytest.mark.parametrize("parts", [1, 7])
-def test_all_previous_frame_ranged_equals_window(spark, items, parts):
-    hot = items.withColumn(
-        "product_id", F.when(F.col("order_id") % 3 == 0, F.lit(7)).otherwise(F.col("product_id")))
-    hot = hot.withColumn("price", F.when(F.col("order_id") % 11 == 0, None).otherwise(F.col("price")))
-    spec = _spec()
-    spec.frame = "all_previous"
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "101")
-    try:
-        w = sequence_features(hot, spec, "window")
-        r = sequence_features(hot, spec, "ranged", num_partitions=parts)
-        assert w.schema == r.schema
-        assert _same(w, r)
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+def hot(spark):
+    """A third of all rows belong to one product, some keys, dates and prices are NULL,
+    and some items differ in price alone (ties on the caller's sort key)."""
+    items = commerce.order_items(Tables(spark, SF_SMALL))
+    df = (items.withColumn("product_id", F.when(F.col("order_id") % 3 == 0, F.lit(7))
+                           .when(F.col("order_id") % 97 == 1, F.lit(None)).otherwise(F.col("product_id")))
+          .withColumn("shipping_limit_date", F.when(F.col("order_id") % 50 == 0, F.lit(None))
+                      .otherwise(F.col("shipping_limit_date")))
+          .withColumn("price", F.when(F.col("order_id") % 11 == 0, F.lit(None)).otherwise(F.col("price"))))
+    ties = df.where("order_id % 20 = 3").withColumn("price", (F.col("price") + 1).cast("decimal(12,2)"))
+    return df.unionAll(ties).unionAll(df.where("order_id % 90 = 9")).cache()
+
+
+@pytest.mark.parametrize("frame", ["previous_row", "all_previous"])
+@pytest.mark.parametrize("size", [10**9, 400, 37, 1])
+def test_buckets_of_any_size_equal_the_window(spark, hot, size, frame):
+    s = item_spec()
+    s.frame = frame
+    got, want = sequence_features(hot, s, rows_per_bucket=size), plain(hot, s)
+    assert got.columns == want.columns and same(got, want)
+
+
+def test_first_dates_all_missing(spark, hot):
+    df = hot.withColumn("shipping_limit_date", F.lit(None).cast("timestamp_ntz"))
+    assert same(sequence_features(df, item_spec(), rows_per_bucket=5), plain(df, item_spec()))
+    assert sequence_features(df.limit(0), item_spec()).count() == 0
+
+
+def test_large_entities_are_cut(spark, hot, monkeypatch):
+    monkeypatch.setattr(sequences, "MAX_LARGE", 10**6)
+    lows = sequences._bucket_lows(hot, "product_id", "shipping_limit_date", 100).collect()
+    assert [r[0] for r in lows].count(7) == 1
+    assert max(len(r[1]) for r in lows) >= hot.where("product_id = 7").count() // 400
 
 
 def test_running_totals_beyond_64_bits(spark):
-    from decimal import Decimal
     big = Decimal("9" * 17 + ".99")      # unscaled value needs ~67 bits
-    data = [(1 if i % 4 else 2, i, big if i % 5 else None) for i in range(400)]
-    df = spark.createDataFrame(data, "k long, o long, v decimal(20,2)")
+    df = spark.createDataFrame([(1 if i % 4 else 2, i, big if i % 5 else None) for i in range(400)],
+                               "k long, o long, v decimal(20,2)")
     spec = SequenceSpec("k", ["o"], "o", "o", "o", {"s": F.col("v")}, frame="all_previous")
-    w = sequence_features(df, spec, "window")
-    r = sequence_features(df, spec, "ranged", num_partitions=3)
-    assert _same(w, r)
-    assert r.agg(F.max("s")).first()[0] > Decimal(2) ** 64
-
-
-def test_sampled_hot_check_finds_the_hot_product(spark, items):
-    hot = items.withColumn(
-        "product_id", F.when(F.col("order_id") % 3 == 0, F.lit(7)).otherwise(F.col("product_id")))
-    exact = largest_group(hot, "product_id")
-    est = largest_group(hot, "product_id", 0.05)
-    assert 0.5 * exact < est < 1.5 * exact
-    assert largest_group(items, "product_id", 0.05) < exact / 10
-
-
-def test_ranged_partitions_sized_by_rows(spark, items):
-    n = items.count()
-    r = sequence_features(items, _spec(), "ranged", rows_per_partition=n // 20)
-    assert r.rdd.getNumPartitions() >= 20
-    assert _same(sequence_features(items, _spec(), "window"), r)
+    got = sequence_features(df, spec, rows_per_bucket=30)
+    assert same(got, plain(df, spec)) and got.agg(F.max("s")).first()[0] > Decimal(2) ** 64
+
+
+def test_neighbouring_long_keys_and_null_stay_apart(spark):
+    keys = [2**53, 2**53 + 1, None]
+    df = spark.createDataFrame([(k, o) for k in keys for o in range(6)], "k long, o long")
+    spec = SequenceSpec("k", ["o"], "o", "o", "o")
+    got = sequence_features(df, spec, rows_per_bucket=2)
+    assert sorted(r.row_number for r in got.collect()) == sorted([1, 2, 3, 4, 5, 6] * 3)
+
+
+def test_one_shuffle_of_the_rows_and_no_python(spark, hot):
+    plan = sequence_features(hot, item_spec())._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" not in plan and "Python" not in plan and "Window" in plan
