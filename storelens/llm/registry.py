@@ -20,6 +20,9 @@ from storelens.llm import (
     url_filter,
 )
 from storelens.llm.frames import table
+from storelens.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -93,5 +96,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_preferences": op9_chat_preferences,
     "op10_simhash": op10_simhash,
 }
-
-ORACLE: dict[str, str] = {}
