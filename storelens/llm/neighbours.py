@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES_PER_PARTITION = 4
+MAX_RANGES = 20_000                  # their starts are one literal of the plan
 
 
 def _range_starts(ids: DataFrame, count: int) -> list:
@@ -34,7 +35,7 @@ def with_next(df: DataFrame, key: str, tie: str, take: dict[str, str]) -> DataFr
     """Add the columns ``take`` = {new name: column of the next row}, by ascending
     ``key`` (null first), then ``tie`` (a long); the last row's next is the first."""
     spark = df.sparkSession
-    count = int(spark.conf.get("spark.sql.shuffle.partitions")) * RANGES_PER_PARTITION
+    count = min(MAX_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")) * RANGES_PER_PARTITION)
     starts = _range_starts(df.select(F.col(key).alias("id")), count)
     ranged = df.withColumn("__range", _range_of(F.col(key), starts))
     # one row a range: at most ``count`` rows, whatever the table's size
