@@ -31,11 +31,11 @@ def column(df: DataFrame, name: str) -> Column:
     return df[f"`{name}`"]
 
 
-def row_key(df: DataFrame, doc_id: str, text: str) -> tuple[Column, Column]:
-    """Two longs, never null, equal only for rows that agree in id and text.
+def row_key(df: DataFrame, doc_id: str, text: str) -> dict[str, Column]:
+    """One or two longs, never null, equal only for rows that agree in id and text.
 
-    The second is a hash of the text, and 0 throughout where no id stands twice
-    (one slim count over the ids): 0 costs no space in a shuffle, a hash 8 bytes a row.
+    k1 stands for the id; k2, a hash of the text, is there only if some id stands
+    twice (one slim count over the ids), as it costs 8 bytes in every shuffled row.
     """
     key = column(df, doc_id)
     if isinstance(df.schema[doc_id].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
@@ -44,8 +44,8 @@ def row_key(df: DataFrame, doc_id: str, text: str) -> tuple[Column, Column]:
         first = F.xxhash64(key.cast("string"))
     repeated = df.select(first.alias("k")).groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
-        return first, F.lit(0).cast("bigint")
-    return first, F.xxhash64(key.isNull(), column(df, text).isNull(), column(df, text))
+        return {"k1": first}
+    return {"k1": first, "k2": F.xxhash64(key.isNull(), column(df, text).isNull(), column(df, text))}
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -73,15 +73,15 @@ class _Text:
         return np.flatnonzero(alive)
 
 
-def _batches(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """(k1, k2, int64 columns ...) per text -> Arrow batches of bounded size."""
+def _batches(rows: Iterator[tuple], keys: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """(key longs ..., columns ...) per text -> Arrow batches of bounded size."""
     held: list[list[np.ndarray]] = [[] for _ in names]
     size = 0
-    for k1, k2, *columns in rows:
-        n = len(columns[0])
+    for row in rows:
+        n = len(row[keys])
         for at in range(0, n, _ROWS):
-            part = [np.full(min(_ROWS, n - at), k, np.int64) for k in (k1, k2)]
-            part += [c[at:at + _ROWS] for c in columns]
+            part = [np.full(min(_ROWS, n - at), k, np.int64) for k in row[:keys]]
+            part += [c[at:at + _ROWS] for c in row[keys:]]
             for h, p in zip(held, part, strict=True):
                 h.append(p)
             size += len(part[0])
@@ -92,34 +92,33 @@ def _batches(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h)) for h in held], names)
 
 
-def _candidates(length: int, window: int, done: list[int]):
+def _candidates(length: int, window: int, done: list[int], keys: list[str]):
     """Arrow function: texts and the places that stand once at the levels ``done``
     -> places and hashes of the candidates of this level."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             once = [batch.column(f"once{n}") for n in done]
-            keys = zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)
-            for i, (k1, k2) in enumerate(keys):
+            for i, key in enumerate(zip(*[batch.column(k).to_pylist() for k in keys], strict=True)):
                 body = _Text(batch.column("raw")[i].as_py(), window)
                 at = body.survivors([(n, _array(c[i].as_py())) for n, c in zip(done, once, strict=True)])
                 if len(at) and length < window:
                     places, short = body.representatives(length)
                     at = np.unique(places[at])
-                    yield k1, k2, at, _signed(short[at])
+                    yield *key, at, _signed(short[at])
                 elif len(at):
                     h1, h2 = [_signed(Rolling(body.hashes, w).windows(length)[at]) for w in (0, 1)]
-                    yield k1, k2, at, h1, (h2 >> 32).astype(np.int32)
+                    yield *key, at, h1, (h2 >> 32).astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _batches(rows(batches), ["k1", "k2", "at", "h1", "h2"][:4 + (length == window)])
+        return _batches(rows(batches), len(keys), [*keys, "at", "h1", "h2"][:len(keys) + 2 + (length == window)])
     return run
 
 
-def _standing_once(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Per text, the places whose key stands nowhere else: one list per text, no longer
-    than the text.  Of a key that stands once the maxima are its only row."""
-    single = rows.groupBy(*keys).agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in ("k1", "k2", "at")])
-    return single.where("n = 1").groupBy("k1", "k2").agg(F.collect_list("at").alias("once"))
+def _standing_once(rows: DataFrame, hashes: list[str], keys: list[str]) -> DataFrame:
+    """Per text, the places whose hash stands nowhere else: one list per text, no longer
+    than the text.  Of a hash that stands once the maxima are its only row."""
+    single = rows.groupBy(*hashes).agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in (*keys, "at")])
+    return single.where("n = 1").groupBy(*keys).agg(F.collect_list("at").alias("once"))
 
 
 def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
@@ -136,17 +135,18 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     """
     lengths = level_lengths(window, -(-window // 2) if first is None else first)
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text", "removed_spans")]
-    k1, k2 = row_key(docs, doc_id, text)
-    alive = docs.select(*[column(docs, c).alias(f"c{i}") for i, c in enumerate(names)],
-                        k1.alias("k1"), k2.alias("k2"), column(docs, text).cast("binary").alias("raw"))
+    key = row_key(docs, doc_id, text)
+    keys = list(key)
+    # the text goes along once, as bytes
+    alive = docs.select(*[column(docs, c).alias(f"c{i}") for i, c in enumerate(names) if c != text],
+                        *[c.alias(k) for k, c in key.items()], column(docs, text).cast("binary").alias("raw"))
     for i, length in enumerate(lengths):
         # every level hands all columns on, so that all levels share one exchange of the texts
-        keys = ["h1", "h2"] if length == window else ["h1"]
-        shape = "k1 bigint, k2 bigint, at bigint, h1 bigint" + ", h2 int" * (length == window)
-        found = (alive if i else alive.select("k1", "k2", "raw")).mapInArrow(
-            _candidates(length, window, lengths[:i]), shape)
-        alive = alive.join(_standing_once(found, keys).withColumnRenamed("once", f"once{length}"),
-                           ["k1", "k2"], "left")
+        hashes = ["h1", "h2"] if length == window else ["h1"]
+        shape = ", ".join([*[f"{k} bigint" for k in keys], "at bigint, h1 bigint"]) + ", h2 int" * (length == window)
+        found = (alive if i else alive.select(*keys, "raw")).mapInArrow(
+            _candidates(length, window, lengths[:i], keys), shape)
+        alive = alive.join(_standing_once(found, hashes, keys).withColumnRenamed("once", f"once{length}"), keys, "left")
 
     @F.pandas_udf("n_words bigint, n_removed bigint, kept_text string, "
                   "removed_spans array<struct<start:bigint,end:bigint>>")
@@ -160,9 +160,10 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
                 out.append((n, gone, _cut_out(raw, spans) if keep_space else kept, spans))
             yield pd.DataFrame(out, columns=["n_words", "n_removed", "kept_text", "removed_spans"])
 
-    judged = alive.select(*[f"c{i}" for i in range(len(names))],
+    judged = alive.select(*[f"c{i}" for i, c in enumerate(names) if c != text], "raw",
                           cut("raw", *[f"once{n}" for n in lengths]).alias("cut"))
-    return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "cut.*")
+    return judged.select(*[F.col("raw").cast("string").alias(c) if c == text else F.col(f"c{i}").alias(c)
+                           for i, c in enumerate(names)], "cut.*")
 
 
 def _array(places) -> np.ndarray:
