@@ -85,6 +85,8 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Languag
         held: dict[str, int] = {}
 
         def add(name: str) -> None:
+            if not waiting[name]:
+                return
             totals[name][:BUCKETS] += np.bincount(np.concatenate(waiting[name]), minlength=BUCKETS)
             waiting[name], held[name] = [], 0
 

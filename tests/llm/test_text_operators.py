@@ -182,6 +182,16 @@ def test_language_id_counts_by_hand(spark):
     assert np.allclose(model.log_prob, want) and np.allclose(np.exp(model.prior), [2 / 3, 1 / 3])
 
 
+def test_language_id_counts_texts_of_any_length(spark, monkeypatch):
+    # the last text of a task fills its buffer to the brim
+    text = "ab" * language_id._SLICE * 5
+    model = language_id.train(spark.createDataFrame([(1, text, "x"), (2, None, "x"), (3, "", "y")],
+                                                    "doc_id bigint, text string, lang string").coalesce(1))
+    assert model.predict(text)[0] == "x" and model.languages == ("x", "y")
+    alone = language_id.train(spark.createDataFrame([(1, text, "x")], "doc_id bigint, text string, lang string"))
+    assert alone.predict("abab") == ("x", 1.0)
+
+
 def test_language_id_without_any_label(spark):
     model = language_id.train(documents(spark, []))
     got = language_id.identify(documents(spark), model).select("lang_pred", "score").distinct().collect()
