@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import column
+from storelens.llm.frames import column, texts_in_small_batches
 from storelens.llm.words import Rolling, mix, plain_words, shingle_hashes, word_hashes
 
 SHINGLE = 5
@@ -158,6 +158,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", ite
     consecutively.  Items and documents without a word (null texts too) match
     nothing.  Repeated items are listed each.  A column ``items`` is replaced.
     """
+    texts_in_small_batches(docs.sparkSession)
     kind = benchmark.schema[item_id].dataType.simpleString()
     shape = f"array<struct<item_id:{kind},containment:double,n_shared:bigint>>"
     names = [c for c in docs.columns if c != "items"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOWEST = -(1 << 63)
+MAX_BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,14 @@ def row_key(df: DataFrame, doc_id: str, text: str) -> dict[str, Column]:
     return {"k1": first, "k2": F.xxhash64(key.isNull(), column(df, text).isNull(), column(df, text))}
 
 
+def texts_in_small_batches(spark: SparkSession) -> None:
+    """At most MAX_BATCH_ROWS rows an Arrow batch in this session: the limit counts
+    rows, and rows that hold whole texts are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= MAX_BATCH_ROWS:
+        spark.conf.set(name, str(MAX_BATCH_ROWS))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: what the session names in ``spark.checkpoint.dir``.
 

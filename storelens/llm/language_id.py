@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import checkpointed, column
+from storelens.llm.frames import checkpointed, column, texts_in_small_batches
 
 ORDERS = (2, 3)            # lengths of the n-grams; a word's edge counts as one character
 BUCKETS = 1 << 15
@@ -105,6 +105,7 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Languag
             at = np.flatnonzero(total)
             yield pd.DataFrame({"lang": name, "bucket": at.astype(np.int32), "n": total[at]})
 
+    texts_in_small_batches(docs.sparkSession)
     rows = docs.where(column(docs, lang).isNotNull()).select(
         column(docs, lang).cast("string").alias("lang"), column(docs, text).alias("text"))
     counts = checkpointed(rows.mapInPandas(count, "lang string, bucket int, n bigint")
@@ -131,6 +132,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text") -> Da
     ``und`` with score 0: the text is null or has no letter, or nothing was
     learned.  Equal posteriors: the first language by code point.
     """
+    texts_in_small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import column
+from storelens.llm.frames import column, texts_in_small_batches
 from storelens.llm.words import plain_words
 
 MAX_VARIABLE = 12
@@ -207,6 +207,7 @@ def scan_licenses(docs: DataFrame, *, text: str = "text", phrases: dict[str, str
     [start, end).  score is 1 where a template is accepted, 0.5 where only a
     phrase stands, else 0.  A null text is empty: no words, empty labels, 0.
     """
+    texts_in_small_batches(docs.sparkSession)
     scanner = Scanner(PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates)
     shape = ("n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, "
              "labels string, score double, license_spans array<struct<label:string,start:bigint,end:bigint>>")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.components import components
-from storelens.llm.frames import checkpointed, column, free_name
+from storelens.llm.frames import checkpointed, column, free_name, texts_in_small_batches
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -144,6 +144,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     if shingle < 1:
         raise ValueError("shingle: at least 1")
     names = [c for c in docs.columns if c not in ("fingerprint", "component_id", "near_group")]
+    texts_in_small_batches(docs.sparkSession)
     fp, root, low = free_name(docs, "fp", "root", "low")
     keyed = docs.select(*[column(docs, c) for c in names],
                         fingerprint_column(column(docs, text), shingle).alias(fp))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import column, row_key
+from storelens.llm.frames import column, row_key, texts_in_small_batches
 from storelens.llm.words import Rolling, mix, sliding_argmin, word_hashes
 
 WINDOW = 35
@@ -135,6 +135,7 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     """
     lengths = level_lengths(window, -(-window // 2) if first is None else first)
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text", "removed_spans")]
+    texts_in_small_batches(docs.sparkSession)
     key = row_key(docs, doc_id, text)
     keys = list(key)
     # the text goes along once, as bytes
