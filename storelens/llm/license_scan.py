@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from importlib import resources
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,8 +38,8 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# License notices and openings as they stand in public license texts.
-TEMPLATES = {
+# One-line notices, and openings of grants whose whole wording is among TEXTS.
+NOTICES = {
     "gpl-notice": "licensed under the [[terms of the]] GNU General Public License"
                   "[[, version {{number:1-1}}]] [[or {{later:0-6}} later [[version]]]]",
     "gpl-2.0": "GNU General Public License[[,]] version 2 [[of the License]]",
@@ -54,6 +55,79 @@ TEMPLATES = {
     "cc-by-nc-4.0": "licensed under [[a]] [[Creative Commons]] CC BY-NC 4.0",
     "cc-by-sa-4.0": "licensed under [[a]] [[Creative Commons]] CC BY-SA 4.0",
 }
+OPENINGS = frozenset({"mit-text", "bsd-notice"})         # tell no license alone: they score as a phrase does
+
+_MIT_GRANT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this {{software:1-4}} and "
+              "associated documentation files [[(the \"{{name:1-3}}\")]], to deal in the {{name:1-3}} without restriction, "
+              "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+              "and/or sell copies of the {{name:1-3}}, and to permit persons to whom the {{name:1-3}} is furnished to do so")
+_MIT_NOTICE = ("subject to the following conditions: The above copyright {{notice:1-1}} and this permission notice "
+               "[[(including the next paragraph)]] shall be included in all copies or substantial portions of the "
+               "{{name:1-3}}.")
+_MIT_WARRANTY = ("THE {{name:1-3}} IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT "
+                 "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+                 "IN NO EVENT SHALL {{holders}} BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION "
+                 "OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE {{name:1-3}} OR THE USE "
+                 "OR OTHER DEALINGS IN THE {{name:1-3}}.")
+_BSD_TWO = (NOTICES["bsd-notice"] + ": [[1.]] [[a)]] Redistributions of source code must retain the above copyright notice, "
+            "this list of conditions and the following disclaimer. [[2.]] [[b)]] Redistributions in binary form must "
+            "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+            "documentation and/or other materials provided with the distribution.")
+_BSD_NAMES = (" Neither the {{name:1-1}} of {{holder}} nor the names of [[its]] contributors may be used to endorse or promote "
+              "products derived from this software without specific prior written permission.")
+_BSD_WARRANTY = (" THIS SOFTWARE IS PROVIDED BY {{holders}} \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT "
+                 "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+                 "DISCLAIMED. IN NO EVENT SHALL {{holders}} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+                 "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+                 "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+                 "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN "
+                 "ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+
+
+def _gnu_notice(name: str, version: str) -> str:
+    return (f"is free software: you can redistribute it and/or modify it under the terms of the {name} as published by "
+            f"the Free Software Foundation; [[either]] version {version} [[of the License]] [[only]] [[or (at your "
+            "option) any later version]]. {{program:1-6}} is distributed in the hope that it will be useful, but WITHOUT "
+            "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+            f"the {name} for more details. [[You should have received a copy of the {name} along with "
+            "{{program:1-6}}]]")
+
+
+def _whole(label: str) -> str:
+    return resources.files(__package__).joinpath("licenses", f"{label}.txt").read_text(encoding="utf-8")
+
+
+# Whole grants, headers and license texts: the conditions and disclaimers are mandatory too.
+TEXTS = {
+    "mit-license": f"{_MIT_GRANT}, {_MIT_NOTICE} {_MIT_WARRANTY}",
+    "mit-0": f"{_MIT_GRANT}. {_MIT_WARRANTY}",
+    "json-license": f"{_MIT_GRANT}, {_MIT_NOTICE} The Software shall be used for Good, not Evil. {_MIT_WARRANTY}",
+    "x11": f"{_MIT_GRANT}, {_MIT_NOTICE} {_MIT_WARRANTY} Except as contained in this notice, the {{{{name:1-1}}}} of {{{{holder}}}} "
+           "shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software "
+           "without prior written authorization from {{holder:1-12}}",
+    "bsd-2-clause": _BSD_TWO + _BSD_WARRANTY,
+    "bsd-3-clause": f"{_BSD_TWO} [[3.]] [[c)]]{_BSD_NAMES}{_BSD_WARRANTY}",
+    "bsd-4-clause": f"{_BSD_TWO} [[3.]] [[c)]] All advertising materials mentioning features or use of this software must "
+                    "display the following {{word:1-1}}: This product includes software developed by {{holder}}. "
+                    f"[[4.]] [[d)]]{_BSD_NAMES}{_BSD_WARRANTY}",
+    "gpl-2.0-notice": _gnu_notice("GNU General Public License", "2"),
+    "gpl-3.0-notice": _gnu_notice("GNU General Public License", "3"),
+    "lgpl-2.1-notice": _gnu_notice("GNU Lesser General Public License", "2.1"),
+    "lgpl-3.0-notice": _gnu_notice("GNU Lesser General Public License", "3"),
+    "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
+                         "in compliance with the License. You may obtain a copy of the License at {{scheme:1-1}}://[[www.]]"
+                         "apache.org/licenses/LICENSE-2.0[[.txt]] [[.html]] Unless required by applicable law or agreed to "
+                         "in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+                         "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+                         "specific language governing permissions and limitations under the License.",
+    "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+                      "MPL was not distributed with this file, You can obtain one at {{scheme:1-1}}://[[www.]]mozilla.org/"
+                      "MPL/2.0/",
+    **{label: _whole(label) for label in ("apache-2.0-text", "gpl-2.0-text", "gpl-3.0-text", "lgpl-2.1-text",
+                                          "lgpl-3.0-text", "mpl-2.0-text")},
+}
+TEMPLATES = NOTICES | TEXTS
+
 
 @dataclass(frozen=True)
 class Automaton:
@@ -148,7 +222,12 @@ def compile_template(markup: str) -> Automaton:
 
 
 class Scanner:
-    def __init__(self, phrases: dict[str, str], templates: dict[str, str]):
+    """``openings``: templates that score as a phrase does; ``whole``: those of which only the
+    longest counts where one stands inside another."""
+
+    def __init__(self, phrases: dict[str, str], templates: dict[str, str], *,
+                 openings: frozenset[str] = OPENINGS, whole: frozenset[str] = frozenset(TEXTS)):
+        self.openings, self.whole = openings, whole
         self.phrases = [(b" " + b" ".join(plain_words(p)) + b" ", label) for p, label in phrases.items()]
         self.machines = {label: compile_template(m) for label, m in templates.items()}
         # a text without the rarest mandatory word of a template can't match it
@@ -180,8 +259,11 @@ class Scanner:
                 end = machine.accepts_at(words, at)
                 if end is not None:
                     spans.append((label, at, end))
+        texts = [s for s in spans if s[0] in self.whole]
+        spans = [(label, a, e) for label, a, e in spans if label not in self.whole or not any(
+            x <= a and e <= y and y - x > e - a for _, x, y in texts)]
         own = {label for label, _, _ in spans}
-        score = 1.0 if own else 0.5 if base else 0.0
+        score = 1.0 if own - self.openings else 0.5 if base or own else 0.0
         return (len(words), len(places), min(places, default=None), max(places, default=None),
                 ",".join(sorted(base)), ",".join(sorted(base | own)), score,
                 [{"label": a, "start": s, "end": e} for a, s, e in spans])
@@ -205,10 +287,11 @@ def scan_licenses(docs: DataFrame, *, text: str = "text", phrases: dict[str, str
     smallest and largest of them (words from 0; null: none).  labels adds the
     templates accepted anywhere in the text; license_spans holds their words
     [start, end).  score is 1 where a template is accepted, 0.5 where only a
-    phrase stands, else 0.  A null text is empty: no words, empty labels, 0.
+    phrase or one of OPENINGS stands, else 0.  A null text is empty: no words, empty labels, 0.
     """
     texts_in_small_batches(docs.sparkSession)
-    scanner = Scanner(PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates)
+    given = {} if templates is None else {"openings": frozenset(), "whole": frozenset()}
+    scanner = Scanner(PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates, **given)
     shape = ("n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, "
              "labels string, score double, license_spans array<struct<label:string,start:bigint,end:bigint>>")
 

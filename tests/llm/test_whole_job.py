@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from storelens.llm import html_tree, site_tree
+import pytest
+
+from storelens.llm import html_tree, license_scan, site_tree
 from tests.llm.cases import prose
 
 
@@ -40,3 +42,92 @@ def test_site_counts_decide_on_named_branches_with_most_of_the_text(spark):
     got = site_tree.extract(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()
     for r in got:
         assert r.text == " ".join(prose(r.page_id, 2).split()) + "\n\n" + " ".join(prose(r.page_id + 100, 20).split())
+
+
+GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so"""
+NOTICE = """, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software."""
+WARRANTY = """
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+CONDITIONS = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+"""
+DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+ADVERT = """3. All advertising materials mentioning features or use of this software must display the following
+acknowledgement: This product includes software developed by the organization.
+4. """
+GNU = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as
+published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {0} for more details."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+with the License.  You may obtain a copy of the License at
+    https://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.  See the License for the
+specific language governing permissions and limitations under the License."""
+SCAN = license_scan.Scanner(license_scan.PHRASES, license_scan.TEMPLATES).scan
+
+
+def whole_labels(text):
+    return {s["label"] for s in SCAN(text)[7]} & set(license_scan.TEXTS)
+
+
+@pytest.mark.parametrize("text, label", [
+    (GRANT + NOTICE + WARRANTY, "mit-license"), (GRANT + "." + WARRANTY, "mit-0"),
+    (GRANT + NOTICE + "\nThe Software shall be used for Good, not Evil." + WARRANTY, "json-license"),
+    (GRANT + NOTICE + WARRANTY + " Except as contained in this notice, the name of the X Consortium shall not be used in "
+     "advertising or otherwise to promote the sale, use or other dealings in this Software without prior written "
+     "authorization from the X Consortium.", "x11"),
+    (CONDITIONS + DISCLAIMER, "bsd-2-clause"), (CONDITIONS + NAMES + DISCLAIMER, "bsd-3-clause"),
+    (CONDITIONS + ADVERT + NAMES[3:] + DISCLAIMER, "bsd-4-clause"),
+    (GNU.format("General Public License", 3), "gpl-3.0-notice"), (GNU.format("General Public License", 2), "gpl-2.0-notice"),
+    (GNU.format("Lesser General Public License", "2.1"), "lgpl-2.1-notice"), (APACHE, "apache-2.0-header")])
+def test_a_license_is_its_whole_wording(text, label):
+    assert whole_labels(f"Copyright 2020 me\n{text}\nand some code") == {label}
+    assert SCAN(text)[6] == 1.0
+    words = text.split()
+    k = max(i for i, w in enumerate(words) if w.lower() == "of")
+    assert label not in whole_labels(" ".join(words[:k] + ["hardly"] + words[k:]))       # altered near the end
+    assert label not in whole_labels(" ".join(words[:k]))                                # broken off
+
+
+def test_near_variants_of_licenses_are_refused():
+    opening = GRANT + ", for research only." + WARRANTY
+    for text in (opening, CONDITIONS + "3. Not for military use." + DISCLAIMER, CONDITIONS,
+                 GNU.format("Affero General Public License", 3), GNU.format("General Public License", 4),
+                 GRANT + NOTICE + " Only on Sundays." + WARRANTY):
+        assert not whole_labels(text)
+    assert SCAN(opening)[6] == SCAN(CONDITIONS)[6] == 0.5                        # an opening alone tells no license
+
+
+def test_whole_license_texts_are_accepted(spark):
+    texts = [license_scan._whole(k).replace("[[", "").replace("]]", "").replace("{{scheme:1-1}}", "https")
+             for k in license_scan.TEXTS if k.endswith("-text")]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [set(r.labels.split(",")) for r in license_scan.scan_licenses(df).collect()]
+    assert [{x for x in g if x.endswith("-text")} for g in got] == [{k} for k in license_scan.TEXTS if k.endswith("-text")]
