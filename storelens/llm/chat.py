@@ -23,15 +23,29 @@ def conversations(turns: DataFrame, *, conv_id: str = "conv_id", turn: str = "tu
                   text: str = "text") -> DataFrame:
     """(conv_id, turns): one row a conversation, its turns by number (null first), then role and text.
 
-    Repeated rows count once and are summed up before any list is made; a null
-    role or text is empty; rows without conv_id are one conversation.
+    turns is a list of (role, text, times).  Rows that repeat a numbered turn are copies
+    of it: one turn, times says how many.  Turns without a number can't be told from
+    copies and stand as often as they are said.  Repeats are counted before any list is
+    made; a null role or text is empty.  Each row without conv_id is a conversation of its
+    own, so no list holds them all.
     """
     rows = turns.select(column(turns, conv_id).alias("conv_id"), column(turns, turn).alias("turn"),
                         F.coalesce(column(turns, role), F.lit("")).alias("role"),
-                        F.coalesce(column(turns, text), F.lit("")).alias("text")).distinct()
-    listed = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    return listed.select("conv_id", F.transform("turns", lambda t: F.struct(
-        t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
+                        F.coalesce(column(turns, text), F.lit("")).alias("text"))
+    said = rows.where(F.col("conv_id").isNotNull()).groupBy("conv_id", "turn", "role", "text").agg(
+        F.count("*").alias("times"))
+    listed = said.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "role", "text", "times"))).alias("turns"))
+
+    def spoken(t: Column) -> Column:
+        numbered = t["turn"].isNotNull()
+        one = F.struct(t["role"].alias("role"), t["text"].alias("text"),
+                       F.when(numbered, t["times"]).otherwise(F.lit(1).cast("bigint")).alias("times"))
+        return F.array_repeat(one, F.when(numbered, F.lit(1)).otherwise(t["times"].cast("int")))
+
+    alone = rows.where(F.col("conv_id").isNull()).select("conv_id", F.array(F.struct(
+        "role", "text", F.lit(1).cast("bigint").alias("times"))).alias("turns"))
+    return listed.select("conv_id", F.flatten(F.transform("turns", spoken)).alias("turns")).unionByName(alone)
 
 
 def reply_pairs(talks: DataFrame) -> DataFrame:
@@ -39,14 +53,18 @@ def reply_pairs(talks: DataFrame) -> DataFrame:
 
     chosen is a conversation up to its last assistant turn; rejected ends in the
     last assistant turn of the next conversation that has one, by ascending
-    conv_id (after the last comes the first): a fluent reply to another prompt.
+    conv_id (null first, those by a hash of the reply; after the last comes the
+    first): a fluent reply to another prompt.
     Conversations without an assistant turn give no pair.
     """
     mine = F.transform("turns", lambda t: t["role"] == TRAINED)
     last = F.size("turns") - F.array_position(F.reverse(mine), True).cast("int") + 1
+    plain = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     ended = talks.where(F.array_contains(mine, True)).select(
-        "conv_id", F.slice("turns", F.lit(1), last).alias("chosen"))
-    ended = ended.withColumn("reply", F.element_at("chosen", -1)).withColumn("tie", F.lit(0).cast("bigint"))
+        "conv_id", F.slice(plain, F.lit(1), last).alias("chosen"))
+    # a conversation without an id is one turn, so its reply is all of it
+    ended = ended.withColumn("reply", F.element_at("chosen", -1)).withColumn("tie", F.when(
+        F.col("conv_id").isNull(), F.xxhash64("reply")).otherwise(F.lit(0).cast("bigint")))
     paired = with_next(ended, "conv_id", "tie", {"other": "reply"})
     before = F.slice("chosen", F.lit(1), F.size("chosen") - 1)
     return paired.select("conv_id", "chosen", F.concat(before, F.array("other")).alias("rejected"))

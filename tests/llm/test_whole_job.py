@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from storelens.llm import html_tree, license_scan, site_tree
+from storelens.llm import chat, html_tree, license_scan, site_tree
 from tests.llm.cases import prose
 
 
@@ -131,3 +131,27 @@ def test_whole_license_texts_are_accepted(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     got = [set(r.labels.split(",")) for r in license_scan.scan_licenses(df).collect()]
     assert [{x for x in g if x.endswith("-text")} for g in got] == [{k} for k in license_scan.TEXTS if k.endswith("-text")]
+
+
+TURNS = "conv_id bigint, turn bigint, role string, text string"
+
+
+def test_rows_without_conv_id_are_conversations_of_their_own(spark):
+    rows = [(None, i % 3, "assistant", f"a{i % 7}") for i in range(50)] + [(None, 0, "user", "u")] * 5
+    rows += [(1, 0, "user", "q"), (1, 1, "assistant", "r")]
+    talks = chat.conversations(spark.createDataFrame(rows, TURNS))
+    assert sorted(len(r.turns) for r in talks.collect()) == [1] * 55 + [2]
+    got = chat.format_preferences(chat.reply_pairs(talks)).collect()
+    assert sum(r.conv_id is None for r in got) == 50 and len(got) == 51
+    said = lambda i: f"<|assistant|>\na{i}<|end|>\n"
+    seen = [r.prompt or r.chosen for r in got if r.conv_id is None]
+    assert sorted(seen) == sorted(said(i % 7) for i in range(50))
+    # of equal replies all but one are followed by their equal
+    assert sum(r.n_common == 1 for r in got if r.conv_id is None) == 50 - 7
+
+
+def test_repeated_turns_are_counted(spark):
+    rows = [(1, None, "user", "hm"), (1, None, "user", "hm"), (1, 4, "user", "x"), (1, 4, "user", "x"), (1, 4, "user", "x"),
+            (1, 5, "assistant", "y")]
+    (talk,) = chat.conversations(spark.createDataFrame(rows, TURNS)).collect()
+    assert [tuple(t) for t in talk.turns] == [("user", "hm", 1), ("user", "hm", 1), ("user", "x", 3), ("assistant", "y", 1)]
