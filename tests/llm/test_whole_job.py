@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
-from storelens.llm import chat, html_tree, license_scan, site_tree
+from storelens.llm import chat, html_tree, license_scan, neighbours, site_tree
 from tests.llm.cases import prose
 
 
@@ -155,3 +157,19 @@ def test_repeated_turns_are_counted(spark):
             (1, 5, "assistant", "y")]
     (talk,) = chat.conversations(spark.createDataFrame(rows, TURNS)).collect()
     assert [tuple(t) for t in talk.turns] == [("user", "hm", 1), ("user", "hm", 1), ("user", "x", 3), ("assistant", "y", 1)]
+
+
+def test_one_id_is_spread_over_ranges(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, None, 7, rng.randint(0, 9)]), rng.randint(-40, 40)) for _ in range(3000)]
+    rows += [(7, 5)] * 2500 + [(None, -3)] * 1500
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = [(*r, *order[(i + 1) % len(order)]) for i, r in enumerate(order)]
+    df = spark.createDataFrame(rows, "id bigint, tie bigint")
+    for hot in (10_000, 100):
+        monkeypatch.setattr(neighbours, "HOT_ROWS", hot)
+        got = neighbours.with_next(df, "id", "tie", {"nid": "id", "ntie": "tie"}).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    place = neighbours.F.struct(neighbours.F.lit(True).alias("set"), "id", "tie")
+    starts = neighbours._range_starts(df.where("id = 7").select(place.alias("place")), 8)
+    assert len(starts) > 3
