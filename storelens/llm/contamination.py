@@ -8,7 +8,9 @@ passage of up to Q words lies whole in one block.  Between an item of that class
 and the block that contains it the Jaccard similarity has a lower bound, and from
 it follows the number of hash functions the class needs to miss such a block
 with probability under MISS.  A block whose minimum agrees with an item's under
-any of them makes the document a candidate for that item.
+any of them makes the document a candidate for that item.  Items of so few distinct
+shingles for their length that they would need more than MAX_FUNCTIONS are looked up
+exactly, shingle by shingle, so one repetitive item does not raise the number for all.
 
 Every candidate is verified: the share of the item's distinct shingles that occur
 anywhere in the whole document must reach the threshold.
@@ -33,6 +35,7 @@ from storelens.llm.words import Rolling, mix, plain_words, shingle_hashes, word_
 SHINGLE = 5
 THRESHOLD = 0.8
 MISS = 1e-7
+MAX_FUNCTIONS = 128
 SLICE_CHARS = 8_000_000
 GRANULE = 4                          # block edges are multiples of so many words
 _CHUNK = 1 << 13                     # words whose minima are taken at a time
@@ -59,7 +62,8 @@ def lower_words(text: str | None) -> list[bytes]:
 
 
 class ItemIndex:
-    """Signatures of one slice of items: per size class a sorted table of minima."""
+    """Signatures of one slice of items: per size class a sorted table of minima, and one
+    sorted table of the shingles of repetitive items."""
 
     def __init__(self, ids: list, texts: list[str | None], shingle: int, threshold: float):
         self.ids, self.shingle, self.threshold = ids, shingle, threshold
@@ -68,11 +72,20 @@ class ItemIndex:
         self.short: dict[int, dict[int, list[int]]] = {}
         groups: dict[int, list[int]] = {}
         bounds = size_classes(max(map(len, words), default=0))
+        repetitive: list[int] = []
         for i, w in enumerate(words):
             if len(w) >= shingle:
-                groups.setdefault(bounds[int(np.searchsorted(bounds, len(w)))], []).append(i)
+                upper = bounds[int(np.searchsorted(bounds, len(w)))]
+                if hash_count(len(self.sets[i]), upper, threshold, shingle) > MAX_FUNCTIONS:
+                    repetitive.append(i)
+                else:
+                    groups.setdefault(upper, []).append(i)
             elif len(w):
                 self.short.setdefault(len(w), {}).setdefault(int(self.sets[i][0]), []).append(i)
+        values = np.concatenate([self.sets[i] for i in repetitive] or [np.empty(0, np.uint64)])
+        owner = np.repeat(np.array(repetitive, np.int64), [len(self.sets[i]) for i in repetitive])
+        order = np.argsort(values, kind="stable")
+        self.exact = values[order], owner[order], self._sieve(values)
         self.classes = []
         most = 0
         for upper, members in sorted(groups.items()):
@@ -86,12 +99,30 @@ class ItemIndex:
             minima = np.stack([(self.sets[i][:, None] * self.odd[:count]).min(axis=0) for i in members])
             owner = np.repeat(np.array(members), count)
             order = np.argsort(minima.ravel(), kind="stable")
-            sieve = np.zeros(1 << _SIEVE_BITS, bool)
-            sieve[(minima >> np.uint64(64 - _SIEVE_BITS)).ravel()] = True
-            self.tables.append((upper, count, minima.ravel()[order], owner[order], sieve))
+            self.tables.append((upper, count, minima.ravel()[order], owner[order], self._sieve(minima.ravel())))
+
+    @staticmethod
+    def _sieve(values: np.ndarray) -> np.ndarray:
+        sieve = np.zeros(1 << _SIEVE_BITS, bool)
+        sieve[values >> np.uint64(64 - _SIEVE_BITS)] = True
+        return sieve
+
+    def _repetitive(self, shingles: np.ndarray) -> set[int]:
+        """The repetitive items of whose shingles the threshold or more are there."""
+        values, owner, sieve = self.exact
+        if not len(values):
+            return set()
+        there = np.unique(shingles[sieve[shingles >> np.uint64(64 - _SIEVE_BITS)]])
+        lo, hi = np.searchsorted(values, there, "left"), np.searchsorted(values, there, "right")
+        times = hi - lo
+        at = np.arange(times.sum()) + np.repeat(lo - (np.cumsum(times) - times), times)
+        items, shared = np.unique(owner[at], return_counts=True)
+        return {i for i, n in zip(items.tolist(), shared.tolist(), strict=True) if n >= self.threshold * len(self.sets[i])}
 
     def _candidates(self, shingles: np.ndarray) -> set[int]:
-        found: set[int] = set()
+        found = self._repetitive(shingles)
+        if not self.tables:
+            return found
         longest = max((upper for upper, *_ in self.tables), default=0)
         step = max(_CHUNK, 4 * longest)
         step -= step % GRANULE
@@ -114,7 +145,7 @@ class ItemIndex:
         if not len(hashes):
             return []
         out = []
-        if self.tables and len(hashes) >= self.shingle:
+        if (self.tables or len(self.exact[0])) and len(hashes) >= self.shingle:
             shingles = shingle_hashes(hashes, self.shingle)
             for i in self._candidates(shingles):
                 shared = int(np.isin(self.sets[i], shingles).sum())

@@ -6,8 +6,9 @@ import random
 
 import pytest
 
-from storelens.llm import chat, html_tree, license_scan, neighbours, site_tree
+from storelens.llm import chat, contamination, html_tree, license_scan, neighbours, site_tree
 from tests.llm.cases import prose
+from tests.llm.test_text_operators import plain_items
 
 
 def kept(html):
@@ -173,3 +174,18 @@ def test_one_id_is_spread_over_ranges(spark, monkeypatch):
     place = neighbours.F.struct(neighbours.F.lit(True).alias("set"), "id", "tie")
     starts = neighbours._range_starts(df.where("id = 7").select(place.alias("place")), 8)
     assert len(starts) > 3
+
+
+def test_repetitive_items_need_no_more_functions(spark):
+    items = [(0, "la " * 800), (1, "tick tock " * 300), (2, prose(4, 60)), (3, "one two three four five"),
+             (4, "la " * 60 + prose(5, 5)), (5, prose(6, 700))]
+    index = contamination.ItemIndex([i for i, _ in items], [t for _, t in items], 5, 0.8)
+    assert len(index.odd) <= contamination.MAX_FUNCTIONS
+    docs = [(i, prose(50 + i, 9000) + " " + t + " " + prose(80 + i, 4000)) for i, t in items]
+    docs += [(10, "la la la la"), (11, "la la la la la"), (12, "tick tock tick tock tick tock"), (13, "one two three four")]
+    found = contamination.find_items(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                     spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    got = sorted(((r.doc_id, h.item_id, round(h.containment, 9)) for r in found for h in r["items"]), key=repr)
+    assert got == plain_items(docs, items) and len(got) > 8
+    only = contamination.ItemIndex([0], ["la " * 800], 5, 0.8)
+    assert only.contained("x " + "la " * 9) == [(0, 1.0, 1)]
