@@ -135,6 +135,38 @@ SELECT conv_id, CAST(CASE WHEN tie THEN last ELSE last - 1 END AS INTEGER) AS n_
        CASE WHEN tie THEN '' ELSE '14-' || length(b) END AS rejected_mask
 FROM said"""
 
+_SQUARED = "list_sum(list_transform(range(1, 65), lambda i: (v.q[i] - c.q[i]) * (v.q[i] - c.q[i])))"
+
+
+def _centroid_clusters(rounds: int) -> str:
+    """Lloyd's rounds written out: a<r> deals the vectors to the centroids c<r>, c<r + 1> moves these."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (SELECT r, vec_id, v.q, c.c, {_SQUARED} AS far FROM kept v, c{r} c
+       QUALIFY row_number() OVER (PARTITION BY r ORDER BY far, c.c) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.q, c.q) AS q FROM c{r} c LEFT JOIN (
+    SELECT c, list((total - ((total % n) + n) % n) // n ORDER BY i) AS q FROM (
+        SELECT c, i, sum(x) AS total, count(*) AS n
+        FROM (SELECT c, unnest(q) AS x, unnest(range(1, 65)) AS i FROM a{r}) t GROUP BY c, i) s GROUP BY c) m USING (c))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings WHERE len(embedding) = 64
+         AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND coalesce(isfinite(x), false)))),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), q) - 1 AS c, q
+       FROM kept QUALIFY c < 40),{",".join(steps)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(far AS BIGINT) AS distance,
+       CAST(sum(far) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(far) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c USING (c)"""
+
+
+CENTROID_CLUSTERS = _centroid_clusters(5)
+
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op3_url_filter": URL_FILTER,
@@ -142,4 +174,5 @@ ORACLE: dict[str, str] = {
     "op7_decontamination": DECONTAMINATION,
     "op8_license_scan": LICENSE_SCAN,
     "op9_chat_preferences": CHAT_PREFERENCES,
+    "op11_centroid_clusters": CENTROID_CLUSTERS,
 }

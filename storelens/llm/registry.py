@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.llm import (
+    centroids,
     chat,
     contamination,
     fingerprint,
@@ -16,7 +17,9 @@ from storelens.llm import (
     mixing,
     simhash,
     site_tree,
+    spelling,
     substring,
+    toxicity,
     url_filter,
 )
 from storelens.llm.frames import table
@@ -84,6 +87,26 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return centroids.cluster_vectors(vectors)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.group_variants(spelling.vocabulary(docs))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = language_id.held_out(F.col("doc_id"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~fold)
+    model = toxicity.train(docs.where(~fold), labels)
+    out = toxicity.score_toxicity(docs, model)
+    return out.select("doc_id", fold.alias("held_out"), "score",
+                      (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -95,4 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_chat_preferences": op9_chat_preferences,
     "op10_simhash": op10_simhash,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_toxicity": op13_toxicity,
 }

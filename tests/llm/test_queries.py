@@ -21,7 +21,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("key", sorted(registry.ORACLE))
 def test_query_equals_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "conversations"):
+    for t in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     rel = con.execute(registry.ORACLE[key])
     names = [d[0] for d in rel.description]
@@ -36,7 +36,7 @@ def test_query_equals_sql(spark, key):
 
 
 def test_every_operator_is_registered():
-    assert [k.split("_")[0] for k in registry.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [k.split("_")[0] for k in registry.QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 def plain_languages(docs):

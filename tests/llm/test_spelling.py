@@ -1,0 +1,122 @@
+"""Spelling variants against plain edits of Python strings."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from storelens.llm import registry, spelling
+from tests.llm.cases import document_rows, documents
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def plain_words(rows):
+    """Occurrences of every word, one by one."""
+    out = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{low}".encode())
+            if h % 97 == 0:
+                low = low[:h % len(low)] + low[h % len(low) + 1:]
+            out[low] += 1
+    return {w: n for w, n in out.items() if len(w) >= 5 and n >= 3}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def near_pairs(words):
+    """Words that share a string with one letter out, or one replaced, and pass one_edit."""
+    held = {}
+    for w in words:
+        for i in range(len(w)):
+            held.setdefault(w[:i] + w[i + 1:], set()).add(w)
+        held.setdefault(w, set()).add(w)
+    near = {w: set() for w in words}
+    for some in held.values():
+        for a in some:
+            near[a].update(b for b in some if b != a and one_edit(a, b))
+    return near
+
+
+def plain_variants(words):
+    near, form = near_pairs(words), {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * n else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), words[form[w]] if form[w] else None))
+    return sorted(out, key=repr)
+
+
+def test_query_equals_brute_force(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    want = plain_variants(plain_words(docs))
+    got = registry.QUERIES["op12_spelling_variants"](spark, SMALL)
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert sorted(map(tuple, got.collect()), key=repr) == want
+    assert sum(r[1] is not None for r in want) > 20 and any(r[1] not in (None, r[2]) for r in want)
+
+
+def crowded(seed, n):
+    """Words over few letters, so most have near words, with long and repeated-letter ones."""
+    rng = random.Random(seed)
+    words = {"".join(rng.choice("abé") for _ in range(rng.randint(2, 9))) for _ in range(n)}
+    words |= {"a" * k for k in range(2, 40)} | {"a" * 300, "a" * 301, "a" * 150 + "b" + "a" * 149}
+    return {w: rng.choice([3, 3, 4, 6, 12, 24, 48, 96, 1 << 40]) for w in words}
+
+
+@pytest.mark.parametrize(("block", "part"), [(4096, 1 << 18), (7, 11), (1, 1)])
+def test_cells_of_any_size_equal_brute_force(spark, block, part):
+    words = crowded(block, 250)
+    df = spark.createDataFrame(list(words.items()), "word string, n bigint").selectExpr(
+        "*", "1 as form", "2 as blocks", "3 as half", "'x' as ROOT")
+    got = spelling.group_variants(df, block=block, part=part)
+    assert sorted(map(tuple, got.collect()), key=repr) == plain_variants(words)
+
+
+def test_hot_group_is_dealt_as_a_grid(spark):
+    words = [(f"hotab{i:05d}", 3) for i in range(3000)]
+    df = spark.createDataFrame(words, "word string, n bigint")
+    sizes = spelling._dealt(df, 200, 500).groupBy("longest", "first_half", "half", "block", "part").count()
+    assert sizes.agg({"count": "max"}).first()[0] < 1000
+    got = {r.word: r.n_near for r in spelling.group_variants(df, block=200, part=500).collect()}
+    near = near_pairs([w for w, _ in words])
+    assert got == {w: len(n) for w, n in near.items()}
+
+
+def test_vocabulary_on_awkward_rows(spark):
+    rows = [r[:2] for r in document_rows()] + [
+        (20, "CafésX cafésx CAFÉSX ×÷ÀÿA naïve1naïve " * 3),
+        (21, "z" * 50_000 + " "), (None, "abcdefg abcdefg abcdefg"), (22, "abcdefg")]
+    schema = "doc_id bigint, text string"
+    df = spark.createDataFrame(rows, schema).selectExpr("*", "1 as id", "'x' as WORD", "2 as n")
+    got = spelling.vocabulary(df)
+    assert {r.word: r.n for r in got.collect()} == plain_words(rows)
+    assert {"cafésx", "cafÉsx"} <= plain_words(rows).keys() | {"cafÉsx"}
+    empty = spelling.vocabulary(documents(spark, []))
+    assert empty.count() == 0 and spelling.group_variants(empty).count() == 0
+
+
+def test_long_texts_and_small_flushes(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "_FLUSH", 3)
+    rng = random.Random(4)
+    text = " ".join(rng.choice(["alpha", "alpah", "gamma", "gammas", "delta"]) for _ in range(40_000))
+    rows = [(1, text), (2, text), (1, text)]
+    got = spelling.vocabulary(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r.word: r.n for r in got.collect()} == plain_words(rows)
