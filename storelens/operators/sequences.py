@@ -12,17 +12,22 @@ total sort key, this adds
 With ``frame="all_previous"`` the count and sums run over every earlier row
 of the entity instead (running totals).
 
-There is one plan for every size.  Rows are windowed per (entity, bucket); an
-entity has one bucket unless it holds more rows than a task should, and then its
-buckets are ranges of the first sort column cut at exact counts, so they depend
-on the data alone.  What a bucket needs from the ones before it (rows, totals,
-the entity's first row, the last row before) is a small aggregate per bucket.
-
-The sort key is total: the caller's columns, then every other column.  Entities
-count as large above ``max(rows_per_bucket, rows / MAX_LARGE)``, so there are
-fewer than MAX_LARGE of them and fewer than 2 * MAX_LARGE buckets: the tables of
-both are broadcast with that bound, and the rows are shuffled once.  A bucket
-holds at most that many rows besides those of one value of the first sort column.
+There is one plan for every size.  Rows are windowed per (entity, bucket).  Buckets
+are ranges of (entity, whole sort key): the caller's columns, then every other
+column, so null or equal dates part as well as distinct ones, and only rows alike in
+every column stay together.  The ranges are cut at rows drawn by a hash of the row
+from the entities of more than ``rows_per_bucket`` rows; where no entity is that
+large there is no cut, and the rows are read and shuffled once.  The cuts are drawn
+OVER times as densely as buckets need to be, so that no bucket comes near twice its
+size by chance.  What a bucket needs from the ones before it (rows, totals, the
+entity's first row, the last row before) is a small aggregate per bucket.
+
+A row finds its bucket by binary search in the sorted cuts, which are one scalar
+subquery and so a value that no row copies.  There are about
+OVER * MAX_BUCKETS cuts at most (16 MB of 80-byte sort keys), since buckets grow with
+the rows once large entities would need more than MAX_BUCKETS; the tables of large
+entities (fewer than rows / rows_per_bucket) and of buckets are broadcast with
+these bounds.
 """
 
 from __future__ import annotations
@@ -34,9 +39,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 4_000_000
-MAX_LARGE = 50_000
+MAX_BUCKETS = 20_000
+OVER = 10
 
-_KEY, _LOWS, _BUCKET, _CARRY = "_seq_key", "_seq_lows", "_seq_bucket", "_seq_carry"
+_KEY, _BUCKET, _CARRY = "_seq_key", "_seq_bucket", "_seq_carry"
+_CUTS, _AT, _SOME = "_seq_cuts", "_seq_at", "_seq_some"
 
 
 @dataclass
@@ -58,30 +65,55 @@ class SequenceSpec:
     frame: str = "previous_row"
 
 
-def _bucket_lows(df: DataFrame, key: str, first: str, rows_per_bucket: int) -> DataFrame:
-    """(_seq_key, _seq_lows) of the large entities: the lowest value of the first
-    sort column in each bucket but the first, ascending."""
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    most = F.greatest(F.lit(rows_per_bucket).cast("double"), rows / MAX_LARGE)
-    large = (df.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > most).select(_KEY))
-    # exact counts per value, for the large entities' rows only
-    cells = (df.select(F.col(key).alias("_k"), F.col(first).alias("_v"))
-             .join(F.broadcast(large), F.col("_k").eqNullSafe(F.col(_KEY)))
-             .groupBy(_KEY, "_v").agg(F.count(F.lit(1)).alias("_n")))
-    before = Window.partitionBy(_KEY).orderBy(F.col("_v").asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    numbered = cells.select(_KEY, "_v", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / most).alias("_b"))
-    lows = numbered.where("_b > 0").groupBy(_KEY, "_b").agg(F.min("_v").alias("_v"))
-    return lows.groupBy(_KEY).agg(F.sort_array(F.collect_list("_v")).alias(_LOWS))
-
-
-def _bucket(first: str) -> Column:
-    """How many lows are at or below the value (binary search; NULL: 0)."""
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range((2 * MAX_LARGE).bit_length()))])
-    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-        F.get(F.col(_LOWS), at + step - 1) <= F.col(first), at + step).otherwise(at))
-    return F.when(F.col(_LOWS).isNull(), F.lit(0)).otherwise(found)
+def _large_entities(df: DataFrame, key: str, rows_per_bucket: int) -> DataFrame:
+    """(_seq_key, _n) of the entities with more rows than a bucket should hold."""
+    return df.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_bucket)
+
+
+def _of(df: DataFrame, key: str, large: DataFrame) -> DataFrame:
+    return df.join(F.broadcast(large.select(_KEY)), F.col(key).eqNullSafe(F.col(_KEY)), "left_semi")
+
+
+def _cuts(df: DataFrame, key: str, order: Sequence[str], large: DataFrame, rows_per_bucket: int) -> DataFrame:
+    """(_seq_at): the sort keys at which buckets of the large entities start.
+
+    A row is a cut by the hash of all its columns: which rows are depends on the data alone.
+    """
+    size = F.greatest(F.lit(rows_per_bucket).cast("double"), large.agg(F.sum("_n")).scalar() / MAX_BUCKETS)
+    draw = F.xxhash64(key, *order).bitwiseAND((1 << 63) - 1) / float(1 << 63)
+    return _of(df, key, large).where(draw < OVER / size).select(F.struct(key, *order).alias(_AT)).distinct()
+
+
+def _bucketed(df: DataFrame, key: str, order: Sequence[str], cuts: DataFrame, large: DataFrame) -> DataFrame:
+    """The rows with _seq_bucket: how many cuts are at or below (entity, whole sort key), by binary search."""
+    listed = cuts.agg(F.sort_array(F.collect_list(_AT)).alias(_CUTS)).scalar()
+    some = large.agg(F.count(F.lit(1))).scalar() > 0
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range((2 * OVER * MAX_BUCKETS).bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda seen, step: F.when(
+        F.get(_CUTS, seen + step - 1) <= F.col(_AT), seen + step).otherwise(seen))
+    # A lambda function takes a subquery by way of a column only.  The optimizer folds that column into the
+    # function, so no row carries the cuts, as each of the columns here is used once above the sort key's
+    # projection (tests/test_sequences.py looks at the plan).
+    keyed = df.select("*", F.struct(key, *order).alias(_AT))
+    return keyed.select("*", listed.alias(_CUTS), some.alias(_SOME)).select(
+        *[F.col(f"`{c}`") for c in df.columns], F.when(F.col(_SOME), found).otherwise(0).alias(_BUCKET))
+
+
+def _local(s: SequenceSpec, order: Sequence[str], values: dict[str, str], *within: str) -> dict[str, Column]:
+    """The features of a row among the rows of ``within``."""
+    w = Window.partitionBy(*within).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    local = {"_rn": F.row_number().over(w).cast("bigint"), "_first": F.first(s.first_of).over(w),
+             "_lag": F.lag(s.lag_of).over(w)}
+    if s.frame == "all_previous":
+        prev = w.rowsBetween(Window.unboundedPreceding, -1)
+        local["_n"] = F.count(s.prev_count_of).over(prev)
+        local.update({f"_s{v}": F.sum(v).over(prev) for v in values.values()})
+    else:
+        # COUNT / SUM over exactly the previous row are that row's values: LAG
+        # gives them without a sliding aggregation buffer
+        local["_n"] = F.lag(F.col(s.prev_count_of).isNotNull().cast("bigint"), 1, 0).over(w)
+        local.update({f"_s{v}": F.lag(v).over(w) for v in values.values()})
+    return local
 
 
 def sequence_features(df: DataFrame, spec: SequenceSpec,
@@ -94,41 +126,27 @@ def sequence_features(df: DataFrame, spec: SequenceSpec,
     sum_types = dict(df.select(*[F.sum(e).alias(n) for n, e in s.prev_sums.items()]).dtypes) if values else {}
     base = df.select("*", *[e.alias(values[n]) for n, e in s.prev_sums.items()])
     order = [*s.order_by, *[c for c in base.columns if c not in s.order_by and c != s.partition_by]]
-    lows = _bucket_lows(df, s.partition_by, s.order_by[0], rows_per_bucket)
-    same = F.col(s.partition_by).eqNullSafe(F.col(_KEY))
     running = s.frame == "all_previous"
+    large = _large_entities(df, s.partition_by, rows_per_bucket)
+    bucketed = _bucketed(base, s.partition_by, order, _cuts(base, s.partition_by, order, large, rows_per_bucket),
+                         large)
 
     # per bucket of a large entity: what the buckets after it need
-    parts = base.join(F.broadcast(lows), same).withColumn(_BUCKET, _bucket(s.order_by[0]))
     ends = F.struct(*[F.col(c) for c in order])
     totals = {"_rows": F.count(F.lit(1)), "_cnt": F.count(s.prev_count_of),
               **{f"_sum{v}": F.sum(v) for v in values.values()}}
-    summed = parts.groupBy(_KEY, _BUCKET).agg(F.min(ends).alias("_low"), F.max(ends).alias("_high"),
-                                              *[e.alias(n) for n, e in totals.items()])
+    summed = _of(bucketed, s.partition_by, large).groupBy(F.col(s.partition_by).alias(_KEY), _BUCKET).agg(
+        F.min(ends).alias("_low"), F.max(ends).alias("_high"), *[e.alias(n) for n, e in totals.items()])
     earlier = Window.partitionBy(_KEY).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summed.select(
+    before = summed.select(
         F.col(_KEY).alias("_ck"), F.col(_BUCKET).alias("_cb"),
         F.struct(F.first("_low").over(earlier).alias("low"), F.last("_high").over(earlier).alias("high"),
-                 *[F.sum(n).over(earlier).alias(n) for n in totals]).alias(_CARRY)
-    ).where(F.col("_cb") > 0)
-
-    bucketed = base.join(F.broadcast(lows), same, "left").withColumn(_BUCKET, _bucket(s.order_by[0])).drop(_KEY, _LOWS)
-    w = Window.partitionBy(s.partition_by, _BUCKET).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    prev = w.rowsBetween(Window.unboundedPreceding, -1)
-    local = {"_rn": F.row_number().over(w).cast("bigint"), "_first": F.first(s.first_of).over(w)}
-    local["_lag"] = F.lag(s.lag_of).over(w)
-    if running:
-        local["_n"] = F.count(s.prev_count_of).over(prev)
-        local.update({f"_s{v}": F.sum(v).over(prev) for v in values.values()})
-    else:
-        # COUNT / SUM over exactly the previous row are that row's values: LAG
-        # gives them without a sliding aggregation buffer
-        local["_n"] = F.lag(F.col(s.prev_count_of).isNotNull().cast("bigint"), 1, 0).over(w)
-        local.update({f"_s{v}": F.lag(v).over(w) for v in values.values()})
-    rows = bucketed.select("*", *[e.alias(n) for n, e in local.items()])
+                 *[F.sum(n).over(earlier).alias(n) for n in totals]).alias(_CARRY))
+    carry = before.where(F.col(f"{_CARRY}._rows").isNotNull())       # the first bucket has none before it
+
+    rows = bucketed.select("*", *[e.alias(n) for n, e in _local(s, order, values, s.partition_by, _BUCKET).items()])
     joined = rows.join(F.broadcast(carry), F.col(s.partition_by).eqNullSafe(F.col("_ck"))
                        & (F.col(_BUCKET) == F.col("_cb")), "left")
-
     carried = F.col(_CARRY).isNotNull()
     starts = carried & (F.col("_rn") == 1)          # first row of a later bucket
 
@@ -145,8 +163,8 @@ def sequence_features(df: DataFrame, spec: SequenceSpec,
                    .otherwise(F.col("_n")).alias(s.prev_count_name))
     for name, v in values.items():
         if running:     # NULL only where no earlier row has a value
-            before = F.col(f"{_CARRY}._sum{v}")
-            total = F.coalesce(F.col(f"_s{v}") + before, F.col(f"_s{v}"), before)
+            ahead = F.col(f"{_CARRY}._sum{v}")
+            total = F.coalesce(F.col(f"_s{v}") + ahead, F.col(f"_s{v}"), ahead)
         else:
             total = F.when(starts, at("high", v)).otherwise(F.col(f"_s{v}"))
         out.append(total.cast(sum_types[name]).alias(name))

@@ -46,7 +46,7 @@ def hot(spark):
 
 
 @pytest.mark.parametrize("frame", ["previous_row", "all_previous"])
-@pytest.mark.parametrize("size", [10**9, 400, 37, 1])
+@pytest.mark.parametrize("size", [10**9, 400, 90, 12])
 def test_buckets_of_any_size_equal_the_window(spark, hot, size, frame):
     s = item_spec()
     s.frame = frame
@@ -60,11 +60,58 @@ def test_first_dates_all_missing(spark, hot):
     assert sequence_features(df.limit(0), item_spec()).count() == 0
 
 
-def test_large_entities_are_cut(spark, hot, monkeypatch):
-    monkeypatch.setattr(sequences, "MAX_LARGE", 10**6)
-    lows = sequences._bucket_lows(hot, "product_id", "shipping_limit_date", 100).collect()
-    assert [r[0] for r in lows].count(7) == 1
-    assert max(len(r[1]) for r in lows) >= hot.where("product_id = 7").count() // 400
+@pytest.mark.parametrize("dates", ["null", "equal", "distinct", "few"])
+def test_a_hot_entity_is_cut_on_the_whole_sort_key(spark, monkeypatch, dates):
+    """A third of all rows in one product: null, equal, all-distinct or few ship dates part alike."""
+    when = {"null": "cast(null as timestamp_ntz)", "equal": "timestamp_ntz'2024-01-01 00:00:00'",
+            "distinct": "timestampadd(SECOND, cast(id * 7919 % 60000 as int), timestamp_ntz'2024-01-01 00:00:00')",
+            "few": "timestampadd(DAY, cast(id % 3 as int), timestamp_ntz'2024-01-01 00:00:00')"}[dates]
+    df = spark.range(60_000).selectExpr(
+        "id as order_id", "cast(id % 5 as int) as order_item_id", "if(id % 3 = 0, 7, id % 1000 + 8) as product_id",
+        "id % 11 as seller_id", f"{when} as shipping_limit_date", "cast(id % 97 as decimal(12,2)) as price",
+        "cast(1 as decimal(14,2)) as freight_value")
+    cut, original = [], sequences._bucketed
+    monkeypatch.setattr(sequences, "_bucketed", lambda *a: cut.append(original(*a)) or cut[-1])
+    got = sequence_features(df, item_spec(), rows_per_bucket=2000)
+    assert same(got, plain(df, item_spec()))
+    sizes = [r[0] for r in cut[0].where("product_id = 7").groupBy("_seq_bucket").count().select("count").collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 2 * 2000 and len(sizes) >= 10
+    others = cut[0].where("product_id <> 7").groupBy("product_id").agg(F.count_distinct("_seq_bucket").alias("n"))
+    assert others.agg(F.max("n")).first()[0] == 1
+
+
+def test_several_large_entities_share_ranges(spark, hot):
+    df = hot.withColumn("product_id", F.col("order_id") % 4)
+    for frame in ("previous_row", "all_previous"):
+        s = item_spec()
+        s.frame = frame
+        assert same(sequence_features(df, s, rows_per_bucket=700), plain(df, s))
+
+
+def test_no_window_by_entity_alone_meets_the_rows(spark, hot):
+    """Rows meet windows by (entity, bucket); by the entity alone stands one row a bucket."""
+    plan = sequence_features(hot, item_spec(), rows_per_bucket=100)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("_seq_bucket" in w.split("], [")[1] for w in windows if "row_number" in w)
+    assert sum("row_number" in w for w in windows) == 1
+
+
+def test_ordinary_entities_take_one_shuffle(spark):
+    items = commerce.order_items(Tables(spark, SF_SMALL))
+    df = sequence_features(items, item_spec())
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    rows = [x for x in final if " Exchange hashpartitioning(product_id" in x and "_seq_bucket" in x]
+    assert len(rows) == 1 and not any("Join" in x or "Python" in x for x in final)
+
+
+def test_no_row_carries_the_cuts(spark, hot):
+    for df in (commerce.order_items(Tables(spark, SF_SMALL)), hot):
+        plan = sequence_features(df, item_spec(), rows_per_bucket=300)._jdf.queryExecution().optimizedPlan()
+        lines = plan.toString().splitlines()
+        assert any("aggregate(" in x for x in lines)
+        # the subquery stands in the function itself, and no projection puts it out as a column
+        assert not any("AS _seq_cuts" in x and "collect_list" not in x for x in lines)
 
 
 def test_running_totals_beyond_64_bits(spark):
@@ -82,8 +129,3 @@ def test_neighbouring_long_keys_and_null_stay_apart(spark):
     spec = SequenceSpec("k", ["o"], "o", "o", "o")
     got = sequence_features(df, spec, rows_per_bucket=2)
     assert sorted(r.row_number for r in got.collect()) == sorted([1, 2, 3, 4, 5, 6] * 3)
-
-
-def test_one_shuffle_of_the_rows_and_no_python(spark, hot):
-    plan = sequence_features(hot, item_spec())._jdf.queryExecution().executedPlan().toString()
-    assert "InArrow" not in plan and "Python" not in plan and "Window" in plan
