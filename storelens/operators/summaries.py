@@ -9,7 +9,6 @@ one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,16 +45,12 @@ def key_profile(df: DataFrame, row_count_name: str,
     Rows with a NULL in any column of a set are not counted for that set,
     the same rows a CONCAT-built key would skip.
 
-    One DISTINCT aggregate per set, attached as scalars: each de-duplicates map-side
-    on its own narrow key and reads only its columns (a multi-distinct aggregate
-    would expand every input row once per set).
+    One aggregate over one scan: Spark expands each row to its key sets and
+    de-duplicates (set, key) map-side before a single shuffle on the whole key, so
+    neither a hot order nor a hot product meets one task.
     """
-    out = df.agg(F.count(F.lit(1)).alias(row_count_name))
-    for name, cols in distinct.items():
-        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-        n = df.where(present).select(*cols).distinct().agg(F.count(F.lit(1)).alias(name))
-        out = attach_scalar(out, n)
-    return out
+    return df.agg(F.count(F.lit(1)).alias(row_count_name),
+                  *[F.count_distinct(*cols).alias(name) for name, cols in distinct.items()])
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -123,20 +123,20 @@ def long_gap_nondelivered_share(orders: DataFrame, customers: DataFrame,
 
 def long_gap_nondelivered_share_v2(orders: DataFrame, customers: DataFrame,
                                    gap_days: int = 30) -> DataFrame:
-    """Second formulation, by membership: the persons whose purchases lie further apart,
-    and those of them who stand among the persons with a non-delivered order;
-    percentage 0 when there is none."""
-    ids = customers.select("customer_id", "customer_unique_id")
+    """Second formulation, by membership: the customer ids that stand among those with a
+    non-delivered order are marked by a join, and a person with a marked id counts among
+    the persons whose purchases lie further apart; percentage 0 when there is none."""
+    undelivered = (orders.where(F.col("order_status") != DELIVERED).select("customer_id").distinct()
+                   .withColumn("waits", F.lit(True)))
     spans = orders.groupBy("customer_id").agg(F.min("order_purchase_timestamp").alias("t0"),
                                               F.max("order_purchase_timestamp").alias("t1"))
-    away = (spans.join(ids, "customer_id", "left").groupBy("customer_unique_id")
-            .agg(F.min("t0").alias("t0"), F.max("t1").alias("t1"))
-            .where(whole_days_between("t1", "t0") > gap_days).select("customer_unique_id"))
-    undelivered = orders.where(F.col("order_status") != DELIVERED).select("customer_id").distinct()
-    waiting = ids.join(undelivered, "customer_id", "left_semi").select("customer_unique_id")
+    away = (_person(spans.join(undelivered, "customer_id", "left"), customers).groupBy("customer_unique_id")
+            .agg(F.min("t0").alias("t0"), F.max("t1").alias("t1"), F.max("waits").alias("waits"))
+            .where(whole_days_between("t1", "t0") > gap_days))
     num, den = "returning_30d_non_delivered_customer_count", "returning_30d_customer_count"
-    both = attach_scalar(away.agg(F.count(F.lit(1)).alias(den)),
-                         away.join(waiting, "customer_unique_id", "left_semi").agg(F.count(F.lit(1)).alias(num)))
+    # the NULL person is a member of nothing
+    both = away.agg(F.count(F.lit(1)).alias(den),
+                    F.count_if(F.col("waits") & F.col("customer_unique_id").isNotNull()).alias(num))
     pct = F.when(F.col(num) > 0, percent(num, den, 2, on_zero="error")).otherwise(F.lit(0.0))
     return both.select("*", pct.alias("returning_30d_percentage"))
 

@@ -30,16 +30,19 @@ def popularity_bands(d: int, c: int, b: int, a: int) -> list[tuple[int, str]]:
 # ---------------------------------------------------------------- views
 
 
-def rentals_per_film(films: DataFrame, inventory: DataFrame, rentals: DataFrame) -> DataFrame:
+def rentals_per_film(films: DataFrame, inventory: DataFrame, rentals: DataFrame | None = None) -> DataFrame:
     """film_id, rental_count; films never rented (or never stocked) get 0.
 
     Rentals are counted per inventory copy first, then per film; film ids
     are grouped so repeated film rows count as often as the source join
-    would count them.
+    would count them.  Without ``rentals`` the inventory carries its own
+    ``rental_count`` per copy, and no rental is read or joined.
     """
-    per_copy = rentals.groupBy("inventory_id").agg(F.count("rental_id").alias("n"))
-    per_film = (inventory.join(per_copy, "inventory_id", "left")
-                .groupBy("film_id").agg(F.sum("n").alias("n")))
+    copies = inventory.withColumnRenamed("rental_count", "n")
+    if rentals is not None:
+        per_copy = rentals.groupBy("inventory_id").agg(F.count("rental_id").alias("n"))
+        copies = inventory.select("inventory_id", "film_id").join(per_copy, "inventory_id", "left")
+    per_film = copies.groupBy("film_id").agg(F.sum("n").alias("n"))
     f = films.groupBy("film_id").agg(F.count(F.lit(1)).alias("k"))
     return f.join(per_film, "film_id", "left").select(
         "film_id", (F.coalesce(F.col("n"), F.lit(0)) * F.col("k")).cast("bigint")

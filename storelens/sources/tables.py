@@ -6,14 +6,21 @@ columns and pushes filters into the scan for whatever a plan references.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from functools import cached_property
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+FILES_A_TASK = 200                   # footers one task reads
+
 # The raw table schemas (FIXTURES.md section 1).  Reading with a
 # declared schema skips the footer-inference job Spark otherwise runs for every
-# read.  Parquet fills a column that a file lacks with NULL, so the names in one
-# file's footer are compared first (no Spark job).
+# read.  Parquet fills a column that a file lacks with NULL, so the names in every
+# file's footer are compared first.
 RAW_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -31,29 +38,57 @@ RAW_SCHEMAS = {
 RAW_TABLES = tuple(RAW_SCHEMAS)
 
 
-def footer_columns(spark: SparkSession, path: str) -> set[str] | None:
-    """Column names in the footer of the first Parquet file at ``path`` (None: no file).
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files Spark would read at ``path``; none where nothing is there."""
+    try:
+        return spark.read.schema("any_column int").parquet(path).inputFiles()
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
+def _names(file: str) -> set[str] | None:
+    """Column names in a Parquet footer; None: a file system that pyarrow doesn't know."""
+    try:
+        system, at = FileSystem.from_uri(file)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        return None
+    return set(pq.read_schema(at, filesystem=system).names)
+
+
+def lacking_file(spark: SparkSession, path: str, wanted: Sequence[str]) -> tuple[str, list[str]] | None:
+    """A file at ``path`` without some of the wanted columns, and which; None: every file has all.
 
-    Read on the driver through Hadoop's file system, so any store Spark reads works.
+    Footers are read in tasks, FILES_A_TASK each, but for a table of one file.  Where pyarrow can't
+    open the file system, Spark's own schema of the path is compared instead.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(conf)
-    if not fs.exists(at):
+    files = data_files(spark, path)
+
+    def lacks(file: str) -> list[str] | None:
+        names = _names(file)
+        return None if names is None else [c for c in wanted if c not in names]
+
+    if not files:
         return None
-    files = fs.listFiles(at, True)
-    while files.hasNext():
-        file = files.next()
-        name = file.getPath().getName()
-        if file.getLen() and not name.startswith(("_", ".")):
-            source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(file.getPath(), conf)
-            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
-            try:
-                fields = reader.getFooter().getFileMetaData().getSchema().getFields()
-                return {fields.get(i).getName() for i in range(fields.size())}
-            finally:
-                reader.close()
-    return None
+    first = lacks(files[0])
+    if first is None:
+        there = spark.read.option("mergeSchema", "true").parquet(path).columns
+        missing = [c for c in wanted if c not in there]
+        return (path, missing) if missing else None
+    if first or len(files) == 1:
+        return (files[0], first) if first else None
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(f, ", ".join(m)) for f in batch.column(0).to_pylist() if (m := lacks(f))]
+            yield pa.RecordBatch.from_pylist([{"file": f, "missing": m} for f, m in found], schema=pa.schema(
+                [("file", pa.string()), ("missing", pa.string())]))
+
+    tasks = -(-len(files) // FILES_A_TASK)
+    listed = spark.createDataFrame(pa.table({"file": files})).repartition(tasks)
+    bad = listed.mapInArrow(check, "file string, missing string").first()
+    return (bad.file, bad.missing.split(", ")) if bad else None
 
 
 class Tables:
@@ -72,11 +107,9 @@ class Tables:
         path = f"{self.root}/{name}.parquet"
         reader = self.spark.read
         if not self.infer_schema and name in RAW_SCHEMAS:
-            wanted = [c.split()[0] for c in RAW_SCHEMAS[name].split(", ")]
-            there = footer_columns(self.spark, path)
-            missing = [] if there is None else [c for c in wanted if c not in there]
-            if missing:
-                raise ValueError(f"{path} has no column {', '.join(missing)}")
+            bad = lacking_file(self.spark, path, [c.split()[0] for c in RAW_SCHEMAS[name].split(", ")])
+            if bad:
+                raise ValueError(f"{bad[0]} has no column {', '.join(bad[1])}")
             reader = reader.schema(RAW_SCHEMAS[name])
         return reader.parquet(path)
 

@@ -43,6 +43,36 @@ def test_no_nested_loop_without_broadcasts(spark, key):
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+def _counted(spark, key):
+    """Line-item scans, shuffles and reused exchanges of the executed plan, broadcasts off."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _executed(spark, QUERIES[key](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = plan.split("== Initial Plan ==")[0]
+    lines = final.splitlines()
+    return (sum("FileScan" in x and "lineitem.parquet" in x for x in lines),
+            sum(" Exchange " in x for x in lines), sum("ReusedExchange" in x for x in lines))
+
+
+def test_key_profile_scans_once(spark):
+    scans, shuffles, _ = _counted(spark, "key_uniqueness_profile")
+    assert scans == 1 and shuffles <= 2
+
+
+@pytest.mark.parametrize("key", ["category_popularity", "rentals_by_actor_popularity_band",
+                                 "rental_likelihood_by_category", "rental_likelihood_by_category_intended"])
+def test_film_side_roles_share_one_aggregate_of_the_line_items(spark, key):
+    scans, _, reused = _counted(spark, key)
+    assert scans <= 2 and (reused > 0 or key == "category_popularity")
+
+
+def test_second_gap_formulation_shuffles_little_more_than_the_first(spark):
+    first, second = (_counted(spark, f"long_gap_nondelivered_share{v}")[1] for v in ("", "_v2"))
+    assert second <= 1.5 * first
+
+
 def test_item_features_share_one_window(spark):
     plan = _plan(QUERIES["item_prev_frame_stats"](spark, SF_SMALL))
     # besides the windows over the few buckets of large entities
