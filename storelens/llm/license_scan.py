@@ -3,33 +3,34 @@
 A template is wording with two kinds of regions:
 
     [[ ... ]]        optional: may be there or not
-    {{name}}         replaceable: any run of 0 to MAX_VARIABLE words
+    {{name}}         replaceable: any run of words, none and very long ones too
     {{name:1-3}}     replaceable: a run of 1 to 3 words
 
 Everything outside is mandatory and must match word for word.  Texts and
 templates are cut into the same words (A-Z lower-cased; runs of characters other
 than ASCII punctuation and white space), so case, punctuation and line breaks
 never matter.  ``compile_template`` turns a template into a small automaton
-whose states are places in the wording; ``accepts_at`` runs it from one word of
-a text and tells where the longest accepted span ends.
+whose states are places in the wording.  ``spans`` runs it once over a text for all
+places where the wording may start: a state remembers only the latest start that
+reached it, as what follows is the same for all, so the work is at most the text's
+words times the template's states, and next to nothing where no start is alive.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from importlib import resources
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import column, texts_in_small_batches
+from storelens.llm.frames import column, free_name, texts_in_small_batches
 from storelens.llm.words import plain_words
 
-MAX_VARIABLE = 12
-
 # Base phrases: places where these words stand consecutively.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -38,7 +39,7 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# One-line notices, and openings of grants whose whole wording is among TEXTS.
+# One-line notices.
 NOTICES = {
     "gpl-notice": "licensed under the [[terms of the]] GNU General Public License"
                   "[[, version {{number:1-1}}]] [[or {{later:0-6}} later [[version]]]]",
@@ -46,17 +47,12 @@ NOTICES = {
     "gpl-3.0": "GNU General Public License[[,]] version 3 [[of the License]]",
     "apache-2.0": "licensed under the Apache License, Version 2.0 [[(the \"License\")]]",
     "mit-notice": "[[is]] released under the [[terms of the]] MIT License",
-    "mit-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-                "{{software:1-4}} and associated documentation files [[(the \"{{name:1-3}}\")]], to deal in the "
-                "{{name:1-3}} without restriction",
-    "bsd-notice": "Redistribution and use in source and binary forms, with or without modification, are "
-                  "permitted provided that the following conditions are met",
     "cc-by-4.0": "licensed under [[a]] [[Creative Commons]] CC BY 4.0",
     "cc-by-nc-4.0": "licensed under [[a]] [[Creative Commons]] CC BY-NC 4.0",
     "cc-by-sa-4.0": "licensed under [[a]] [[Creative Commons]] CC BY-SA 4.0",
 }
-OPENINGS = frozenset({"mit-text", "bsd-notice"})         # tell no license alone: they score as a phrase does
-
+_BSD_OPENING = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+                "that the following conditions are met")
 _MIT_GRANT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this {{software:1-4}} and "
               "associated documentation files [[(the \"{{name:1-3}}\")]], to deal in the {{name:1-3}} without restriction, "
               "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
@@ -69,7 +65,7 @@ _MIT_WARRANTY = ("THE {{name:1-3}} IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF AN
                  "IN NO EVENT SHALL {{holders}} BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION "
                  "OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE {{name:1-3}} OR THE USE "
                  "OR OTHER DEALINGS IN THE {{name:1-3}}.")
-_BSD_TWO = (NOTICES["bsd-notice"] + ": [[1.]] [[a)]] Redistributions of source code must retain the above copyright notice, "
+_BSD_TWO = (_BSD_OPENING + ": [[1.]] [[a)]] Redistributions of source code must retain the above copyright notice, "
             "this list of conditions and the following disclaimer. [[2.]] [[b)]] Redistributions in binary form must "
             "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
             "documentation and/or other materials provided with the distribution.")
@@ -131,35 +127,45 @@ TEMPLATES = NOTICES | TEXTS
 
 @dataclass(frozen=True)
 class Automaton:
-    """``edges[s]``: word -> next state; ``free[s]``: states reached without a word;
-    ``loops``: states that also step on any word; ``final``: the accepting state."""
+    """``edges[s]``: word -> next state; ``wild[s]``: states reached by any word; ``closure[s]``: s and the
+    states reached from it without a word; ``final``: the accepting state; ``first``: words it can start with."""
 
     edges: tuple[dict[bytes, int], ...]
-    free: tuple[tuple[int, ...], ...]
     wild: tuple[tuple[int, ...], ...]
+    closure: tuple[tuple[int, ...], ...]
     final: int
     first: frozenset[bytes]
 
-    def closure(self, states: set[int]) -> set[int]:
-        todo, seen = list(states), set(states)
-        while todo:
-            for nxt in self.free[todo.pop()]:
-                if nxt not in seen:
-                    seen.add(nxt)
-                    todo.append(nxt)
-        return seen
+    def spans(self, words: list[bytes], starts: Sequence[int]) -> list[tuple[int, int]]:
+        """(start, end) of accepted spans that begin at one of the rising ``starts``: for each start the
+        longest, where spans with one end go to the latest start."""
+        alive: dict[int, int] = {}
+        found: dict[int, int] = {}
+        turn, at = 0, 0
+        while True:
+            if not alive:
+                if turn == len(starts):
+                    return sorted(found.items())
+                at = starts[turn]
+            if turn < len(starts) and starts[turn] == at:
+                alive.update(dict.fromkeys(self.closure[0], at))
+                turn += 1
+            if at == len(words):
+                return sorted(found.items())
+            word, step = words[at], {}
+            for state, start in alive.items():
+                there = self.edges[state].get(word)
+                for to in self.wild[state] if there is None else (there, *self.wild[state]):
+                    for reached in self.closure[to]:
+                        if step.get(reached, -1) < start:
+                            step[reached] = start
+            alive, at = step, at + 1
+            if self.final in alive:
+                found[alive[self.final]] = at
 
     def accepts_at(self, words: list[bytes], at: int) -> int | None:
         """End of the longest accepted span that starts at word ``at``, or None."""
-        states, end = self.closure({0}), None
-        for i in range(at, len(words) + 1):
-            if self.final in states:
-                end = i
-            if i == len(words) or not states:
-                break
-            step = {self.edges[s][words[i]] for s in states if words[i] in self.edges[s]}
-            states = self.closure(step.union(*(self.wild[s] for s in states)))
-        return end
+        return dict(self.spans(words, [at])).get(at)
 
 
 def compile_template(markup: str) -> Automaton:
@@ -191,19 +197,24 @@ def compile_template(markup: str) -> Automaton:
             free[opened.pop()].append(nxt)
             here = nxt
         elif piece.startswith("{{"):
-            low, high = re.fullmatch(r"\{\{\w+(?::(\d+)-(\d+))?\}\}", piece).groups() or (None, None)
-            low, high = int(low or 0), int(high or MAX_VARIABLE)
-            ends = []
-            for taken in range(high + 1):
-                if taken >= low:
-                    ends.append(here)
-                if taken < high:
-                    nxt = state()
-                    wild[here].append(nxt)
-                    here = nxt
-            nxt = state()
-            for e in ends:
-                free[e].append(nxt)
+            low, high = re.fullmatch(r"\{\{\w+(?::(\d+)-(\d+))?\}\}", piece).groups()
+            if high is None:
+                loop, nxt = state(), state()
+                free[here].append(loop)
+                wild[loop].append(loop)
+                free[loop].append(nxt)
+            else:
+                ends = []
+                for taken in range(int(high) + 1):
+                    if taken >= int(low):
+                        ends.append(here)
+                    if taken < int(high):
+                        nxt = state()
+                        wild[here].append(nxt)
+                        here = nxt
+                nxt = state()
+                for e in ends:
+                    free[e].append(nxt)
             here = nxt
         else:
             for word in plain_words(piece):
@@ -213,21 +224,29 @@ def compile_template(markup: str) -> Automaton:
                 mandatory += not opened
     if opened or not mandatory:
         raise ValueError(f"unbalanced or without mandatory wording: {markup!r}")
-    machine = Automaton(tuple(edges), tuple(map(tuple, free)), tuple(map(tuple, wild)), here, frozenset())
-    start = machine.closure({0})
-    first = frozenset(w for s in start for w in edges[s])
-    if any(wild[s] for s in start):
+
+    def closure(start: int) -> tuple[int, ...]:
+        todo, seen = [start], {start}
+        while todo:
+            for nxt in free[todo.pop()]:
+                if nxt not in seen:
+                    seen.add(nxt)
+                    todo.append(nxt)
+        return tuple(seen)
+
+    closures = tuple(map(closure, range(len(edges))))
+    if any(wild[s] for s in closures[0]):
         raise ValueError(f"a template starts with wording, not a variable: {markup!r}")
-    return Automaton(machine.edges, machine.free, machine.wild, here, first)
+    return Automaton(tuple(edges), tuple(map(tuple, wild)), closures, here,
+                     frozenset(w for s in closures[0] for w in edges[s]))
 
 
 class Scanner:
-    """``openings``: templates that score as a phrase does; ``whole``: those of which only the
-    longest counts where one stands inside another."""
+    """``whole``: templates of which only the longest counts where one stands inside another."""
 
     def __init__(self, phrases: dict[str, str], templates: dict[str, str], *,
-                 openings: frozenset[str] = OPENINGS, whole: frozenset[str] = frozenset(TEXTS)):
-        self.openings, self.whole = openings, whole
+                 whole: frozenset[str] = frozenset(TEXTS)):
+        self.whole = whole
         self.phrases = [(b" " + b" ".join(plain_words(p)) + b" ", label) for p, label in phrases.items()]
         self.machines = {label: compile_template(m) for label, m in templates.items()}
         # a text without the rarest mandatory word of a template can't match it
@@ -243,37 +262,46 @@ class Scanner:
     def scan(self, text: str | bytes | None) -> tuple:
         words = plain_words(text)
         line = b" " + b" ".join(words) + b" "
+        gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 0x20)     # the k-th stands before word k
         places, base = [], set()
         for phrase, label in self.phrases:
-            at = line.find(phrase)
-            while at >= 0:
-                places.append(line.count(b" ", 0, at))
+            if found := self._places(line, phrase, gaps):
+                places += found
                 base.add(label)
-                at = line.find(phrase, at + 1)
-        spans = []
+        spans, starts = [], {}
         for label, machine in self.machines.items():
             if self.needed[label] not in line:
                 continue
-            starts = {i for w in machine.first for i in self._places(line, w)}
-            for at in sorted(starts):
-                end = machine.accepts_at(words, at)
-                if end is not None:
-                    spans.append((label, at, end))
-        texts = [s for s in spans if s[0] in self.whole]
-        spans = [(label, a, e) for label, a, e in spans if label not in self.whole or not any(
-            x <= a and e <= y and y - x > e - a for _, x, y in texts)]
+            for w in machine.first - starts.keys():
+                starts[w] = self._places(line, b" " + w + b" ", gaps)
+            here = [starts[w] for w in machine.first]
+            spans += [(label, a, e) for a, e in machine.spans(words, here[0] if len(here) == 1 else sorted(set().union(*here)))]
+        spans = self._outermost(spans)
         own = {label for label, _, _ in spans}
-        score = 1.0 if own - self.openings else 0.5 if base or own else 0.0
+        score = 1.0 if own else 0.5 if base else 0.0
         return (len(words), len(places), min(places, default=None), max(places, default=None),
                 ",".join(sorted(base)), ",".join(sorted(base | own)), score,
                 [{"label": a, "start": s, "end": e} for a, s, e in spans])
 
+    def _outermost(self, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+        """Without the spans of whole wordings that stand inside a longer one's."""
+        inner, furthest = set(), None
+        texts = sorted((s for s in spans if s[0] in self.whole), key=lambda s: (s[1], -s[2]))
+        for span in texts:
+            if furthest is not None and span[2] <= furthest[2] and span[1:] != furthest[1:]:
+                inner.add(span)
+            if furthest is None or span[2] > furthest[2]:
+                furthest = span
+        return [s for s in spans if s not in inner]
+
     @staticmethod
-    def _places(line: bytes, word: bytes) -> Iterator[int]:
-        at = line.find(b" " + word + b" ")
+    def _places(line: bytes, phrase: bytes, gaps: np.ndarray) -> list[int]:
+        """Numbers of the words at which the phrase (with the spaces around it) stands."""
+        found, at = [], line.find(phrase)
         while at >= 0:
-            yield line.count(b" ", 0, at)
-            at = line.find(b" " + word + b" ", at + 1)
+            found.append(at)
+            at = line.find(phrase, at + 1)
+        return np.searchsorted(gaps, found).tolist()
 
 
 COLUMNS = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "license_spans")
@@ -287,10 +315,10 @@ def scan_licenses(docs: DataFrame, *, text: str = "text", phrases: dict[str, str
     smallest and largest of them (words from 0; null: none).  labels adds the
     templates accepted anywhere in the text; license_spans holds their words
     [start, end).  score is 1 where a template is accepted, 0.5 where only a
-    phrase or one of OPENINGS stands, else 0.  A null text is empty: no words, empty labels, 0.
+    phrase stands, else 0.  A null text is empty: no words, empty labels, 0.
     """
     texts_in_small_batches(docs.sparkSession)
-    given = {} if templates is None else {"openings": frozenset(), "whole": frozenset()}
+    given = {} if templates is None else {"whole": frozenset()}
     scanner = Scanner(PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates, **given)
     shape = ("n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, "
              "labels string, score double, license_spans array<struct<label:string,start:bigint,end:bigint>>")
@@ -301,7 +329,7 @@ def scan_licenses(docs: DataFrame, *, text: str = "text", phrases: dict[str, str
             out = pd.DataFrame([scanner.scan(t) for t in texts], columns=COLUMNS)
             yield out.astype({"first_word": "Int64", "last_word": "Int64"})
 
-    names = [c for c in docs.columns if c not in COLUMNS]
-    scanned = docs.select(*[column(docs, c) for c in names],
-                          scan(column(docs, text).cast("binary")).alias("__scan"))
-    return scanned.select(*[f"`{c}`" for c in names], *[F.col(f"__scan.{c}").alias(c) for c in COLUMNS])
+    names = [c for c in docs.columns if c.lower() not in COLUMNS]
+    (held,) = free_name(docs, "scanned")
+    scanned = docs.select(*[column(docs, c) for c in names], scan(column(docs, text).cast("binary")).alias(held))
+    return scanned.select(*[f"`{c}`" for c in names], *[F.col(held)[c].alias(c) for c in COLUMNS])

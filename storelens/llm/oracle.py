@@ -7,6 +7,10 @@ against brute-force versions in Python.
 
 from __future__ import annotations
 
+import re
+
+from storelens.llm.license_scan import TEMPLATES
+
 SPACE_WORD = r"'[^\x20\x09-\x0D]+'"
 PLAIN_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -76,22 +80,32 @@ SELECT doc_id, item_id, n_shared / total AS containment, CAST(n_shared AS BIGINT
 FROM shared JOIN (SELECT item_id, count(*) AS total FROM wanted GROUP BY item_id) sizes USING (item_id)
 WHERE n_shared >= 0.8 * total"""
 
-# The wording of the license templates, as patterns over words parted by one space.
-LICENSE_PATTERNS = {
-    "gpl-notice": "licensed under the (terms of the )?gnu general public license ",
-    "gpl-2.0": "gnu general public license version 2 ",
-    "gpl-3.0": "gnu general public license version 3 ",
-    "apache-2.0": "licensed under the apache license version 2 0 ",
-    "mit-notice": "released under the (terms of the )?mit license ",
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this "
-                "([^ ]+ ){1,4}and associated documentation files (the ([^ ]+ ){1,3})?to deal in the "
-                "([^ ]+ ){1,3}without restriction ",
-    "bsd-notice": "redistribution and use in source and binary forms with or without modification are "
-                  "permitted provided that the following conditions are met ",
-    "cc-by-4.0": "licensed under (a )?(creative commons )?cc by 4 0 ",
-    "cc-by-nc-4.0": "licensed under (a )?(creative commons )?cc by nc 4 0 ",
-    "cc-by-sa-4.0": "licensed under (a )?(creative commons )?cc by sa 4 0 ",
-}
+
+
+def _wording(markup: str) -> str:
+    """A license template as a pattern over words with a space of their own on either side."""
+    out = []
+    for piece in re.findall(r"\[\[|\]\]|\{\{[^{}]*\}\}|[0-9A-Za-z]+", markup):
+        region = re.fullmatch(r"\{\{\w+(?::(\d+)-(\d+))?\}\}", piece)
+        if piece in ("[[", "]]"):
+            out.append("(?:" if piece == "[[" else ")?")
+        elif region:
+            out.append("(?: [^ ]+ )" + (f"{{{region[1]},{region[2]}}}?" if region[1] else "*?"))
+        else:
+            out.append(f" {piece.lower()} ")
+    return "".join(out)
+
+
+# Wordings that hold another one whole, which then counts only where it stands more often.
+_AROUND = {"mit-license": "x11", "mpl-2.0-notice": "mpl-2.0-text"}
+
+
+def _stands(label: str) -> str:
+    line = "' ' || array_to_string(w, '  ') || ' '"
+    if label not in _AROUND:
+        return f"regexp_matches({line}, '{_wording(TEMPLATES[label])}')"
+    many, around = (f"len(regexp_extract_all({line}, '{_wording(TEMPLATES[x])}'))" for x in (label, _AROUND[label]))
+    return f"{many} > {around}"
 
 LICENSE_SCAN = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({FOLDED}, {PLAIN_WORD}) AS w FROM documents),
@@ -101,15 +115,14 @@ places AS (SELECT r, i - 1 AS spot, label
            FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM docs) t JOIN phrases ON w[i] = p[1]
            WHERE w[i:i + len(p) - 1] = p),
 base AS (SELECT r, count(*) AS n, min(spot) AS a, max(spot) AS b, list(DISTINCT label) AS labels FROM places GROUP BY r),
-own AS (SELECT r, list(label) AS labels
-        FROM docs, (VALUES {", ".join(f"('{k}', ' {v}')" for k, v in LICENSE_PATTERNS.items())}) AS t(label, pattern)
-        WHERE regexp_matches(' ' || array_to_string(w, ' ') || ' ', pattern) GROUP BY r)
+own AS (SELECT r, list_filter([{", ".join(f"CASE WHEN {_stands(k)} THEN '{k}' END" for k in TEMPLATES)}],
+                              lambda x: x IS NOT NULL) AS labels FROM docs)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base,
        CAST(a AS BIGINT) AS first_word, CAST(b AS BIGINT) AS last_word,
        array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
        array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(own.labels, [])))), ',')
            AS labels,
-       CAST(CASE WHEN own.r IS NOT NULL THEN 1 WHEN base.r IS NOT NULL THEN 0.5 ELSE 0 END AS DOUBLE) AS score
+       CAST(CASE WHEN len(own.labels) > 0 THEN 1 WHEN base.r IS NOT NULL THEN 0.5 ELSE 0 END AS DOUBLE) AS score
 FROM docs LEFT JOIN base USING (r) LEFT JOIN own USING (r)"""
 
 CHAT_PREFERENCES = r"""
