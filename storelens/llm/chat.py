@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import column
+from storelens.llm.frames import column, free_name
 from storelens.llm.neighbours import with_next
 
 TRAINED = "assistant"
+ASKED = "user"
 END = "<|end|>\n"
 
 
@@ -51,23 +52,36 @@ def conversations(turns: DataFrame, *, conv_id: str = "conv_id", turn: str = "tu
 def reply_pairs(talks: DataFrame) -> DataFrame:
     """(conv_id, chosen, rejected) from conversations without labels of their own.
 
-    chosen is a conversation up to its last assistant turn; rejected ends in the
-    last assistant turn of the next conversation that has one, by ascending
-    conv_id (null first, those by a hash of the reply; after the last comes the
-    first): a fluent reply to another prompt.
-    Conversations without an assistant turn give no pair.
+    A conversation's tail is what follows its last user turn before the last assistant turn:
+    the reply, in one turn or several, and any turns after it.  chosen is the whole
+    conversation; rejected is its turns up to the tail, then the tail of the next conversation
+    that has one, by ascending conv_id (null first, those by a hash of the tail; after the
+    last comes the first): a fluent reply to another prompt, which may begin alike.
+    A conversation without an assistant turn has no tail: rejected is chosen.
     """
-    mine = F.transform("turns", lambda t: t["role"] == TRAINED)
-    last = F.size("turns") - F.array_position(F.reverse(mine), True).cast("int") + 1
-    plain = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    ended = talks.where(F.array_contains(mine, True)).select(
-        "conv_id", F.slice(plain, F.lit(1), last).alias("chosen"))
-    # a conversation without an id is one turn, so its reply is all of it
-    ended = ended.withColumn("reply", F.element_at("chosen", -1)).withColumn("tie", F.when(
-        F.col("conv_id").isNull(), F.xxhash64("reply")).otherwise(F.lit(0).cast("bigint")))
-    paired = with_next(ended, "conv_id", "tie", {"other": "reply"})
-    before = F.slice("chosen", F.lit(1), F.size("chosen") - 1)
-    return paired.select("conv_id", "chosen", F.concat(before, F.array("other")).alias("rejected"))
+    size = F.size("turns")
+
+    def last(marks: Column) -> Column:
+        """Place of the last true mark, 0 if none."""
+        back = F.array_position(F.reverse(marks), True).cast("int")
+        return F.when(back > 0, F.size(marks) - back + 1).otherwise(F.lit(0))
+
+    said = talks.withColumn("turns", F.transform(
+        "turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))))
+    reply = said.withColumn("reply", last(F.transform("turns", lambda t: t["role"] == TRAINED)))
+    asked = reply.withColumn("cut", F.when(F.col("reply") == 0, size).otherwise(
+        last(F.transform(F.slice("turns", F.lit(1), F.col("reply")), lambda t: t["role"] == ASKED))))
+    parted = asked.select("conv_id", F.slice("turns", F.lit(1), F.col("cut")).alias("before"),
+                          F.slice("turns", F.col("cut") + 1, size - F.col("cut")).alias("tail"))
+    # a conversation without an id is one turn; the tie of the others is never asked
+    text = F.array_join(F.transform("tail", lambda t: F.concat_ws(":", t["role"], t["text"])), "\n")
+    tie = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+    ended = parted.where(F.size("tail") > 0).withColumn(
+        "tie", F.when(F.col("conv_id").isNull(), tie).otherwise(F.lit(0).cast("bigint")))
+    paired = with_next(ended, "conv_id", "tie", {"other": "tail"}).select("conv_id", "before", "tail", "other")
+    open_ended = parted.where(F.size("tail") == 0).withColumn("other", F.col("tail"))
+    return paired.unionByName(open_ended).select("conv_id", F.concat("before", "tail").alias("chosen"),
+                                                 F.concat("before", "other").alias("rejected"))
 
 
 def _spoken(t: Column) -> Column:
@@ -106,11 +120,12 @@ def format_preferences(pairs: DataFrame, *, chosen: str = "chosen", rejected: st
 
     Pairs of equal conversations have the whole as prompt and empty completions.
     """
-    a, b = F.col("__a"), F.col("__b")
-    names = [c for c in pairs.columns if c not in (chosen, rejected, "n_common", "prompt", "chosen", "rejected",
-                                                   "chosen_mask", "rejected_mask")]
-    cut = pairs.select(*[column(pairs, c) for c in names], column(pairs, chosen).alias("__a"),
-                       column(pairs, rejected).alias("__b")).withColumn("n_common", common_turns(a, b))
+    new = ("n_common", "prompt", "chosen", "rejected", "chosen_mask", "rejected_mask")
+    names = [c for c in pairs.columns if c not in (chosen, rejected) and c.lower() not in new]
+    left, right = free_name(pairs.withColumn("n_common", F.lit(0)), "one", "other")
+    a, b = F.col(left), F.col(right)
+    cut = pairs.select(*[column(pairs, c) for c in names], column(pairs, chosen).alias(left),
+                       column(pairs, rejected).alias(right)).withColumn("n_common", common_turns(a, b))
 
     def after(turns: Column) -> Column:
         return F.slice(turns, F.col("n_common") + 1, F.greatest(F.size(turns) - F.col("n_common"), F.lit(0)))

@@ -126,27 +126,43 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT)
 FROM docs LEFT JOIN base USING (r) LEFT JOIN own USING (r)"""
 
 CHAT_PREFERENCES = r"""
-WITH turns AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM turns),
-ended AS (SELECT conv_id, max(k) AS last FROM numbered WHERE role = 'assistant' GROUP BY conv_id),
-replies AS (SELECT conv_id, last, text FROM ended JOIN numbered USING (conv_id) WHERE k = last),
-pairs AS (SELECT conv_id, last, text AS mine,
-                 coalesce(lead(text) OVER (ORDER BY conv_id), first_value(text) OVER (ORDER BY conv_id)) AS other
-          FROM replies),
-spoken AS (SELECT conv_id, k, '<|' || role || '|>' || chr(10) || replace(text, '<|', '< |') || '<|end|>' || chr(10) AS t
-           FROM numbered),
-prompts AS (SELECT p.conv_id, any_value(last) AS last, any_value(mine) AS mine, any_value(other) AS other,
-                   coalesce(string_agg(t, '' ORDER BY k), '') AS prompt
-            FROM pairs p LEFT JOIN spoken s ON p.conv_id = s.conv_id
-                 AND (k < last OR k = last AND mine = other) GROUP BY p.conv_id),
-said AS (SELECT *, mine = other AS tie,
-                '<|assistant|>' || chr(10) || replace(mine, '<|', '< |') || '<|end|>' || chr(10) AS a,
-                '<|assistant|>' || chr(10) || replace(other, '<|', '< |') || '<|end|>' || chr(10) AS b FROM prompts)
-SELECT conv_id, CAST(CASE WHEN tie THEN last ELSE last - 1 END AS INTEGER) AS n_common, prompt,
-       CASE WHEN tie THEN '' ELSE a END AS chosen, CASE WHEN tie THEN '' ELSE b END AS rejected,
-       CASE WHEN tie THEN '' ELSE '14-' || length(a) END AS chosen_mask,
-       CASE WHEN tie THEN '' ELSE '14-' || length(b) END AS rejected_mask
-FROM said"""
+WITH rows AS (SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+              FROM conversations),
+-- a numbered turn stands once, one without a number as often as it is said; no conv_id: a conversation a row
+told AS (SELECT conv_id, role, text, turn, min(r) AS r, CASE WHEN conv_id IS NULL THEN min(r) END AS alone
+         FROM rows GROUP BY conv_id, turn, role, text, CASE WHEN conv_id IS NULL OR turn IS NULL THEN r END),
+talks AS (SELECT conv_id, alone, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS t
+          FROM told GROUP BY conv_id, alone),
+replied AS (SELECT *, coalesce(list_max(list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')), 0) AS reply
+            FROM talks),
+parted AS (SELECT *, t[1:cut] AS before, t[cut + 1:] AS tail FROM (
+           SELECT *, CASE WHEN reply = 0 THEN len(t) ELSE coalesce(list_max(list_filter(
+                      range(1, reply + 1), lambda i: t[i].role = 'user')), 0) END AS cut FROM replied) x),
+tied AS (SELECT *, CASE WHEN conv_id IS NULL THEN CAST('0x' || substr(md5(array_to_string(list_transform(
+                tail, lambda x: x.role || ':' || x.text), chr(10))), 1, 15) AS BIGINT) ELSE 0 END AS tie
+         FROM parted WHERE len(tail) > 0),
+pairs AS (SELECT conv_id, before || tail AS a, before || coalesce(
+                 lead(tail) OVER (ORDER BY conv_id NULLS FIRST, tie),
+                 first_value(tail) OVER (ORDER BY conv_id NULLS FIRST, tie)) AS b FROM tied
+          UNION ALL SELECT conv_id, before, before FROM parted WHERE len(tail) = 0),
+alike AS (SELECT *, len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[1:i] = b[1:i])) AS n FROM pairs),
+spoken AS (SELECT conv_id, n, list_transform(a, lambda x: {'role': x.role, 't': '<|' || x.role || '|>' || chr(10)
+                  || replace(x.text, '<|', '< |') || '<|end|>' || chr(10)}) AS a,
+                  list_transform(b, lambda x: {'role': x.role, 't': '<|' || x.role || '|>' || chr(10)
+                  || replace(x.text, '<|', '< |') || '<|end|>' || chr(10)}) AS b FROM alike),
+cut AS (SELECT conv_id, n, a[1:n] AS p, a[n + 1:] AS a, b[n + 1:] AS b FROM spoken),
+ends AS (SELECT *, list_transform(range(1, len(a) + 1), lambda i: CAST(list_sum(list_transform(a[1:i], lambda x: length(x.t))) AS BIGINT)) AS ea,
+                   list_transform(range(1, len(b) + 1), lambda i: CAST(list_sum(list_transform(b[1:i], lambda x: length(x.t))) AS BIGINT)) AS eb
+         FROM cut)
+SELECT conv_id, CAST(n AS INTEGER) AS n_common,
+       array_to_string(list_transform(p, lambda x: x.t), '') AS prompt,
+       array_to_string(list_transform(a, lambda x: x.t), '') AS chosen,
+       array_to_string(list_transform(b, lambda x: x.t), '') AS rejected,
+       array_to_string(list_transform(list_filter(range(1, len(a) + 1), lambda i: a[i].role = 'assistant'),
+           lambda i: (ea[i] - length(a[i].t) + length(a[i].role) + 5) || '-' || ea[i]), ',') AS chosen_mask,
+       array_to_string(list_transform(list_filter(range(1, len(b) + 1), lambda i: b[i].role = 'assistant'),
+           lambda i: (eb[i] - length(b[i].t) + length(b[i].role) + 5) || '-' || eb[i]), ',') AS rejected_mask
+FROM ends"""
 
 _SQUARED = "list_sum(list_transform(range(1, 65), lambda i: (v.q[i] - c.q[i]) * (v.q[i] - c.q[i])))"
 

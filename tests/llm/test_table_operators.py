@@ -257,12 +257,32 @@ def turn_rows():
 def test_chat_pairs_equal_brute_force(spark):
     df = spark.createDataFrame([(*r, "x") for r in turn_rows()],
                                "conv_id bigint, turn bigint, role string, text string, prompt string")
-    talks = {}
-    for c, n, role, text in sorted(set(turn_rows()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None,
-                                                                    r[1] or 0, r[2] or "", r[3] or "")):
-        talks.setdefault(c, []).append((role or "", text or ""))
-    ended = [(c, t[:max(i for i, x in enumerate(t) if x[0] == "assistant") + 1]) for c, t in talks.items()
-             if any(x[0] == "assistant" for x in t)]
+    want = plain_preferences(turn_rows())
+    got = chat.format_preferences(chat.reply_pairs(chat.conversations(df)))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert chat.format_preferences(chat.reply_pairs(chat.conversations(df.limit(0)))).count() == 0
+
+
+def plain_preferences(rows):
+    talks, alone = {}, []
+    for c, n, role, text in rows:
+        turn = ((n is not None, n or 0), role or "", text or "")
+        if c is None:
+            alone.append((None, [turn]))
+        elif n is None or turn not in talks.setdefault(c, []):
+            talks.setdefault(c, []).append(turn)
+    parted = []
+    for c, turns in [*alone, *talks.items()]:
+        t = [x[1:] for x in sorted(turns)]
+        replies = [i for i, x in enumerate(t) if x[0] == "assistant"]
+        if not replies:
+            parted.append((c, t, []))
+            continue
+        cut = max((i + 1 for i, x in enumerate(t[:replies[-1]]) if x[0] == "user"), default=0)
+        parted.append((c, t[:cut], t[cut:]))
+    tails = [x for x in parted if x[2]]
+    tails.sort(key=lambda x: (x[0] is not None, x[0] or 0, int(hashlib.md5("\n".join(
+        f"{r}:{w}" for r, w in x[2]).encode()).hexdigest()[:15], 16)))
 
     def render(turns):
         at, out, spans = 0, "", []
@@ -274,16 +294,43 @@ def test_chat_pairs_equal_brute_force(spark):
             out, at = out + piece, at + len(piece)
         return out, ",".join(spans)
 
-    want = []
-    for i, (c, a) in enumerate(ended):
-        b = a[:-1] + [ended[(i + 1) % len(ended)][1][-1]]
+    pairs = [(c, before + tail, before + tails[(i + 1) % len(tails)][2]) for i, (c, before, tail) in enumerate(tails)]
+    pairs += [(c, before, before) for c, before, tail in parted if not tail]
+    out = []
+    for c, a, b in pairs:
         n = 0
         while n < min(len(a), len(b)) and a[n] == b[n]:
             n += 1
-        want.append((c, n, render(a[:n])[0], render(a[n:])[0], render(b[n:])[0], render(a[n:])[1], render(b[n:])[1]))
-    got = chat.format_preferences(chat.reply_pairs(chat.conversations(df)))
-    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
-    assert chat.format_preferences(chat.reply_pairs(chat.conversations(df.limit(0)))).count() == 0
+        out.append((c, n, render(a[:n])[0], render(a[n:])[0], render(b[n:])[0], render(a[n:])[1], render(b[n:])[1]))
+    return out
+
+
+def test_chat_sql_agrees_on_literal_rows(spark, tmp_path):
+    """Null ids, numbers, roles and texts, repeats, replies in several turns that begin alike."""
+    import duckdb
+
+    from storelens.llm import registry
+    rng = random.Random(8)
+    rows = turn_rows() + [
+        (10, None, "user", "hm"), (10, None, "user", "hm"), (10, 1, "assistant", "r"), (10, 1, "assistant", "r"),
+        (11, 0, "user", "q"), (11, 1, "assistant", "look"), (11, 2, "tool", "t"), (11, 3, "assistant", "done"), (11, 4, "user", "ty"),
+        (12, 0, "user", "p"), (12, 1, "assistant", "look"), (12, 2, "tool", "t"), (12, 3, "assistant", "failed"),
+        (13, 0, "assistant", "look"), (14, 0, "user", "x"), (14, 1, "user", "y"), (None, None, None, None), (None, 3, "user", "z"),
+        (None, 1, "assistant", "n"), (None, 1, "assistant", "n"), (15, None, None, None)]
+    rows += [(20 + i // 5, rng.choice([None, 0, 1, 2, 3]), rng.choice(["user", "assistant", "tool", None]),
+              rng.choice(["a", "b", "<|x", None])) for i in range(200)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(
+        f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    rel = con.execute(registry.ORACLE["op9_chat_preferences"])
+    names = [d[0] for d in rel.description]
+    sql = sorted(map(tuple, rel.fetchall()), key=repr)
+    got = registry.QUERIES["op9_chat_preferences"](spark, str(tmp_path))
+    assert got.columns == names
+    assert sorted(map(tuple, got.collect()), key=repr) == sql == sorted(plain_preferences(rows), key=repr)
+    assert len(sql) == len({r[0] for r in rows if r[0] is not None}) + sum(r[0] is None for r in rows)
+    assert any(r[3].count("<|end|>") > 1 and r[1] > 1 for r in sql)
 
 
 def test_chat_prefix_is_the_longest(spark):
