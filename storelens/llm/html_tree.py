@@ -45,6 +45,11 @@ NOISE_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "ba
                "cookie-banner", "cookie-consent", "cookie-notice", "main-menu", "main-nav", "main-navigation",
                "nav-menu", "related-articles", "related-posts", "share-buttons", "share-links", "site-footer",
                "site-nav", "site-navigation", "social-links", "social-share", "widget-area"}
+# parts of a class name or id that make a branch the readers' comments, unless a part says it only speaks of them
+COMMENT_PARTS = {"comment", "comments", "commentlist", "disqus", "livefyre", "replies", "respond", "guestbook"}
+ABOUT_COMMENTS = {"no", "without", "has", "have", "with", "open", "closed", "enabled", "disabled", "count", "link", "single"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+CARD_HEAD = 12                       # words of the line that names a comment's author and date, at most
 NOISE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "dialog"}
 
 
@@ -55,12 +60,20 @@ class Branch:
     kind: str = ""                   # "noise", "main", "open" (the site's tree decides, in a main part too) or "" (it decides)
     children: list[Branch | str] = field(default_factory=list)
     asks: bool = False               # an open branch is below
+    links: int = 0                   # links in its own blocks
+    linked: int = 0                  # characters of them
+    timed: bool = False              # its first block has a time element
+
+
+def _of_comments(name: str) -> bool:
+    parts = set(re.split("[-_]+", name))
+    return bool(parts & COMMENT_PARTS) and not parts & ABOUT_COMMENTS
 
 
 def _kind(tag: str, names: set[str], role: str, inside_main: bool) -> str:
     """As Branch.kind, or "named": noise by a name or wrapper, which _settle has yet to confirm."""
     if tag not in NEVER_NAMED:
-        if tag in NOISE_TAGS - WRAPPERS:
+        if tag in NOISE_TAGS - WRAPPERS or any(map(_of_comments, names)):
             return "noise"
         if tag in WRAPPERS and (tag != "header" or not inside_main) or role in NOISE_ROLES:
             return "named"
@@ -140,12 +153,24 @@ def parse(html: str) -> Branch:
     stack: list[Branch] = [root]
     deeper: list[str] = []               # open elements below NEST: no branches of their own
     text: list[str] = []
+    link = [False, 0, 0]                 # inside a link; links and their characters in the block
+    timed = [False]
 
     def flush() -> None:
         block = " ".join("".join(text).split())
         text.clear()
         if block:
-            stack[-1].children.append(block)
+            branch = stack[-1]
+            branch.timed |= timed[0] and not branch.children
+            branch.links += link[1]
+            branch.linked += min(link[2], len(block))
+            branch.children.append(block)
+        link[1:], timed[0] = [0, 0], False
+
+    def add(piece: str) -> None:
+        text.append(piece)
+        if link[0]:
+            link[2] += len(piece.strip())
 
     def close(upto: int) -> None:
         flush()
@@ -154,13 +179,14 @@ def parse(html: str) -> Branch:
 
     at = 0
     for match in iter(lambda: _TAG.search(html, at), None):
-        text.append(unescape(html[at:match.start()]))
+        add(unescape(html[at:match.start()]))
         at = match.end()
         tag = (match[2] or "").lower()
         if not tag or not match[4] and at == len(html):         # a comment, or a tag cut off by the end
             continue
         if match[1]:
             if tag in INLINE:
+                link[0] &= tag != "a"
                 continue
             if tag in deeper:
                 flush()
@@ -175,6 +201,9 @@ def parse(html: str) -> Branch:
         if tag == "br":
             text.append(" ")
         if tag in INLINE:
+            if tag == "a":
+                link[:2] = True, link[1] + 1
+            timed[0] |= tag == "time"
             continue
         flush()
         if tag in VOID:
@@ -203,7 +232,78 @@ def parse(html: str) -> Branch:
             at = len(html) if end is None else html.find(">", end.start()) + 1 or len(html)
         elif not match[3].endswith("/") or tag not in ("svg", "path"):
             stack.append(branch)
-    text.append(unescape(html[at:]))
+    add(unescape(html[at:]))
     close(1)
     _settle(root)
     return root
+
+
+_MONTH = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
+_DATE = re.compile(rf"\b(?:\d{{1,2}}[:h]\d\d|\d{{4}}-\d\d-\d\d|\d{{1,2}}[./]\d{{1,2}}[./]\d{{2,4}}"
+                   rf"|\d{{1,2}}(?:st|nd|rd|th)?\.? (?:{_MONTH})[a-z]*|(?:{_MONTH})[a-z]* \d{{1,2}}"
+                   r"|(?:\d+|an?) (?:second|minute|min|hour|day|week|month|year)s? ago|yesterday|today)\b", re.I)
+
+
+def texts(branch: Branch) -> list[str]:
+    """All text blocks outside noise, in order."""
+    return [t for c in branch.children for t in ([c] if isinstance(c, str) else texts(c) if c.kind != "noise" else ())]
+
+
+def _first(branch: Branch) -> Branch:
+    """The branch whose own block comes first."""
+    for c in branch.children:
+        if isinstance(c, str):
+            return branch
+        if c.kind != "noise" and has_text(c):
+            return _first(c)
+    return branch
+
+
+def _headed(branch: Branch) -> bool:
+    return branch.tag in HEADINGS or any(map(_headed, _below(branch)))
+
+
+def is_card(branch: Branch) -> bool:
+    """A short line with a name and a date, then text without a heading: what readers' comments look like."""
+    if branch.kind or not _below(branch):
+        return False
+    said = texts(branch)
+    if len(said) < 2 or len(said[0].split()) > CARD_HEAD or _headed(branch):
+        return False
+    date = _DATE.search(said[0])
+    if not date:
+        return _first(branch).timed
+    return any(w.isalpha() for w in (said[0][:date.start()] + said[0][date.end():]).split()) or _first(branch).timed
+
+
+def link_shares(root: Branch) -> dict[int, tuple[int, int, int]]:
+    """By id of a branch: links, their characters and all characters of its text outside noise."""
+    out: dict[int, tuple[int, int, int]] = {}
+
+    def weigh(branch: Branch) -> tuple[int, int, int]:
+        links, linked, size = branch.links, branch.linked, sum(len(c) for c in branch.children if isinstance(c, str))
+        for c in _below(branch):
+            if c.kind != "noise":
+                more = weigh(c)
+                links, linked, size = links + more[0], linked + more[1], size + more[2]
+        out[id(branch)] = links, linked, size
+        return out[id(branch)]
+
+    weigh(root)
+    return out
+
+
+def cards(branch: Branch) -> set[int]:
+    """ids of the child branches that are comments: two or more cards of one label.  Where they hold
+    most of a branch's text, the branch itself is one (its id)."""
+    found: dict[str, list[Branch]] = {}
+    for c in _below(branch):
+        if not c.kind:
+            found.setdefault(c.label, []).append(c)
+    alike = [[c for c in some if is_card(c)] for some in found.values() if len(some) > 1]
+    out = [c for some in alike if len(some) > 1 for c in some]
+    said = sum(len(t) for c in out for t in texts(c))
+    if out and branch.tag and branch.tag not in NEVER_NAMED and branch.kind != "main" and (
+            2 * said > sum(map(len, texts(branch)))):
+        return {id(branch)}
+    return {id(c) for c in out}

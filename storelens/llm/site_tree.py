@@ -14,32 +14,51 @@ is counting:
   of the leaves below, g = 0.9.
 
 Branches below THRESHOLD go.  What a page names itself bounds the importance: nav,
-footer, aside, form, script ... and classes such as ad or comments from above (out),
-article and main from below (kept whole, but for named noise inside); on a page with
-an article or main the rest is bounded from above too.  The site's counts decide all
-other branches, and on named noise that holds more than half of a page's text; a name never
-makes html, body, main, article or a branch around a main element noise.  Hosts of fewer than FEW pages are judged by the tree of all pages.
-
-Counts are partial aggregations over (host, place), so a host with a third of all
-pages is no group that one task has to hold.
+footer, aside, form, script ... and classes such as ad from above (out), article and
+main from below, but for what is named noise inside; on a page with an article or
+main the rest is bounded from above too.  Readers' comments are out whatever their
+size.  A name never makes html, body, main, article or a branch around a main element
+noise; a named branch other than comments that holds more than half of a page's text is left to
+the counts.  Hosts of fewer than FEW pages are judged by the tree of all pages.
+
+The site decides inside main parts too, where places differ with the number of
+paragraphs: a block that stands word for word, on the same path of labels, on more
+than half of a host's distinct pages (and on REPEATED or more) is the site's, such as
+a notice in every article.  It stays where such blocks are most of a page's text: then
+the page is a copy.  Branches that no name tells are noise where the page itself or the site shows
+it: two or more siblings of one label that each open with a name and a date are comments,
+and so is what stands on their path on other pages (CARDS pages must show it);
+undecided branches of LINKS links or more that make most of their text are menus.
+
+Counts are partial aggregations over (host, place); where they meet their host's
+number of pages, a host's rows are dealt to SPREAD tasks.  What goes is a list of keys, and
+tasks drop the blocks by it: broadcast up to SMALL keys, joined beyond.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import struct
+from collections.abc import Container, Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import checkpointed, column, texts_in_small_batches
-from storelens.llm.html_tree import Branch, has_main, parse
+from storelens.llm.frames import checkpointed, column, free_name, texts_in_small_batches
+from storelens.llm.html_tree import Branch, cards, has_main, link_shares, parse
 
 THRESHOLD = 0.5
 DECAY = 0.9
 FEW = 20
 DEEPEST = 24                         # branches below this depth count as part of their parent
+REPEATED = 10                        # pages of a host on which a block inside a main part stands before it can go
+CARDS = 2                            # pages that show comments on a path before it counts on the others
+LINKS = 2
+SPREAD = 32
+SMALL = 2_000_000                    # keys, 16 MB
+PLACE, CONTENT, COMMENT, PAGE = range(4)
 
 
 def _hash(*parts: object) -> int:
@@ -71,34 +90,86 @@ def places(root: Branch) -> list[tuple[int, int, int | None, list[int]]]:
     return out
 
 
-def main_blocks(root: Branch) -> list[tuple[int | None, str]]:
-    """Text blocks in page order with the place that decides on them (None: kept)."""
+def place_key(host: str, place: int) -> int:
+    """What Spark's xxhash64 makes of (host, place)."""
+    seed = xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass"), 42)
+    return struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(struct.pack("<q", place), seed)))[0]
+
+
+def main_blocks(root: Branch, host: str = "") -> list[tuple[list[int], int, str]]:
+    """Text blocks in page order that the page itself doesn't rule out: (keys that rule one out if
+    the site has any of them, key of its content on its path, block)."""
     outside = "out" if has_main(root) else "ask"
-    out: list[tuple[int | None, str]] = []
+    shares = link_shares(root)
+    out: list[tuple[list[int], int, str]] = []
 
-    def walk(branch: Branch, place: int, depth: int, state: str) -> None:
+    def walk(branch: Branch, place: int, depth: int, state: str, path: int, paths: list[int]) -> None:
         """state: "keep" (a main part), "ask" (the counts decide) or "out" (beside a main part)."""
         below = [c for c in branch.children if isinstance(c, Branch)]
-        style, i = _hash(*[c.label for c in below]), 0
+        style, i, comments = _hash(*[c.label for c in below]), 0, cards(branch)
+        if id(branch) in comments:
+            return
         for child in branch.children:
             if isinstance(child, str):
                 if state != "out":
-                    out.append((None if state == "keep" else place, child))
+                    asked = [place_key(host, place)] if state == "ask" else []
+                    out.append(([*asked, *paths], _hash("block", host, path, child), child))
                 continue
-            if child.kind != "noise":
+            links, linked, size = shares.get(id(child), (0, 0, 0))
+            menu = state == "ask" and links >= LINKS and 2 * linked > size
+            if child.kind != "noise" and id(child) not in comments and not menu:
                 inner = place if depth >= DEEPEST else _hash(place, style, i, child.label)
+                there = _hash(path, child.label)
                 walk(child, inner, depth + 1, "keep" if child.kind == "main" else
-                     "ask" if child.kind == "open" and state == "keep" else state)
+                     "ask" if child.kind == "open" and state == "keep" else state,
+                     there, [*paths, _hash("comments", host, there)] if not child.kind else paths)
             i += 1
 
-    walk(root, 0, 0, outside)
+    walk(root, 0, 0, outside, 0, [])
     return out
 
 
+def comment_paths(root: Branch, host: str) -> set[int]:
+    """Keys of the label paths on which the page shows comments."""
+    out: set[int] = set()
+
+    def walk(branch: Branch, path: int) -> None:
+        found = cards(branch)
+        if id(branch) in found:
+            out.add(_hash("comments", host, path))
+            return
+        for child in branch.children:
+            if isinstance(child, Branch) and child.kind != "noise":
+                there = _hash(path, child.label)
+                if id(child) in found:
+                    out.add(_hash("comments", host, there))
+                else:
+                    walk(child, there)
+
+    walk(root, 0)
+    return out
+
+
+def kept_text(blocks: list[tuple[list[int], int, str]], low: Container[int]) -> str:
+    """The blocks that no key of ``low`` rules out, joined; blocks the site repeats stay where they are
+    most of what is left."""
+    left = [(content in low, block) for keys, content, block in blocks if not any(k in low for k in keys)]
+    repeated = sum(len(b) for again, b in left if again)
+    copy = 2 * repeated > sum(len(b) for _, b in left)
+    return "\n\n".join(b for again, b in left if copy or not again)
+
+
+def _with_host(rows: DataFrame, hosts: DataFrame) -> DataFrame:
+    """Join by host, a host's rows dealt to SPREAD tasks."""
+    dealt = hosts.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return rows.withColumn("part", F.pmod(F.xxhash64("place"), F.lit(SPREAD)).cast("int")).join(
+        dealt, ["host", "part"]).drop("part")
+
+
 def branch_importance(counted: DataFrame, *, decay: float = DECAY, few: int = FEW) -> DataFrame:
     """(host, place, importance) from counted (host, place, style, content, above, n)."""
     pages = counted.where("place = 0").groupBy("host").agg(F.sum("n").alias("pages"))
-    sited = counted.join(pages, "host").withColumn(
+    sited = _with_host(counted, pages).withColumn(
         "site", F.when(F.col("pages") >= few, F.concat(F.lit("host:"), "host")).otherwise(F.lit("all")))
     # the tree of all pages holds every host's pages, the small hosts' too
     small = sited.withColumn("site", F.lit("all"))
@@ -122,6 +193,20 @@ def branch_importance(counted: DataFrame, *, decay: float = DECAY, few: int = FE
     return of_host.join(judged, ["site", "place"]).select("host", "place", "importance")
 
 
+def low_keys(counted: DataFrame, threshold: float, decay: float, few: int) -> DataFrame:
+    """(key) of what goes: places of low importance, contents that a host repeats, paths of comments."""
+    places = branch_importance(counted.where(F.col("kind") == PLACE), decay=decay, few=few).where(
+        F.col("importance") < threshold).select(F.xxhash64("host", "place").alias("key"))
+    # one row a (key, distinct page)
+    pages = counted.where(F.col("kind") == PAGE).groupBy("host").agg(F.count("*").alias("pages"))
+    repeated = counted.where(F.col("kind") == CONTENT).groupBy("host", "place").agg(F.count("*").alias("n")).where(
+        F.col("n") >= REPEATED)
+    contents = _with_host(repeated, pages).where(2 * F.col("n") > F.col("pages")).select(F.col("place").alias("key"))
+    comments = counted.where(F.col("kind") == COMMENT).groupBy("host", "place").agg(F.count("*").alias("n")).where(
+        F.col("n") >= CARDS).select(F.col("place").alias("key"))
+    return places.unionAll(contents).unionAll(comments).distinct()
+
+
 def _host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1))
 
@@ -134,67 +219,69 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
     or empty html gives ''.  Rows may repeat; null urls are the host ''.  Columns
     text and n_chars are replaced; others pass.
     """
-    names = [c for c in pages.columns if c not in (html, "text", "n_chars")]
+    names = [c for c in pages.columns if c != html and c.lower() not in ("text", "n_chars")]
 
-    def branches(html: str | None) -> list[dict]:
+    def branches(host: str, html: str | None) -> list[tuple]:
         root = parse(html or "")
-        undecided = any(place is not None for place, _ in main_blocks(root))
-        return [{"place": p, "style": s, "content": c, "above": a, "open": undecided and p == 0}
-                for p, s, c, a in places(root)]
-
-    @F.pandas_udf("array<struct<place:bigint,style:bigint,content:bigint,above:array<bigint>,open:boolean>>")
-    def tree(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for rows in batches:
-            yield pd.Series([branches(h) for h in rows], dtype=object)
-
-    @F.pandas_udf("array<struct<place:bigint,block:string>>")
-    def blocks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for rows in batches:
-            yield pd.Series([[{"place": p, "block": b} for p, b in main_blocks(parse(h or ""))] for h in rows], dtype=object)
+        blocks = main_blocks(root, host)
+        page = _hash(*[b for _, _, b in blocks])
+        return [*((PLACE, p, s, c, a) for p, s, c, a in places(root)),
+                *((CONTENT, k, page, None, None) for k in {content for _, content, _ in blocks}),
+                *((COMMENT, k, page, None, None) for k in comment_paths(root, host)),
+                (PAGE, 0, page, None, None)]
+
+    @F.pandas_udf("array<struct<kind:int,place:bigint,style:bigint,content:bigint,above:array<bigint>>>")
+    def tree(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        keys = ("kind", "place", "style", "content", "above")
+        for hosts, rows in batches:
+            yield pd.Series([[dict(zip(keys, b, strict=True)) for b in branches(h, r)]
+                             for h, r in zip(hosts, rows, strict=True)], dtype=object)
 
     texts_in_small_batches(pages.sparkSession)
-    given = pages.select(*[column(pages, c) for c in names], _host(column(pages, url)).alias("__host"),
-                         column(pages, html).alias("__html"))
-    seen = given.select(F.col("__host").alias("host"), F.explode(tree("__html")).alias("b")).select("host", "b.*")
-    counted = checkpointed(seen.groupBy("host", "place", "style", "content").agg(
-        F.count("*").alias("n"), F.first("above").alias("above"), F.max("open").alias("open")))
-    low = checkpointed(branch_importance(counted, decay=decay, few=few).where(F.col("importance") < threshold)
-                       .select("host", "place"))
-    read = given.select(*[f"`{c}`" for c in names], "__host", blocks("__html").alias("__blocks"))
-    if not counted.where("open").limit(1).count():
-        # every page names its main part, so the site's counts have nothing to decide
-        text = F.array_join(F.transform("__blocks", lambda b: b["block"]), "\n\n")
-        return read.select(*[f"`{c}`" for c in names], text.alias("text")).withColumn(
-            "n_chars", F.length("text").cast("bigint"))
-    open_places = F.array_distinct(F.filter(F.transform("__blocks", lambda b: b["place"]), lambda p: p.isNotNull()))
-    return _without(read, low, names, open_places)
-
-
-def _without(read: DataFrame, low: DataFrame, names: list[str], open_places: Column) -> DataFrame:
-    """Drop the blocks whose place is of low importance on their host.
-
-    Pages whose blocks are all decided pass straight through; the others meet the
-    list of their own host's low places through a join by (host, place).
-    """
-    text = F.array_join(F.transform("__blocks", lambda b: b["block"]), "\n\n")
-    decided = read.where(F.size(open_places) == 0).select(*[f"`{c}`" for c in names], text.alias("text"))
+    at, source = free_name(pages, "site_host", "site_html")
+    given = pages.select(*[column(pages, c) for c in names], _host(column(pages, url)).alias(at),
+                         column(pages, html).alias(source))
+    seen = given.select(F.col(at).alias("host"), F.explode(tree(at, source)).alias("b")).select("host", "b.*")
+    counted = checkpointed(seen.groupBy("host", "kind", "place", "style", "content").agg(
+        F.count("*").alias("n"), F.first("above").alias("above")))
+    low = checkpointed(low_keys(counted, threshold, decay, few))
+    if low.limit(SMALL + 1).count() <= SMALL:
+        found = np.sort(low.toArrow().column(0).to_numpy())
+        shared = pages.sparkSession.sparkContext.broadcast(found)
+
+        @F.pandas_udf("string")
+        def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            known = frozenset(shared.value.tolist())
+            for hosts, rows in batches:
+                yield pd.Series([kept_text(main_blocks(parse(r or ""), h), known)
+                                 for h, r in zip(hosts, rows, strict=True)], dtype=object)
+
+        out = given.select(*[f"`{c}`" for c in names], cleaned(at, source).alias("text"))
+    else:
+        out = _joined(given, low, names, at, source)
+    return out.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def _joined(given: DataFrame, low: DataFrame, names: list[str], at: str, source: str) -> DataFrame:
+    """The same for any number of keys: a page's keys meet ``low`` in a join, then its own row again.
+    Equal rows are one page and stand again as often afterwards."""
+    @F.pandas_udf("array<bigint>")
+    def keys(hosts: pd.Series, rows: pd.Series) -> pd.Series:
+        return pd.Series([sorted({k for own, content, _ in main_blocks(parse(r or ""), h) for k in (*own, content)})
+                          for h, r in zip(hosts, rows, strict=True)], dtype=object)
+
+    @F.pandas_udf("string")
+    def cleaned(hosts: pd.Series, rows: pd.Series, low: pd.Series) -> pd.Series:
+        return pd.Series([kept_text(main_blocks(parse(r or ""), h), frozenset(() if x is None else x))
+                          for h, r, x in zip(hosts, rows, low, strict=True)], dtype=object)
+
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
-    rest = read.where(F.size(open_places) > 0).select(row.alias("row"), F.col("__host").alias("host"),
-                                                      F.col("__blocks").alias("blocks"))
-    # equal rows are one page and stand again as often afterwards
-    page = ["row", "host", "blocks"]
-    pages = rest.groupBy(F.xxhash64(*page).alias("id1"), F.xxhash64(F.lit(1), *page).alias("id2")).agg(
+    page = ["row", "host", "html"]
+    pages = given.select(row.alias("row"), F.col(at).alias("host"), F.col(source).alias("html")).groupBy(
+        F.xxhash64(*page).alias("id1"), F.xxhash64(F.lit(1), *page).alias("id2")).agg(
         F.count("*").alias("times"), *[F.first(c).alias(c) for c in page])
-    parts = pages.select("id1", "id2", "row", "times", "host", F.posexplode("blocks").alias("pos", "b"))
-    marked = parts.join(low.select(F.col("host").alias("at"), F.col("place").alias("on"), F.lit(True).alias("low")),
-                        (F.col("host") == F.col("at")) & (F.col("b.place") == F.col("on")), "left")
-    block = F.when(F.col("low").isNull(), F.col("b.block"))
-    joined = marked.groupBy("id1", "id2").agg(F.first("row").alias("row"), F.first("times").alias("times"),
-                                              F.sort_array(F.collect_list(F.struct("pos", block.alias("block"))))
-                                              .alias("blocks"))
-    joined = joined.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    kept = F.filter(F.transform("blocks", lambda b: b["block"]), lambda b: b.isNotNull())
-    undecided = joined.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)],
-                              F.array_join(kept, "\n\n").alias("text"))
-    both = decided.unionAll(undecided)
-    return both.withColumn("n_chars", F.length("text").cast("bigint"))
+    ruled = pages.select("id1", "id2", F.explode(keys("host", "html")).alias("key")).join(low, "key").groupBy(
+        "id1", "id2").agg(F.collect_set("key").alias("low"))
+    joined = pages.join(ruled, ["id1", "id2"], "left").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return joined.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)],
+                         cleaned("host", "html", "low").alias("text"))

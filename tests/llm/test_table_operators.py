@@ -61,7 +61,7 @@ def test_url_trie_precedence_at_random():
 
 
 def test_html_blocks():
-    blocks = lambda h: [b for _, b in site_tree.main_blocks(html_tree.parse(h or ""))]
+    blocks = lambda h: [b for *_, b in site_tree.main_blocks(html_tree.parse(h or ""))]
     page = ('<html><head><title>T</title><script>var t="</p>";</script></head><body><nav>Menu</nav><div class="ad">Buy'
             '</div><article><h1>A &amp; B</h1><p>one\n two<br>three<p><b>four <i>fi</i>ve<ul><li>x<li>y</ul>'
             '<div class="comments"><p>first!</div><aside>more</aside></article><footer>f</footer>')
