@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import column, free_name
+from storelens.llm.frames import checkpointed, column, free_name
 from storelens.llm.neighbours import with_next
 
 TRAINED = "assistant"
@@ -71,8 +71,9 @@ def reply_pairs(talks: DataFrame) -> DataFrame:
     reply = said.withColumn("reply", last(F.transform("turns", lambda t: t["role"] == TRAINED)))
     asked = reply.withColumn("cut", F.when(F.col("reply") == 0, size).otherwise(
         last(F.transform(F.slice("turns", F.lit(1), F.col("reply")), lambda t: t["role"] == ASKED))))
-    parted = asked.select("conv_id", F.slice("turns", F.lit(1), F.col("cut")).alias("before"),
-                          F.slice("turns", F.col("cut") + 1, size - F.col("cut")).alias("tail"))
+    # written once: the search for next tails reads it several times
+    parted = checkpointed(asked.select("conv_id", F.slice("turns", F.lit(1), F.col("cut")).alias("before"),
+                                       F.slice("turns", F.col("cut") + 1, size - F.col("cut")).alias("tail")))
     # a conversation without an id is one turn; the tie of the others is never asked
     text = F.array_join(F.transform("tail", lambda t: F.concat_ws(":", t["role"], t["text"])), "\n")
     tie = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 LOWEST = -(1 << 63)
 MAX_BATCH_ROWS = 1000
+MAX_BATCH_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,11 +51,14 @@ def row_key(df: DataFrame, doc_id: str, text: str) -> dict[str, Column]:
 
 
 def texts_in_small_batches(spark: SparkSession) -> None:
-    """At most MAX_BATCH_ROWS rows an Arrow batch in this session: the limit counts
-    rows, and rows that hold whole texts are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= MAX_BATCH_ROWS:
-        spark.conf.set(name, str(MAX_BATCH_ROWS))
+    """At most MAX_BATCH_ROWS rows and, but for one longer text, MAX_BATCH_BYTES an Arrow batch: rows that
+    hold whole texts are large.  Spark reads both settings when a plan runs, so they stay set in this session;
+    smaller ones of the caller's hold."""
+    for name, most in (("maxRecordsPerBatch", MAX_BATCH_ROWS), ("maxBytesPerBatch", MAX_BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        given = re.fullmatch(r"(\d+)b?", spark.conf.get(name), re.I)       # other units: more than enough, or none
+        if not given or not 0 < int(given[1]) <= most:
+            spark.conf.set(name, str(most))
 
 
 def shared_folder(spark: SparkSession) -> str:

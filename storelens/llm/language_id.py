@@ -3,13 +3,13 @@
 Training counts every n-gram of every labelled text in one distributed pass:
 each task keeps one count vector per language and Spark adds them up.  What
 reaches the driver is languages x BUCKETS numbers, whatever the corpus size; the
-matrix of log-probabilities made from it is broadcast and texts are scored in
-numpy, batch by batch, from their non-zero n-grams alone.
+matrix of log-probabilities made from it is broadcast; tasks count the n-grams of
+several texts into one sparse matrix, whose product with it in numpy scores them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import checkpointed, column, texts_in_small_batches
+from storelens.llm.frames import checkpointed, column, free_name, texts_in_small_batches
 
 ORDERS = (2, 3)            # lengths of the n-grams; a word's edge counts as one character
 BUCKETS = 1 << 15
@@ -25,6 +25,7 @@ SMOOTHING = 0.5
 MAX_LANGUAGES = 500        # the broadcast matrix has at most MAX_LANGUAGES x BUCKETS doubles
 UNKNOWN = "und"
 
+BATCH = 1 << 20            # counters, or n-grams, of texts that are scored together
 _SLICE = 1 << 16
 _letters: np.ndarray | None = None
 
@@ -66,14 +67,34 @@ class LanguageModel:
     log_prob: np.ndarray             # BUCKETS x languages
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        found = ngram_buckets(text)
-        if not len(found) or not self.languages:
-            return UNKNOWN, 0.0
-        total = self.prior.copy()
-        for at in range(0, len(found), _SLICE):
-            total += self.log_prob[found[at:at + _SLICE]].sum(axis=0)
-        best = int(total.argmax())
-        return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: Iterable[str | None]) -> list[tuple[str, float]]:
+        """Language and posterior of each text.  The n-grams of up to BATCH characters are counted into
+        one sparse matrix (text, bucket), which meets the log-probabilities in one product."""
+        out: list[tuple[str, float]] = []
+        waiting: list[np.ndarray] = []
+        for text in texts:
+            if waiting and (len(waiting) + 1) * BUCKETS > BATCH or sum(map(len, waiting)) > BATCH:
+                out += self._scored(waiting)
+                waiting = []
+            waiting.append(ngram_buckets(text))
+        return out + self._scored(waiting)
+
+    def _scored(self, found: list[np.ndarray]) -> list[tuple[str, float]]:
+        if not found or not self.languages:
+            return [(UNKNOWN, 0.0)] * len(found)
+        flat = np.concatenate([b + i * BUCKETS for i, b in enumerate(found)])
+        counts = np.bincount(flat, minlength=len(found) * BUCKETS)
+        cells = np.flatnonzero(counts)                   # in order of text, then bucket
+        some, starts = np.unique(cells // BUCKETS, return_index=True)
+        total = np.tile(self.prior, (len(found), 1))
+        if len(some):
+            total[some] += np.add.reduceat(counts[cells][:, None] * self.log_prob[cells % BUCKETS], starts, axis=0)
+        best = total.argmax(axis=1)
+        share = 1.0 / np.exp(total - total.max(axis=1)[:, None]).sum(axis=1)
+        return [(self.languages[k], float(p)) if len(b) else (UNKNOWN, 0.0)
+                for k, p, b in zip(best.tolist(), share.tolist(), found, strict=True)]
 
 
 def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> LanguageModel:
@@ -138,12 +159,13 @@ def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text") -> Da
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame(shared.value.predict_all(texts), columns=["lang_pred", "score"])
 
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    out = docs.select(*[column(docs, c) for c in names], predict(column(docs, text)).alias("__lang"))
-    return out.select(*[f"`{c}`" for c in names], F.col("__lang.lang_pred").alias("lang_pred"),
-                      F.col("__lang.score").alias("score"))
+    names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    (held,) = free_name(docs, "told")
+    out = docs.select(*[column(docs, c) for c in names], predict(column(docs, text)).alias(held))
+    return out.select(*[f"`{c}`" for c in names], F.col(held)["lang_pred"].alias("lang_pred"),
+                      F.col(held)["score"].alias("score"))
 
 
 def held_out(doc_id: Column) -> Column:

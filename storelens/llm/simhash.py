@@ -143,7 +143,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     """
     if shingle < 1:
         raise ValueError("shingle: at least 1")
-    names = [c for c in docs.columns if c not in ("fingerprint", "component_id", "near_group")]
+    names = [c for c in docs.columns if c.lower() not in ("fingerprint", "component_id", "near_group")]
     texts_in_small_batches(docs.sparkSession)
     fp, root, low = free_name(docs, "fp", "root", "low")
     keyed = docs.select(*[column(docs, c) for c in names],

@@ -134,7 +134,7 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     two rows.  Columns of the four names are replaced; ids may be null.
     """
     lengths = level_lengths(window, -(-window // 2) if first is None else first)
-    names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text", "removed_spans")]
+    names = [c for c in docs.columns if c.lower() not in ("n_words", "n_removed", "kept_text", "removed_spans")]
     texts_in_small_batches(docs.sparkSession)
     key = row_key(docs, doc_id, text)
     keys = list(key)

@@ -6,6 +6,11 @@ import random
 
 DOC_SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
               "raw string, k1 string, host string, fp string, items string, start int")
+# columns that operators use inside, and outputs in other letters
+CLASHES = {name: "'x'" for name in (
+    "__host", "__blocks", "__judged", "__lang", "__items0", "__scan", "__a", "__b", "scanned", "judged", "judged_", "told", "site_host",
+    "site_html", "one", "other", "cut", "at", "key", "c0", "row", "h1", "N_WORDS", "Kept_Text", "Host", "VERDICT", "Lang_Pred",
+    "SCORE", "Items", "Fingerprint", "COMPONENT_ID", "Labels", "Chosen_Mask", "N_Common", "Toxic_Words", "Size", "TAKEN")}
 
 
 def vocabulary(seed: int, n: int = 400) -> list[str]:

@@ -348,7 +348,11 @@ def plain_items(docs, items, threshold=0.8):
     return sorted(out, key=repr)
 
 
-def test_decontamination_equals_brute_force(spark):
+@pytest.mark.parametrize("chars", [8_000_000, 1000])
+def test_decontamination_equals_brute_force(spark, monkeypatch, chars):
+    """As one broadcast index, and, for a benchmark beyond its size, by joins."""
+    monkeypatch.setattr(contamination, "SLICE_CHARS", chars)
+    monkeypatch.setattr(contamination, "TOGETHER", 3)
     rng = random.Random(3)
     items = [(i, prose(1000 + i, rng.choice([1, 2, 3, 4, 5, 6, 8, 13, 20, 40, 90, 200]))) for i in range(80)]
     items += [(900, None), (901, ""), (902, "..."), (None, prose(77, 30)), (903, prose(77, 30))]
@@ -362,14 +366,17 @@ def test_decontamination_equals_brute_force(spark):
                 w[rng.randrange(len(w))] = "changed"
             parts += [" ".join(w).upper() if rng.random() < 0.3 else " ".join(w), prose(9000 + d, rng.randint(0, 50))]
         docs.append((d, "\n".join(parts)))
-    docs += [(1000, None), (1001, ""), (None, items[5][1])]
+    docs += [(1000, None), (1001, ""), (None, items[5][1]), (1002, "la " * 700), (1003, " ".join(t or "" for _, t in items)),
+             docs[3], docs[3]]
+    items += [(904, "la " * 800), (905, "la la la"), items[40], items[40]]
     df = spark.createDataFrame([(d, t, "x") for d, t in docs], "doc_id bigint, text string, items string")
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     rows = contamination.find_items(df, bench).collect()
     got = sorted(((r.doc_id, h.item_id, round(h.containment, 9)) for r in rows for h in r["items"]), key=repr)
     assert got == plain_items(docs, items) and len(got) > 50
     clean = contamination.decontaminate(df, bench)
-    assert clean.columns == df.columns and clean.count() == len(docs) - len({r.doc_id for r in rows if r["items"]})
+    assert clean.columns == df.columns and clean.count() == sum(not r["items"] for r in rows)
+    assert {(r.doc_id, r["items"]) for r in clean.collect()} <= {(d, "x") for d, _ in docs}
     assert contamination.find_items(df.limit(0), bench).count() == 0
     assert all(r["items"] == [] for r in contamination.find_items(df, bench.limit(0)).collect())
 

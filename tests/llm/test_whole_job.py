@@ -12,7 +12,7 @@ from tests.llm.test_text_operators import plain_items
 
 
 def kept(html):
-    return [b for _, b in site_tree.main_blocks(html_tree.parse(html))]
+    return [b for *_, b in site_tree.main_blocks(html_tree.parse(html))]
 
 
 def test_names_never_make_a_main_part_noise():
