@@ -6,9 +6,10 @@ without replacement, the same on every run.  Per source, whole epochs come
 first; the rest of the target is filled by the documents with the smallest keys,
 found by a prefix sum of sizes.
 
-A hot source is no single sort: keys are cut into BINS ranges, sums per range
-give each range its offset, and only inside a range are documents sorted.
-DataFrame functions only.
+A hot source is no single sort: keys are cut into ranges of about ROWS_A_BIN documents
+(by their number), sums per range give each range its offset, and only inside a range
+are documents sorted.  Targets need all sources in one order, which is one task of one
+row a source: at most MAX_SOURCES.  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from storelens.llm.frames import checkpointed, column
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 LIMIT = 2
-BINS = 4096
+ROWS_A_BIN = 20_000
+MAX_BINS = 1 << 20
+MAX_SOURCES = 1_000_000
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -74,19 +77,24 @@ def source_targets(sizes: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, sh
 
 def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT,
-        bins: int = BINS) -> DataFrame:
+        bins: int | None = None) -> DataFrame:
     """(doc_id, size, source, source_size, target, taken) for every row.
 
     size counts words (null: 0); taken is size times the copies the mix takes:
     whole epochs of the source, and one copy more for the documents of smallest
     key while that brings the source nearer to its target.  Equal keys go by
-    size, then by id; rows of one id, source and text are interchangeable.
+    size, then by id; rows of one id, source and text are interchangeable.  ``bins``: ranges
+    of keys, by default as many as the documents need.  More than MAX_SOURCES sources are refused.
     """
     key = -F.log(uniform(column(docs, doc_id), column(docs, text))) / quality(column(docs, text))
     sized = checkpointed(docs.select(column(docs, doc_id).alias("doc_id"), column(docs, source).alias("source"),
                                      word_count(column(docs, text)).alias("size"), key.alias("key")))
-    targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")),
-                             weights=weights, share=share, limit=limit)
+    sizes = checkpointed(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    if sizes.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources; one task could not order them")
+    if bins is None:
+        bins = min(MAX_BINS, 1 + sized.count() // ROWS_A_BIN)
+    targets = source_targets(sizes, weights=weights, share=share, limit=limit)
     targets = checkpointed(targets.withColumn("epochs", F.when(
         F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)))
         .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")))

@@ -39,18 +39,41 @@ def test_every_operator_is_registered():
     assert [k.split("_")[0] for k in registry.QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
+def plain_buckets(text):
+    """Buckets of all 2- and 3-grams, letter by letter; every other run of characters is one edge."""
+    letters = [0]
+    for c in (text or "").lower():
+        if c.isalpha():
+            letters.append(ord(c))
+        elif letters[-1]:
+            letters.append(0)
+    if len(letters) == 1:
+        return []
+    if letters[-1]:
+        letters.append(0)
+    out = []
+    for n in (2, 3):
+        for i in range(len(letters) - n + 1):
+            key = n
+            for code in letters[i:i + n]:
+                key = (key * 0x9E3779B97F4A7C15 + code) % (1 << 64)
+            key = (key ^ (key >> 29)) * 0xBF58476D1CE4E5B9 % (1 << 64)
+            out.append((key >> 32) % language_id.BUCKETS)
+    return out
+
+
 def plain_languages(docs):
     """Naive Bayes from dictionaries: the predicted language and its posterior."""
     names = sorted({d["lang"] for d in docs if d["lang"] is not None})
     grams = {n: Counter() for n in names}
     for d in docs:
         if d["lang"] is not None:
-            grams[d["lang"]].update(language_id.ngram_buckets(d["text"]).tolist())
+            grams[d["lang"]].update(plain_buckets(d["text"]))
     prior = Counter(d["lang"] for d in docs if d["lang"] is not None)
     totals = {n: sum(grams[n].values()) + 0.5 * language_id.BUCKETS for n in names}
     out = []
     for d in docs:
-        found = Counter(language_id.ngram_buckets(d["text"]).tolist())
+        found = Counter(plain_buckets(d["text"]))
         if not found:
             out.append(("und", 0.0))
             continue

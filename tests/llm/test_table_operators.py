@@ -236,6 +236,15 @@ def test_mixing(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
 
 
+def test_mixing_bins_follow_the_rows_and_sources_are_bounded(spark, monkeypatch):
+    want = sorted(map(tuple, mixing.mix(documents(spark)).collect()), key=repr)
+    monkeypatch.setattr(mixing, "ROWS_A_BIN", 2)
+    assert sorted(map(tuple, mixing.mix(documents(spark)).collect()), key=repr) == want
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
+    with pytest.raises(ValueError, match="more than 2 sources"):
+        mixing.mix(documents(spark))
+
+
 def test_mixing_prefers_quality(spark):
     rows = [(i, ("word " if i % 2 else "12 3 ") * 20, "en", "a" if i < 2000 else f"b{i}", 0, *[""] * 5, 0)
             for i in range(2000)]
