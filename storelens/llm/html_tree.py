@@ -298,7 +298,7 @@ def cards(branch: Branch) -> set[int]:
     most of a branch's text, the branch itself is one (its id)."""
     found: dict[str, list[Branch]] = {}
     for c in _below(branch):
-        if not c.kind:
+        if not c.kind and _below(c):
             found.setdefault(c.label, []).append(c)
     alike = [[c for c in some if is_card(c)] for some in found.values() if len(some) > 1]
     out = [c for some in alike if len(some) > 1 for c in some]

@@ -96,18 +96,22 @@ def place_key(host: str, place: int) -> int:
     return struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(struct.pack("<q", place), seed)))[0]
 
 
-def main_blocks(root: Branch, host: str = "") -> list[tuple[list[int], int, str]]:
+def main_blocks(root: Branch, host: str = "", shown: set[int] | None = None) -> list[tuple[list[int], int, str]]:
     """Text blocks in page order that the page itself doesn't rule out: (keys that rule one out if
-    the site has any of them, key of its content on its path, block)."""
+    the site has any of them, key of its content on its path, block).  Keys of the label paths on
+    which the page shows comments are added to ``shown``."""
     outside = "out" if has_main(root) else "ask"
-    shares = link_shares(root)
+    shares = link_shares(root) if outside == "ask" else {}
     out: list[tuple[list[int], int, str]] = []
 
     def walk(branch: Branch, place: int, depth: int, state: str, path: int, paths: list[int]) -> None:
         """state: "keep" (a main part), "ask" (the counts decide) or "out" (beside a main part)."""
         below = [c for c in branch.children if isinstance(c, Branch)]
-        style, i, comments = _hash(*[c.label for c in below]), 0, cards(branch)
+        style = _hash(*[c.label for c in below]) if below else 0
+        i, comments = 0, cards(branch) if len(below) > 1 and state != "out" else ()
         if id(branch) in comments:
+            if shown is not None:
+                shown.add(paths[-1])
             return
         for child in branch.children:
             if isinstance(child, str):
@@ -115,41 +119,24 @@ def main_blocks(root: Branch, host: str = "") -> list[tuple[list[int], int, str]
                     asked = [place_key(host, place)] if state == "ask" else []
                     out.append(([*asked, *paths], _hash("block", host, path, child), child))
                 continue
-            links, linked, size = shares.get(id(child), (0, 0, 0))
-            menu = state == "ask" and links >= LINKS and 2 * linked > size
-            if child.kind != "noise" and id(child) not in comments and not menu:
-                inner = place if depth >= DEEPEST else _hash(place, style, i, child.label)
+            links, linked, size = shares.get(id(child), (0, 0, 0)) if state == "ask" else (0, 0, 0)
+            menu = links >= LINKS and 2 * linked > size
+            if child.kind != "noise" and not menu:
                 there = _hash(path, child.label)
-                walk(child, inner, depth + 1, "keep" if child.kind == "main" else
-                     "ask" if child.kind == "open" and state == "keep" else state,
-                     there, [*paths, _hash("comments", host, there)] if not child.kind else paths)
+                if id(child) in comments:
+                    if shown is not None:
+                        shown.add(_hash("comments", host, there))
+                else:
+                    inner = place if depth >= DEEPEST else _hash(place, style, i, child.label)
+                    walk(child, inner, depth + 1, "keep" if child.kind == "main" else
+                         "ask" if child.kind == "open" and state == "keep" else state,
+                         there, [*paths, _hash("comments", host, there)] if not child.kind and state != "out" else paths)
             i += 1
 
     walk(root, 0, 0, outside, 0, [])
     return out
 
 
-def comment_paths(root: Branch, host: str) -> set[int]:
-    """Keys of the label paths on which the page shows comments."""
-    out: set[int] = set()
-
-    def walk(branch: Branch, path: int) -> None:
-        found = cards(branch)
-        if id(branch) in found:
-            out.add(_hash("comments", host, path))
-            return
-        for child in branch.children:
-            if isinstance(child, Branch) and child.kind != "noise":
-                there = _hash(path, child.label)
-                if id(child) in found:
-                    out.add(_hash("comments", host, there))
-                else:
-                    walk(child, there)
-
-    walk(root, 0)
-    return out
-
-
 def kept_text(blocks: list[tuple[list[int], int, str]], low: Container[int]) -> str:
     """The blocks that no key of ``low`` rules out, joined; blocks the site repeats stay where they are
     most of what is left."""
@@ -222,12 +209,12 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
     names = [c for c in pages.columns if c != html and c.lower() not in ("text", "n_chars")]
 
     def branches(host: str, html: str | None) -> list[tuple]:
-        root = parse(html or "")
-        blocks = main_blocks(root, host)
-        page = _hash(*[b for _, _, b in blocks])
+        root, shown = parse(html or ""), set()
+        blocks = main_blocks(root, host, shown)
+        page = _hash(*[content for _, content, _ in blocks])
         return [*((PLACE, p, s, c, a) for p, s, c, a in places(root)),
                 *((CONTENT, k, page, None, None) for k in {content for _, content, _ in blocks}),
-                *((COMMENT, k, page, None, None) for k in comment_paths(root, host)),
+                *((COMMENT, k, page, None, None) for k in shown),
                 (PAGE, 0, page, None, None)]
 
     @F.pandas_udf("array<struct<kind:int,place:bigint,style:bigint,content:bigint,above:array<bigint>>>")
