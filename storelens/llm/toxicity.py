@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.frames import checkpointed, column, free_name, texts_in_small_batches
-from storelens.llm.words import plain_words
+from storelens.llm.words import mix, plain_words
 
 STEMS = (3, 4, 5, 6, 7, 8)           # letters of the stems a word takes after
 BUCKETS = 1 << 20
@@ -49,11 +49,25 @@ _NONE = BUCKETS                      # bucket of a stem that a short word lacks
 _SPACE = re.compile(r"[\x09-\x0D\x20]")
 
 
-def _buckets(word: bytes) -> tuple[int, ...]:
-    """Buckets of the word's stems (rising length) and of the word."""
-    letters = word.decode("utf-8", "replace")
-    out = [xxhash.xxh3_64_intdigest(letters[:k].encode(), seed=k) >> 44 if len(letters) > k else _NONE for k in STEMS]
-    return (*out, xxhash.xxh3_64_intdigest(word) >> 44)
+def chains(words: Sequence[bytes]) -> np.ndarray:
+    """A row a word: buckets of its stems (rising length) and of the word itself."""
+    out = np.full((len(words), len(STEMS) + 1), _NONE, np.int64)
+    if not len(words):
+        return out
+    out[:, -1] = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) >> np.uint64(44)
+    # words hold no space, so one line has all letters and where each word starts
+    letters = np.frombuffer(b" ".join(words).decode("utf-8", "replace").encode("utf-32-le"), "<u4").astype(np.uint64)
+    ends = np.append(np.flatnonzero(letters == 0x20), len(letters))
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    size = ends - starts
+    stem = np.zeros(len(words), np.uint64)
+    for k in range(max(STEMS)):
+        longer = size > k
+        stem[longer] = stem[longer] * np.uint64(0x9E3779B97F4A7C15) + letters[starts[longer] + k]
+        if k + 1 in STEMS:
+            has = size > k + 1
+            out[has, STEMS.index(k + 1)] = mix(stem[has] + np.uint64(k)) >> np.uint64(44)
+    return out
 
 
 def text_words(text: str | None) -> Iterator[list[bytes]]:
@@ -102,19 +116,19 @@ class ToxicityModel:
     def learned(self) -> bool:
         return min(self.documents) > 0
 
-    def log_odds(self, chains: np.ndarray, without: int | None = None) -> np.ndarray:
-        """Of words by their bucket chains; ``without`` leaves one document of that label out, which has them all."""
+    def log_odds(self, buckets: np.ndarray, without: int | None = None) -> np.ndarray:
+        """Of words by their chains of buckets; ``without`` leaves one document of that label out, which has them all."""
         clean, toxic = (n - (without == y) for y, n in enumerate(self.documents))
         base = (toxic + 0.5) / (clean + toxic + 1)
         # documents with a stem, but not with the longer one after it: each counts at one place of the chain
-        apart, after = [], np.zeros((2, len(chains)), np.int64)
-        for at in reversed(chains.T):
+        apart, after = [], np.zeros((2, len(buckets)), np.int64)
+        for at in buckets.T[::-1]:
             found = self.counts[:, at]
             apart.append(np.where(at == _NONE, 0, np.maximum(found - after, 0)))
             after = np.where(at == _NONE, after, found)
         if without is not None:
             apart[0][without] -= 1
-        share = np.full(len(chains), base)
+        share = np.full(len(buckets), base)
         for n0, n1 in reversed(apart):
             share = (n1 + PRIOR * share) / (n0 + n1 + PRIOR)
         return np.log(share / (1 - share)) - math.log(base / (1 - base))
@@ -165,7 +179,7 @@ class Odds(dict):
             if len(self) + len(new) > 1 << 18:
                 self.clear()
                 new = list(set(words))
-            found = self.model.log_odds(np.array([_buckets(w) for w in new]))
+            found = self.model.log_odds(chains(new))
             self.update(zip(new, found.tolist(), strict=True))
         return [self[w] for w in words]
 
@@ -175,7 +189,7 @@ def _left_out(model: ToxicityModel, text: str | None, label: int) -> np.ndarray:
     words = list({w for part in text_words(text) for w in part})
     if not words:
         return np.empty(0)
-    odds = dict(zip(words, model.log_odds(np.array([_buckets(w) for w in words]), label).tolist(), strict=True))
+    odds = dict(zip(words, model.log_odds(chains(words), label).tolist(), strict=True))
     return token_scores(text, lambda part: [odds[w] for w in part])
 
 
@@ -235,20 +249,10 @@ def train(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals = np.zeros((2, BUCKETS + 1), np.int32)
         documents = [0, 0]
-        known: dict[bytes, tuple[int, ...]] = {}
         for batch in batches:
             for value, label in zip(batch["text"], batch["toxic"], strict=True):
                 documents[label] += 1
-                held: set[int] = set()
-                for words in text_words(value):
-                    for word in set(words):
-                        chain = known.get(word)
-                        if chain is None:
-                            if len(known) > 1 << 17:
-                                known.clear()
-                            chain = known[word] = _buckets(word)
-                        held.update(chain)
-                totals[label, list(held)] += 1
+                totals[label, np.unique(chains(list({w for words in text_words(value) for w in words})))] += 1
         for label in (0, 1):
             totals[label, _NONE] = 0
             at = np.flatnonzero(totals[label])

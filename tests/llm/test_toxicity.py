@@ -150,6 +150,25 @@ def test_awkward_rows_and_slices(spark, monkeypatch):
     assert np.allclose(whole, toxicity.token_scores(long, toxicity.Odds(model).of)) and len(whole) == 1000
 
 
+def test_more_labels_than_fit_a_broadcast(spark, monkeypatch):
+    docs, labels, _ = trained(spark, 40)
+    want = toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "SMALL_LABELS", 3)
+    got = toxicity.train(docs, labels)
+    assert (got.counts == want.counts).all() and got.documents == want.documents
+    assert math.isclose(got.rate, want.rate) and np.allclose(got.curve, want.curve)
+
+
+def test_chains_of_stems():
+    words = [b"abc", b"abcd", "äöüßéx".encode(), b"abcdefghij", b"a", b"abcdx"]
+    got = toxicity.chains(words)
+    assert got.shape == (6, len(toxicity.STEMS) + 1) and toxicity.chains([]).shape == (0, len(toxicity.STEMS) + 1)
+    none = toxicity.BUCKETS
+    assert [int((r == none).sum()) for r in got] == [6, 5, 3, 0, 6, 4]        # stems are shorter than the word
+    assert got[1, 0] == got[3, 0] == got[5, 0] and got[3, 1] == got[5, 1] and got[0, 0] == none
+    assert (toxicity.chains(words[::-1]) == got[::-1]).all() and (got[:, -1] < none).all()
+
+
 @pytest.mark.parametrize("toxic", [None, 0, 1])
 def test_nothing_or_one_kind_learned(spark, toxic):
     docs, labels, _ = trained(spark, 12)
