@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,6 +44,7 @@ MARGIN = 0.5
 SIGNIFICANT = 0.05
 TOXIC = 0.3                          # score from which a document is predicted toxic
 SMALL_LABELS = 2_000_000             # labels up to this number are broadcast, 16 bytes each
+KNOWN = 1 << 18                      # words whose log-odds a task keeps
 _SLICE = 1 << 20
 _NONE = BUCKETS                      # bucket of a stem that a short word lacks
 _SPACE = re.compile(r"[\x09-\x0D\x20]")
@@ -154,11 +155,29 @@ def bent(evidence: float) -> float:
     return math.copysign(math.log1p(abs(evidence)), evidence)
 
 
-def token_scores(text: str | None, odds: Callable[[list[bytes]], list[float]]) -> np.ndarray:
-    """The score sequence of a text; ``odds`` gives the log-odds of words."""
+class Odds(dict):
+    """Word -> log-odds, worked out when first met; about KNOWN words are kept.  ``without``: as if one
+    document of that label that has the word had not been counted."""
+
+    def __init__(self, model: ToxicityModel, without: int | None = None):
+        super().__init__()
+        self.model, self.without = model, without
+
+    def meet(self, words: set[bytes]) -> None:
+        new = [w for w in words if w not in self]
+        if len(self) + len(new) > KNOWN:
+            self.clear()
+            new = list(words)
+        self.update(zip(new, self.model.log_odds(chains(new), self.without).tolist(), strict=True))
+
+
+def token_scores(parts: Iterable[list[bytes]], odds: Odds) -> np.ndarray:
+    """The score sequence of a text in parts."""
     out, times = [], {}
-    for words in text_words(text):
-        part = np.array(odds(words), float)
+    for words in parts:
+        if not all(map(odds.__contains__, words)):
+            odds.meet(set(words))
+        part = np.fromiter(map(odds.__getitem__, words), float, len(words))
         for i in np.flatnonzero(part > 0).tolist():
             times[words[i]] = j = times.get(words[i], 0) + 1
             part[i] /= j
@@ -166,31 +185,29 @@ def token_scores(text: str | None, odds: Callable[[list[bytes]], list[float]]) -
     return np.concatenate(out) if out else np.empty(0)
 
 
-class Odds(dict):
-    """Word -> log-odds, worked out when first met; at most 2**18 words are kept."""
-
-    def __init__(self, model: ToxicityModel):
-        super().__init__()
-        self.model = model
-
-    def of(self, words: list[bytes]) -> list[float]:
-        new = [w for w in set(words) if w not in self]
-        if new:
-            if len(self) + len(new) > 1 << 18:
-                self.clear()
-                new = list(set(words))
-            found = self.model.log_odds(chains(new))
-            self.update(zip(new, found.tolist(), strict=True))
-        return [self[w] for w in words]
+def scored_texts(texts: Iterable[str | None], odds: Callable[[int], Odds]) -> Iterator[np.ndarray]:
+    """The score sequence of each text; ``odds`` gives those for its place.  The words of several texts, up to a
+    slice of characters, are met at once."""
+    waiting: list[tuple[Odds, list[list[bytes]]]] = []
+    size = 0
 
+    def done() -> Iterator[np.ndarray]:
+        for known in {id(o): o for o, _ in waiting}.values():
+            known.meet({w for o, parts in waiting if o is known for part in parts for w in part})
+        yield from [token_scores(parts, known) for known, parts in waiting]
+        waiting.clear()
 
-def _left_out(model: ToxicityModel, text: str | None, label: int) -> np.ndarray:
-    """Scores of a training text as if it had not been counted."""
-    words = list({w for part in text_words(text) for w in part})
-    if not words:
-        return np.empty(0)
-    odds = dict(zip(words, model.log_odds(chains(words), label).tolist(), strict=True))
-    return token_scores(text, lambda part: [odds[w] for w in part])
+    for i, text in enumerate(texts):
+        if len(text or "") > _SLICE:                     # a part at a time, not all its words at once
+            yield from done()
+            yield token_scores(text_words(text), odds(i))
+            continue
+        waiting.append((odds(i), list(text_words(text))))
+        size += len(text or "")
+        if size > _SLICE:
+            yield from done()
+            size = 0
+    yield from done()
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, toxic: str) -> DataFrame:
@@ -270,10 +287,10 @@ def train(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str
     shared = spark.sparkContext.broadcast(model)
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        odds = [Odds(shared.value, without=y) for y in (0, 1)]
         for batch in batches:
-            rows = []
-            for value, y in zip(batch["text"], batch["toxic"], strict=True):
-                scores = _left_out(shared.value, value, y)
+            rows, labels = [], batch["toxic"].tolist()
+            for y, scores in zip(labels, scored_texts(batch["text"], lambda i: odds[labels[i]]), strict=True):
                 if len(scores):
                     rows.append((y, len(scores), sorted((s for _, _, s in maximal_segments(scores)), reverse=True)))
             yield pd.DataFrame(rows, columns=["toxic", "words", "scores"])
@@ -317,9 +334,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text: str = "text")
     shape = ("score double, toxic_words bigint, "
              "toxic_passages array<struct<start:bigint,end:bigint,score:double,expected:double>>")
 
-    def judge(known: Odds, value: str | None) -> tuple:
-        m = known.model
-        scores = token_scores(value, known.of)
+    def judge(m: ToxicityModel, scores: np.ndarray) -> tuple:
         if not m.learned or not len(scores):
             return (min(base, m.probability(0.0)) if m.learned else base), 0, []
         found = maximal_segments(scores)
@@ -333,7 +348,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text: str = "text")
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = Odds(shared.value)
         for texts in batches:
-            yield pd.DataFrame([judge(known, t) for t in texts], columns=["score", "toxic_words", "toxic_passages"])
+            found = scored_texts(texts, lambda i: known)
+            yield pd.DataFrame([judge(known.model, s) for s in found], columns=["score", "toxic_words", "toxic_passages"])
 
     new = ("score", "toxic_words", "toxic_passages")
     names = [c for c in docs.columns if c.lower() not in new]

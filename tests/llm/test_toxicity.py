@@ -127,8 +127,10 @@ def test_a_burst_of_one_mild_word_is_no_passage(spark):
     docs, labels, text = trained(spark)
     model = toxicity.train(docs, labels)
     odds = toxicity.Odds(model)
-    mild = next(w for w in text(False, 400).split() if 0 < odds.of([w.encode()])[0] < 1.5)
-    assert toxicity.token_scores(f"{mild} " * 50, odds.of).sum() < 0
+    words = text(False, 400).encode().split()
+    odds.meet(set(words))
+    mild = next(w for w in words if 0 < odds[w] < 1.5)
+    assert toxicity.token_scores([[mild] * 50], odds).sum() < 0
 
 
 def test_awkward_rows_and_slices(spark, monkeypatch):
@@ -144,10 +146,15 @@ def test_awkward_rows_and_slices(spark, monkeypatch):
         "score", "toxic_words", "toxic_passages"]
     rows = out.collect()
     assert len(rows) == given.count() and all(0 <= r.score <= 1 for r in rows)
-    long = " ".join([text(False, 500), text(True, 500)])
-    whole = toxicity.token_scores(long, toxicity.Odds(model).of)
-    monkeypatch.setattr(toxicity, "_SLICE", 7)
-    assert np.allclose(whole, toxicity.token_scores(long, toxicity.Odds(model).of)) and len(whole) == 1000
+    long, odds = " ".join([text(False, 500), text(True, 500)]), toxicity.Odds(model)
+    given = [long, None, "", text(True, 30), long]
+    whole = list(toxicity.scored_texts(given, lambda i: odds))
+    assert [len(x) for x in whole] == [1000, 0, 0, 30, 1000]
+    for name, small in (("_SLICE", 7), ("_SLICE", 2000), ("KNOWN", 5)):
+        with monkeypatch.context() as m:
+            m.setattr(toxicity, name, small)
+            cut = list(toxicity.scored_texts(given, lambda i: toxicity.Odds(model)))
+        assert all(np.allclose(a, b) for a, b in zip(whole, cut, strict=True))
 
 
 def test_more_labels_than_fit_a_broadcast(spark, monkeypatch):
