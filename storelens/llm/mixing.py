@@ -22,7 +22,7 @@ from storelens.llm.frames import checkpointed, column
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 LIMIT = 2
-ROWS_A_BIN = 20_000
+ROWS_A_BIN = 1000
 MAX_BINS = 1 << 20
 MAX_SOURCES = 1_000_000
 _WORD = r"[^\x20\x09-\x0D]+"
