@@ -90,10 +90,14 @@ def places(root: Branch) -> list[tuple[int, int, int | None, list[int]]]:
     return out
 
 
+def _spark_hash(value: bytes, seed: int) -> int:
+    return struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(value, seed % (1 << 64))))[0]
+
+
 def place_key(host: str, place: int) -> int:
-    """What Spark's xxhash64 makes of (host, place)."""
-    seed = xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass"), 42)
-    return struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(struct.pack("<q", place), seed)))[0]
+    """What Spark's xxhash64 makes of (xxhash64(host), place)."""
+    site = _spark_hash(host.encode("utf-8", "surrogatepass"), 42)
+    return _spark_hash(struct.pack("<q", place), _spark_hash(struct.pack("<q", site), 42))
 
 
 def main_blocks(root: Branch, host: str = "", shown: set[int] | None = None) -> list[tuple[list[int], int, str]]:
@@ -182,15 +186,12 @@ def branch_importance(counted: DataFrame, *, decay: float = DECAY, few: int = FE
 
 def low_keys(counted: DataFrame, threshold: float, decay: float, few: int) -> DataFrame:
     """(key) of what goes: places of low importance, contents that a host repeats, paths of comments."""
-    places = branch_importance(counted.where(F.col("kind") == PLACE), decay=decay, few=few).where(
+    places = branch_importance(counted.where(F.col("kind") == PLACE).drop("pages"), decay=decay, few=few).where(
         F.col("importance") < threshold).select(F.xxhash64("host", "place").alias("key"))
-    # one row a (key, distinct page)
-    pages = counted.where(F.col("kind") == PAGE).groupBy("host").agg(F.count("*").alias("pages"))
-    repeated = counted.where(F.col("kind") == CONTENT).groupBy("host", "place").agg(F.count("*").alias("n")).where(
-        F.col("n") >= REPEATED)
+    pages = counted.where(F.col("kind") == PAGE).select("host", "pages")
+    repeated = counted.where(F.col("kind") == CONTENT).select("host", "place", F.col("pages").alias("n"))
     contents = _with_host(repeated, pages).where(2 * F.col("n") > F.col("pages")).select(F.col("place").alias("key"))
-    comments = counted.where(F.col("kind") == COMMENT).groupBy("host", "place").agg(F.count("*").alias("n")).where(
-        F.col("n") >= CARDS).select(F.col("place").alias("key"))
+    comments = counted.where((F.col("kind") == COMMENT) & (F.col("pages") >= CARDS)).select(F.col("place").alias("key"))
     return places.unionAll(contents).unionAll(comments).distinct()
 
 
@@ -228,9 +229,14 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
     at, source = free_name(pages, "site_host", "site_html")
     given = pages.select(*[column(pages, c) for c in names], _host(column(pages, url)).alias(at),
                          column(pages, html).alias(source))
-    seen = given.select(F.col(at).alias("host"), F.explode(tree(at, source)).alias("b")).select("host", "b.*")
-    counted = checkpointed(seen.groupBy("host", "kind", "place", "style", "content").agg(
-        F.count("*").alias("n"), F.first("above").alias("above")))
+    seen = given.select(F.xxhash64(at).alias("host"), F.explode(tree(at, source)).alias("b")).select("host", "b.*")
+    once = seen.groupBy("host", "kind", "place", "style", "content").agg(
+        F.count("*").alias("n"), F.first("above").alias("above"))
+    # of all but places, whose style is the page, the number of distinct pages counts; few contents stand on many
+    counted = checkpointed(once.withColumn("style", F.when(F.col("kind") == PLACE, F.col("style"))).groupBy(
+        "host", "kind", "place", "style", "content").agg(
+        F.sum("n").alias("n"), F.count("*").alias("pages"), F.first("above").alias("above")).where(
+        (F.col("kind") != CONTENT) | (F.col("pages") >= REPEATED)))
     low = checkpointed(low_keys(counted, threshold, decay, few))
     if low.limit(SMALL + 1).count() <= SMALL:
         found = np.sort(low.toArrow().column(0).to_numpy())
